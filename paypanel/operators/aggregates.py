@@ -16,11 +16,11 @@ from paypanel.operators.joins import first_rows
 from paypanel.operators.quantiles import Quantile, group_stats, median, nearest, whole
 from paypanel.operators.skew import join_back
 
-N = F.lit(1)
+
 
 
 def count_rows(name: str) -> Column:
-    return F.count(N).alias(name)
+    return F.count("*").alias(name)
 
 
 def sum0(c: str | Column) -> Column:
@@ -117,7 +117,7 @@ def indicator_table(revenue: DataFrame, name: str, value: str = "REVENU_TOTAL")
 
 def count_posts(df: DataFrame, keys: list[str], out: str = "NB_POSTES", distinct: str | None = None) -> DataFrame:
     """Rows with the number of posts of their (month, person): lines, or distinct employer keys."""
-    n = F.count_distinct(distinct) if distinct else F.count(N)
+    n = F.count_distinct(distinct) if distinct else F.count("*")
     return join_back(df, df.groupBy(*keys).agg(n.alias(out)), keys)
 
 
@@ -158,7 +158,7 @@ def multi_posts_table(revenue: DataFrame, top: int = 5) -> DataFrame:
         revenue.withColumn("_b", posts_bucket("NB_POSTES", top))
         .groupBy("annee", "mois", "GRADE_PRINCIPAL")
         .pivot("_b", labels)
-        .agg(F.count(N))
+        .agg(F.count(F.lit(1)))
         .fillna(0, labels)
     )
 
@@ -179,9 +179,9 @@ def posts_distribution(revenue: DataFrame) -> DataFrame:
 def pivot_indicator(df: DataFrame, keys: list[str], on: str, values: list[str], value: str, stat: str) -> DataFrame:
     """One row per period and one column per fixed value of ``on``; all-empty rows are dropped."""
     stats = {
-        "effectif": (F.count(N).cast("double").alias("_x"), {}),
+        "effectif": (F.count("*").cast("double").alias("_x"), {}),
         "moyen": (whole(F.avg(value)).alias("_x"), {}),
-        "median": (F.count(N).alias("_n"), {"_x": median(value)}),
+        "median": (F.count("*").alias("_n"), {"_x": median(value)}),
         "se": (robust_expr("se", value).alias("_x"), {}),
         "sd": (robust_expr("sd", value).alias("_x"), {}),
         "cv": (robust_expr("cv", value).alias("_x"), {}),
@@ -289,8 +289,8 @@ def group_panels(df: DataFrame, keys: list[str], categories: list[str], brut: st
         [*keys, "groupe"],
         [
             count_rows("effectif"),
-            F.round(F.avg(net), 2).alias("net_moyen"),
-            F.round(F.avg(brut), 2).alias("brut_moyen"),
+            F.avg(net).alias("net_moyen"),
+            F.avg(brut).alias("brut_moyen"),
             F.min(net).alias("net_min"),
             F.max(net).alias("net_max"),
         ],
@@ -458,7 +458,7 @@ def evolution(df: DataFrame, by: list[str] | None = None, value: str = "montant_
     """Monthly mean, median, quartiles and headcount of paid rows."""
     q = {"median": median(value), "p25": Quantile(value, 0.25), "p75": Quantile(value, 0.75)}
     d = df.where(F.col(value) > 0).withColumn("date_mois", F.make_date("annee", "mois", F.lit(1)))
-    aggs = [F.round(F.avg(value), 2).alias("moyenne"), count_rows("effectif")]
+    aggs = [F.avg(value).alias("moyenne"), count_rows("effectif")]
     return group_stats(d, ["date_mois", *(by or [])], aggs, q)
 
 
@@ -485,7 +485,7 @@ def column_profile(df: DataFrame, cols: list[str], samples: int = 5) -> DataFram
     """Per column: type, filled, empty and distinct counts, smallest sample values, date-likeness."""
     types = F.create_map(*[F.lit(x) for c, t in df.dtypes if c in cols for x in (c, t)])
     long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "colonne", "valeur")
-    values = long.groupBy("colonne", "valeur").agg(F.count(N).alias("_n"))
+    values = long.groupBy("colonne", "valeur").agg(F.count("*").alias("_n"))
     first = first_rows_n(values.where(F.col("valeur").isNotNull()), ["colonne"], ["valeur"], samples)
     sample = first.groupBy("colonne").agg(
         F.concat_ws(" | ", F.sort_array(F.collect_list("valeur"))).alias("exemples"),
