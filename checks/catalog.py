@@ -1,5 +1,5 @@
 """Importing this module registers every query."""
 
-from checks import q_aggregates, q_imputation
+from checks import q_aggregates, q_imputation, q_joins, q_quality, q_scalars
 
-__all__ = ["q_aggregates", "q_imputation"]
+__all__ = ["q_aggregates", "q_imputation", "q_joins", "q_quality", "q_scalars"]

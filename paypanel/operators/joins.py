@@ -98,6 +98,14 @@ def first_rows(df: DataFrame, keys: list[str], order: list[str | Column]) -> Dat
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def upper_median_rows(cells: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Row at rank n÷2 + 1 of each key; meant for small cell tables such as months of a year."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    n = F.count("*").over(Window.partitionBy(*keys))
+    middle = F.col("_r") == F.floor(F.col("_n") / 2) + 1
+    return cells.withColumns({"_r": rank, "_n": n}).where(middle).drop("_r", "_n")
+
+
 def outer_reconcile(
     left: DataFrame,
     right: DataFrame,

@@ -140,6 +140,37 @@ def with_previous(
     )
 
 
+def with_rank(
+    df: DataFrame,
+    key: str,
+    period: str = PERIOD,
+    row: str = ROW,
+    hot_rows: int = HOT_ROWS,
+    bits: int = CHUNK_BITS,
+) -> DataFrame:
+    """Add ``rang`` (from 1) and ``effectif`` of the row inside its key."""
+    d = with_chunks(df, key, period, row, hot_rows, bits)
+    sizes = d.where(F.col("_chunk").isNotNull()).groupBy("_key", "_chunk").agg(F.count("*").alias("_m"))
+    whole_key = Window.partitionBy("_key")
+    summary = sizes.select(
+        "_key",
+        "_chunk",
+        F.sum("_m").over(whole_key).alias("_total"),
+        F.sum("_m").over(whole_key.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("_skip"),
+    )
+    part = Window.partitionBy("_key", "_chunk")
+    return (
+        _join_summary(d, summary)
+        .withColumns(
+            {
+                "rang": F.row_number().over(part.orderBy(period, row)) + F.coalesce("_skip", F.lit(0)),
+                "effectif": F.coalesce(F.col("_total"), F.count("*").over(part)),
+            }
+        )
+        .drop("_key", "_chunk", "_total", "_skip")
+    )
+
+
 def join_back(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     """Left join group results to the rows; NULL group values match, skewed keys are split by AQE."""
     s = stats.select(group_key(keys).alias("_g_r"), *[c for c in stats.columns if c not in keys])
