@@ -96,13 +96,13 @@ def _(spark, sf):
 @register(
     "q06_match_rate_range",
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS code, min(t) AS minimum, max(t) AS maximum, round(avg(t), 4) AS moyenne FROM (
+        f"""SELECT '{c}' AS code, min(t) AS minimum, max(t) AS maximum, round(avg(t), 8) AS moyenne FROM (
 SELECT round(count({c}) * 100.0::DOUBLE / count(*), 1) AS t FROM silver GROUP BY periode)"""
         for c in ("CODE_ORGANISME", "CODE_EMPLOI")
     ),
 )
 def _(spark, sf):
-    return qua.match_rate_range(silver(spark, sf), ["CODE_ORGANISME", "CODE_EMPLOI"])
+    return rounded(qua.match_rate_range(silver(spark, sf), ["CODE_ORGANISME", "CODE_EMPLOI"]), 8, "moyenne")
 
 
 @register(
@@ -286,11 +286,11 @@ def _(spark, sf):
 
 @register(
     "i04_age_stable_median",
-    """SELECT matricule, quantile_cont(AGE_IMPUTE, 0.5) AS age FROM age_filled GROUP BY 1""",
+    """SELECT matricule, quantile_cont(AGE_IMPUTE, 0.5) AS age_median FROM age_filled GROUP BY 1""",
 )
 def _(spark, sf):
-    d = per.stabilize(variables(spark, sf), "AGE_IMPUTE", "age", "median")
-    return d.select("matricule", "age").distinct()
+    d = per.stabilize(variables(spark, sf), "AGE_IMPUTE", "age_median", "median")
+    return d.select("matricule", "age_median").distinct()
 
 
 define(

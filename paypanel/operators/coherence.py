@@ -18,6 +18,7 @@ from paypanel.operators.aggregates import count_rows
 from paypanel.operators.quality import duplicate_flag
 from paypanel.operators.quantiles import Quantile, group_quantiles
 from paypanel.operators.skew import HOT_ROWS, join_back, with_previous
+from paypanel.plans.stages import written
 
 KEY = "matricule"
 
@@ -133,7 +134,8 @@ def coherence_flags(
         "FLAG_STATUT_VARIATION": changed("_st"),
         "FLAG_STATUT_DEF_VARIATION": changed("_sd"),
     }
-    d = d.withColumns({name: _flag(cond) for name, cond in flags.items()})
+    # read three times below, so the ordered pass is written once
+    d = written(d.withColumns({name: _flag(cond) for name, cond in flags.items()}), "flags")
 
     yearly = d.groupBy(KEY, "annee").agg(_flag(F.sum("FLAG_SITMAT_VARIATION") >= 2).alias("FLAG_SITMAT_VARIATIONS"))
     monthly = d.groupBy(KEY, "annee", "mois").agg(

@@ -1,7 +1,8 @@
 """Person variables: sex, age, age at start of service, final status.
 
 Per-person values are map-side combined aggregates joined back to the rows; nothing collects a
-person's rows into one place.
+person's rows into one place. Each step reads its input several times, so the longer chains
+write their intermediate results instead of replanning everything before them.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from paypanel.functions.people import sex_letter
 from paypanel.operators.imputation import group_median_fill, group_mode_fill, latest_value, modal_value
 from paypanel.operators.quantiles import group_quantiles, median
 from paypanel.operators.skew import HOT_ROWS, join_back, with_rank
+from paypanel.plans.stages import written
 
 KEY = "matricule"
 MONTH_SEX = ["annee", "mois", "SEXE_IMPUTE"]
@@ -57,7 +59,8 @@ def add_age(df: DataFrame, low: int = 18, high: int = 70) -> DataFrame:
 
 def build_age(df: DataFrame, low: int = 18, high: int = 70, method: str = "last") -> DataFrame:
     """AGE, AGE_VALIDE, AGE_IMPUTE (median of month × sex) and AGE_IMPUTE_STABLE."""
-    d = group_median_fill(add_age(df, low, high), "AGE_VALIDE", MONTH_SEX, "AGE_IMPUTE")
+    d = written(add_age(df, low, high), "age")
+    d = written(group_median_fill(d, "AGE_VALIDE", MONTH_SEX, "AGE_IMPUTE"), "age")
     return stabilize(d, "AGE_IMPUTE", "AGE_IMPUTE_STABLE", method)
 
 
@@ -98,7 +101,7 @@ def build_age_service(
     days = F.datediff("collecte", "prise_service_corrigee")
     d = df.withColumn("AGE_AU_SERVICE", F.col(age) - F.floor(days / 365))
     d = d.withColumn("AGE_AU_SERVICE_VALIDE", _between("AGE_AU_SERVICE", low, high))
-    d = group_median_fill(d, "AGE_AU_SERVICE_VALIDE", MONTH_SEX, "AGE_AU_SERVICE_IMPUTE")
+    d = written(group_median_fill(written(d, "service"), "AGE_AU_SERVICE_VALIDE", MONTH_SEX, "AGE_AU_SERVICE_IMPUTE"), "service")
     several = d.groupBy(KEY).agg((F.count_distinct("AGE_AU_SERVICE_IMPUTE") > 1).cast("int").alias("FLAG_MULTI_AGE_SERVICE"))
     return stabilize(join_back(d, several, [KEY]), "AGE_AU_SERVICE_IMPUTE", "AGE_AU_SERVICE_FINAL", method)
 
@@ -164,6 +167,6 @@ def status_final(df: DataFrame, keys: list[str], status: str = "STATUT", out: st
 
 
 def person_variables(df: DataFrame) -> DataFrame:
-    """Sex, age and age at start on every row: the inputs of the coherence flags."""
-    d = add_service_start(build_age(impute_sex(add_collection_date(df))))
-    return build_age_service(d)
+    """Sex, age and age at start on every row."""
+    d = build_age(written(impute_sex(add_collection_date(df)), "sexe"))
+    return build_age_service(add_service_start(written(d, "age")))

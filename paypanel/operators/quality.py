@@ -27,7 +27,7 @@ def match_rate_range(df: DataFrame, codes: list[str], by: str = "periode") -> Da
     """Smallest, largest and mean rate of each code over the periods."""
     long = match_rates(df, codes, by).unpivot([by], codes, "code", "taux")
     return long.groupBy("code").agg(
-        F.min("taux").alias("minimum"), F.max("taux").alias("maximum"), F.round(F.avg("taux"), 4).alias("moyenne")
+        F.min("taux").alias("minimum"), F.max("taux").alias("maximum"), F.avg("taux").alias("moyenne")
     )
 
 
