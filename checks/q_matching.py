@@ -21,18 +21,24 @@ TEST_KEY = "0123456789abcdef"
 
 
 def reference(spark, sf):
-    """Code table of product names: the parts with even keys, in other spelling."""
-    p = table(spark, sf, "part").where("p_partkey % 2 = 0")
-    return p.select(norm_label("p_name").alias("ref"), F.col("p_partkey").cast("string").alias("code"))
+    """Code table of product labels: name and brand."""
+    p = table(spark, sf, "part")
+    lib = norm_label(F.concat_ws(" ", "p_name", "p_brand"))
+    return p.groupBy(lib.alias("ref")).agg(F.min("p_partkey").cast("string").alias("code"))
+
+
+def products(spark, sf):
+    """Products labelled in another way, without a code."""
+    lib = norm_label(F.concat_ws(" ", "p_type", "p_name", F.concat("p_brand", F.lit("0"))))
+    return table(spark, sf, "part").select("p_partkey", lib.alias("lib"), F.lit(None).cast("string").alias("code"))
 
 
 def suggestions(spark, sf):
     def build():
-        odd = table(spark, sf, "part").where("p_partkey % 2 = 1").withColumn("lib", norm_label("p_name"))
-        known = reference(spark, sf).select(F.col("ref").alias("lib")).distinct()
         ref = reference(spark, sf)
-        best = mat.best_suggestions(odd.join(known, "lib", "left_anti"), ref, "lib", "ref")
-        return mat.with_codes(best, ref, "ref", "code")
+        d = products(spark, sf)
+        unknown = d.join(ref.select(F.col("ref").alias("lib")), "lib", "left_anti")
+        return mat.with_codes(mat.best_suggestions(unknown, ref, "lib", "ref"), ref, "ref", "code")
 
     return layer(spark, f"suggestions {sf}", build)
 
@@ -44,11 +50,15 @@ def _(spark, sf):
 
 @register("j10_auto_apply")
 def _(spark, sf):
-    d = table(spark, sf, "part").withColumn("lib", norm_label("p_name")).withColumn("code", F.lit(None).cast("string"))
-    out, _audit = mat.auto_apply(d, suggestions(spark, sf), "lib", "code", ["p_partkey"], 60)
+    out, _audit = mat.auto_apply(products(spark, sf), suggestions(spark, sf), "lib", "code", ["p_partkey"])
     return out.select("p_partkey", "lib", "code")
 
 
+@register("j10_auto_apply_audit")
+def _(spark, sf):
+    return mat.auto_apply(products(spark, sf), suggestions(spark, sf), "lib", "code", ["p_partkey"])[1]
+
+
 @register(
     "j11_extend_mapping",
     """WITH m AS (SELECT upper(libelle) AS k, code FROM dim_emploi), a AS (SELECT 'FURNITURE' AS k, '777' AS code UNION ALL SELECT 'BUILDING', '888')
