@@ -12,7 +12,7 @@ from paypanel.functions.text import norm_label
 from paypanel.operators import coherence as coh
 from paypanel.operators import persons as per
 from paypanel.operators import quality as qua
-from paypanel.plans.stages import layer
+from paypanel.plans.stages import layer, written
 
 SRC = "panel_src"
 KEYCOLS = ["matricule", "sexe", "CODE_ORGANISME", "CODE_EMPLOI", "montant_brut"]
@@ -407,21 +407,26 @@ def _(spark, sf):
 
 
 def flag_input(spark, sf):
-    birth, start = clean_date("date_naissance"), clean_date("prise_service")
-    ref = month_end("mois_annee")
     d = cats(spark, sf).withColumns(
         {
-            "AGE": age_years(birth, ref),
-            "AGE_PS": age_at_start(birth, start),
-            "ANCIENNETE": tenure_years(start, ref),
+            "naissance": clean_date("date_naissance"),
+            "debut": clean_date("prise_service"),
+            "collecte": month_end("mois_annee"),
             "ENFANTS": F.col("nombre_enfant").try_cast("int"),
         }
     )
+    d = d.withColumns(
+        {
+            "AGE": age_years("naissance", "collecte"),
+            "AGE_PS": age_at_start("naissance", "debut"),
+            "ANCIENNETE": tenure_years("debut", "collecte"),
+        }
+    )
     return per.status_final(d, ["matricule", "periode"])
 
 
 def flagged(spark, sf):
-    return layer(spark, f"flags {sf}", lambda: coh.coherence_flags(flag_input(spark, sf)))
+    return layer(spark, f"flags {sf}", lambda: coh.coherence_flags(written(flag_input(spark, sf), "input")))
 
 
 define(

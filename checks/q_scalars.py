@@ -481,3 +481,54 @@ def _(spark, sf):
 def _(spark, sf):
     start = dates.clean_date("prise_service")
     return frame(spark, sf, SRC).select("row_id", dates.age_at_start(dates.clean_date("date_naissance"), start).alias("age"))
+
+
+# Untidy headers under which the same columns arrive.
+RAW_HEADERS = {
+    "row_id": "Ligne",
+    "matricule": "T12.Matricule",
+    "cle_unique": "MATRICULE||CODE_ORGANISME",
+    "emploi": "Corps",
+    "statut_fonctionnaire": "Grade",
+    "montant_brut": "Rémunération brute",
+    "sexe": "SEXE",
+    "situation": "Situation administrative",
+}
+
+
+@register(
+    "f02_map_columns",
+    """SELECT row_id AS ligne, matricule, cle_unique, emploi, statut_fonctionnaire, montant_brut, sexe, situation FROM panel_src""",
+)
+def _(spark, sf):
+    d = frame(spark, sf, SRC).select(*[F.col(c).alias(h) for c, h in RAW_HEADERS.items()])
+    return schema.standardize(d)
+
+
+@register(
+    "f03_dedupe_names",
+    """SELECT row_id AS ligne, emploi, organisme AS "emploi_dup2", CODE_EMPLOI AS "emploi_dup3" FROM panel_src""",
+)
+def _(spark, sf):
+    d = frame(spark, sf, SRC)
+    d = d.select(F.col("row_id").alias("ligne"), F.col("emploi").alias("EMPLOI"), F.col("organisme").alias("Corps"), F.col("CODE_EMPLOI").alias("corps d'emploi"))
+    return schema.standardize(d)
+
+
+@register("u02_stack_strict", "SELECT row_id, emploi FROM panel_src")
+def _(spark, sf):
+    d = frame(spark, sf, SRC).select("row_id", "emploi")
+    return schema.stack_strict([d.where(f"row_id % 3 = {i}") for i in range(3)])
+
+
+@register(
+    "u06_compare_columns",
+    """SELECT row_id, emploi, montant_brut, CAST(NULL AS VARCHAR) AS sexe FROM panel_src WHERE row_id % 2 = 0
+UNION ALL SELECT row_id, emploi, NULL, sexe FROM panel_src WHERE row_id % 2 = 1""",
+)
+def _(spark, sf):
+    d = frame(spark, sf, SRC)
+    a = d.where("row_id % 2 = 0").select("row_id", "emploi", "montant_brut")
+    b = d.where("row_id % 2 = 1").select("row_id", "sexe", "emploi")
+    sides = schema.compare_columns(a, b)
+    return schema.stack_by_name([a, b]).select(*sides["common"], *sides["only_left"], *sides["only_right"])

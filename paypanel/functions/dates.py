@@ -7,15 +7,22 @@ from pyspark.sql import functions as F
 
 from paypanel.functions.text import _col
 
-# Day-first layouts found in the source files, most specific first.
-DATE_FORMATS = ["yyyy-MM-dd", "yyyy/MM/dd", "dd/MM/yyyy", "d/M/yyyy", "dd-MM-yyyy", "dd.MM.yyyy", "yyyy-MM-dd HH:mm:ss"]
+# Day-first layouts found in the source files, by the shape of the text.
+DATE_SHAPES = {
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$": "yyyy-MM-dd",
+    r"^[0-9]{4}/[0-9]{2}/[0-9]{2}$": "yyyy/MM/dd",
+    r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$": "d/M/yyyy",
+    r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$": "d-M-yyyy",
+    r"^[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}$": "d.M.yyyy",
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$": "yyyy-MM-dd HH:mm:ss",
+}
 EXCEL_EPOCH = "1899-12-30"
 EXCEL_MAX_SERIAL = 60000
 
 
 def period_parts(c: Column | str) -> tuple[Column, Column]:
     """(year, month) of an MMYYYY or YYYY-MM text."""
-    s = F.regexp_replace(_col(c), r"[_/.]", "-")
+    s = F.translate(_col(c), "_/.", "---")
     short = F.length(s) == 6
     year = F.when(short, F.substring(s, 3, 4)).otherwise(F.substring(s, 1, 4)).try_cast("int")
     month = F.when(short, F.substring(s, 1, 2)).otherwise(F.substring(s, 6, 2)).try_cast("int")
@@ -48,20 +55,19 @@ def period_index(periode: Column | str) -> Column:
 
 
 def clean_date(c: Column | str) -> Column:
-    """Date from mixed day-first texts or spreadsheet serials; junk becomes NULL."""
-    s = F.lower(F.trim(_col(c)))
-    junk = (
-        s.rlike(r"^[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?$")
-        | s.rlike(r"^(0{1,2}[/-]0{1,2}[/-]0{2,4}|0000-00-00)$")
-        | s.isin("", "nan", "nat", "none", "nul", "null")
-    )
-    parsed = F.coalesce(*[F.try_to_date(s, f) for f in DATE_FORMATS])
+    """Date from mixed day-first texts or spreadsheet serials; junk becomes NULL.
+
+    The shape decides which layout is parsed, so a row costs one parse and junk (bare times,
+    blanks, words) none; zero dates fail their parse.
+    """
+    s = F.trim(_col(c))
+    out = None
+    for shape, layout in DATE_SHAPES.items():
+        parsed = F.try_to_date(s, layout)
+        out = F.when(s.rlike(shape), parsed) if out is None else out.when(s.rlike(shape), parsed)
     serial = s.try_cast("double")
-    from_serial = F.when(
-        serial.between(1, EXCEL_MAX_SERIAL),
-        F.date_add(F.lit(EXCEL_EPOCH).cast("date"), F.floor(serial).cast("int")),
-    )
-    return F.when(~junk, F.coalesce(parsed, from_serial))
+    days = F.when(serial.between(1, EXCEL_MAX_SERIAL), F.floor(serial).cast("int"))
+    return out.otherwise(F.date_add(F.lit(EXCEL_EPOCH).cast("date"), days))
 
 
 def date_ref(*candidates: Column) -> Column:

@@ -44,28 +44,28 @@ CITP_LABELS = {
 
 
 def lookup(c: Column, mapping: dict, default: Column | None = None) -> Column:
-    """Literal map lookup as a CASE chain."""
+    """Value of a literal table; tuple keys list several spellings. ``c`` is evaluated once."""
+    flat = {k: v for key, v in mapping.items() for k in (key if isinstance(key, tuple) else (key,))}
+    if all(isinstance(k, str) for k in flat):
+        found = F.element_at(F.create_map(*[F.lit(x) for kv in flat.items() for x in kv]), c)
+        return found if default is None else F.coalesce(found, default)
     out = None
-    for key, value in mapping.items():
-        cond = c.isin(*key) if isinstance(key, (tuple, list)) else c == F.lit(key)
-        out = F.when(cond, F.lit(value)) if out is None else out.when(cond, F.lit(value))
+    for key, value in flat.items():
+        out = F.when(c == key, F.lit(value)) if out is None else out.when(c == key, F.lit(value))
     return out if default is None else out.otherwise(default)
 
 
 def extract_grade(c: Column | str) -> Column:
     """Grade named after 'Catégorie' in a status text, else NF."""
     found = F.regexp_extract(_col(c), r"(?iu)Cat[eé]gorie\s+([ABCD][0-9]*)", 1)
-    return F.when(F.coalesce(found, F.lit("")) == "", F.lit(NO_GRADE)).otherwise(F.upper(found))
+    return F.coalesce(F.nullif(F.upper(found), F.lit("")), F.lit(NO_GRADE))
 
 
 def civil_servant_grade(c: Column | str) -> Column:
     """Grade of a text that starts with 'Fonctionnaire', NULL for any other text."""
-    s = F.regexp_replace(F.upper(F.trim(_col(c))), "É", "E")
-    found = F.concat(
-        F.regexp_extract(s, r"^FONCTIONNAIRE.*CATEGORIE\s+([ABCD])\s*([0-9]?)\b", 1),
-        F.regexp_extract(s, r"^FONCTIONNAIRE.*CATEGORIE\s+([ABCD])\s*([0-9]?)\b", 2),
-    )
-    return F.nullif(found, F.lit(""))
+    s = F.translate(F.upper(F.trim(_col(c))), "É", "E")
+    found = F.regexp_extract(s, r"^FONCTIONNAIRE.*CATEGORIE\s+([ABCD]\s*[0-9]?)\b", 1)
+    return F.nullif(F.regexp_replace(found, r"\s", ""), F.lit(""))
 
 
 def is_valid_grade(c: Column | str) -> Column:

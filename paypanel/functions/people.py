@@ -51,7 +51,7 @@ MARITAL_FLAG_CODES = {
 def std_sex(c: Column | str) -> Column:
     """Homme / Femme / Inconnu from any known spelling."""
     s = strip_accents(F.upper(F.trim(_col(c).cast("string"))))
-    return F.when(s.isin(*MALE_WORDS), "Homme").when(s.isin(*FEMALE_WORDS), "Femme").otherwise("Inconnu")
+    return lookup(s, {tuple(MALE_WORDS): "Homme", tuple(FEMALE_WORDS): "Femme"}, F.lit("Inconnu"))
 
 
 def sex_letter(c: Column | str) -> Column:

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 ACCENTED = "ÀÂÄÁÃÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝŸàâäáãåçèéêëìíîïñòóôõöùúûüýÿ"
 PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYYaaaaaaceeeeiiiinooooouuuuyy"
 
+# Punctuation that separates words of a label.
+PUNCTUATION = "-.,;:()[]/'\u2019\u2018"
+
 # Texts that stand for an empty cell.
 BLANK_WORDS = ("", "na", "nan", "none")
 
@@ -32,13 +35,13 @@ def null_if_empty(c: Column | str) -> Column:
 
 def norm_label(c: Column | str) -> Column:
     """Matching key of a label: upper case, no accents, punctuation as blanks, '' as NULL."""
-    spaced = F.regexp_replace(_col(c), r"[-.,;:()\[\]/'’‘]", " ")
+    spaced = F.translate(_col(c), PUNCTUATION, " " * len(PUNCTUATION))
     return null_if_empty(squeeze(strip_accents(F.upper(spaced))))
 
 
 def norm_label_lower(c: Column | str) -> Column:
     """Lower-case matching key; hyphen, underscore, quote, slash and dot become blanks."""
-    return null_if_empty(squeeze(F.regexp_replace(strip_accents(F.lower(_col(c))), r"[-_'/.]+", " ")))
+    return null_if_empty(squeeze(F.translate(strip_accents(F.lower(_col(c))), "-_'/.", "     ")))
 
 
 def clean_place(c: Column | str) -> Column:

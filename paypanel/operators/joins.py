@@ -113,23 +113,24 @@ def outer_reconcile(
     right_order: list[str] | None = None,
     suffixes: tuple[str, str] = ("_b0", "_b1"),
 ) -> DataFrame:
-    """Full outer join with the origin of each row; shared columns get suffixes."""
+    """Full outer result with the origin of each row; shared columns get suffixes.
+
+    Built as a left join plus the right rows without partner: unlike a full outer join, both
+    parts can be split when one key holds a large share of the rows. ``right_order`` keeps the
+    first right row per key.
+    """
     shared = (set(left.columns) & set(right.columns)) - set(keys)
-    a = left.withColumnsRenamed({c: c + suffixes[0] for c in shared}).withColumn("_in1", F.lit(True))
+    a = left.withColumnsRenamed({c: c + suffixes[0] for c in shared})
     b = first_rows(right, keys, right_order) if right_order else right
-    b = b.withColumnsRenamed({c: c + suffixes[1] for c in shared}).withColumn("_in2", F.lit(True))
-    origin = F.when(F.col("_in2").isNull(), "base1").when(F.col("_in1").isNull(), "base2").otherwise("both")
-    return (
-        a.join(b, keys, "full")
-        .withColumns(
-            {
-                "IN_SRC": origin,
-                "IN_BASE1": F.coalesce("_in1", F.lit(False)),
-                "IN_BASE2": F.coalesce("_in2", F.lit(False)),
-            }
-        )
-        .drop("_in1", "_in2")
+    b = b.withColumnsRenamed({c: c + suffixes[1] for c in shared})
+    both = a.join(b.withColumn("_in2", F.lit(True)), keys, "left").withColumns(
+        {"IN_BASE1": F.lit(True), "IN_BASE2": F.coalesce("_in2", F.lit(False))}
+    )
+    alone = b.join(a.select(*keys).distinct(), keys, "left_anti").withColumns(
+        {"IN_BASE1": F.lit(False), "IN_BASE2": F.lit(True)}
     )
+    origin = F.when(~F.col("IN_BASE2"), "base1").when(~F.col("IN_BASE1"), "base2").otherwise("both")
+    return both.drop("_in2").unionByName(alone, allowMissingColumns=True).withColumn("IN_SRC", origin)
 
 
 def unmatched(df: DataFrame, reference: DataFrame, label: str, ref_label: str) -> DataFrame:

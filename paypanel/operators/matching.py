@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from paypanel.operators.joins import fill_audit, fill_from_lookup
 
 NO_SUGGESTION = "AUCUNE_SUGGESTION"
-BLOCK, CHUNK = 64, 1024
+BLOCK, CHUNK = 16, 256
 
 
 def lcs_length(a: str, b: str) -> int:
@@ -35,18 +35,30 @@ def similarity(a: str, b: str) -> float:
 
 def token_set_ratio(a: str, b: str) -> float:
     """Similarity of the token sets: 100 when one set contains the other."""
-    ta, tb = set(a.split()), set(b.split())
+    return _set_ratio(set(a.split()), set(b.split()), -1.0)
+
+
+def _set_ratio(ta: set[str], tb: set[str], beat: float) -> float:
+    """Token-set ratio, or any value not above ``beat`` when it cannot exceed it.
+
+    The common tokens are a prefix of both full texts, and a common prefix always belongs to a
+    longest common subsequence, so only the remaining tokens are compared.
+    """
     if not ta or not tb:
         return 0.0
-    common = " ".join(sorted(ta & tb))
-    rest_a, rest_b = " ".join(sorted(ta - tb)), " ".join(sorted(tb - ta))
-    if common and (not rest_a or not rest_b):
+    both = ta & tb
+    if both and (len(both) == len(ta) or len(both) == len(tb)):
         return 100.0
-    full_a, full_b = f"{common} {rest_a}".strip(), f"{common} {rest_b}".strip()
-    best = similarity(full_a, full_b)
-    if common:
-        best = max(best, similarity(common, full_a), similarity(common, full_b))
-    return best
+    rest_a, rest_b = " ".join(sorted(ta - both)), " ".join(sorted(tb - both))
+    prefix = sum(map(len, both)) + len(both)  # each common token and the blank after it
+    la, lb = prefix + len(rest_a), prefix + len(rest_b)
+    best = 0.0
+    if both:
+        common = prefix - 1
+        best = 200.0 * common / (common + min(la, lb))
+    if 200.0 * min(la, lb) / (la + lb) <= max(best, beat):
+        return best
+    return max(best, 200.0 * (prefix + lcs_length(rest_a, rest_b)) / (la + lb))
 
 
 def _best_in_block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -54,11 +66,14 @@ def _best_in_block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for labels, refs in zip(batch["libelles"], batch["refs"]):
-            names = sorted(refs)
+            names = [(r, set(r.split())) for r in sorted(refs)]
             for label in labels:
-                # max keeps the first of equal scores, so ties go to the smallest name
-                score, name = max(((token_set_ratio(label, r), r) for r in names), key=lambda p: p[0])
-                rows.append((label, name, score))
+                tokens, best, name = set(label.split()), -1.0, None
+                for ref, ref_tokens in names:  # in order, so ties go to the smallest name
+                    score = _set_ratio(tokens, ref_tokens, best)
+                    if score > best:
+                        best, name = score, ref
+                rows.append((label, name, best))
         yield pd.DataFrame(rows, columns=["libelle", "candidat", "score"])
 
 
@@ -80,6 +95,8 @@ def best_suggestions(
         return df.agg(F.greatest(F.ceil(F.count("*") / size), F.lit(1)).cast("bigint")).scalar()
 
     n_lists = parts(names, chunk)
+    # an explicit number keeps small but slow units from being merged into few tasks
+    spread = 4 * labels.sparkSession.sparkContext.defaultParallelism
     lists = (
         names.withColumn("_list", F.pmod(F.xxhash64("_r"), n_lists)).groupBy("_list").agg(F.collect_list("_r").alias("refs"))
     )
@@ -89,7 +106,7 @@ def best_suggestions(
         .agg(F.collect_list("libelle").alias("libelles"))
         .select("_block", "libelles", F.explode(F.sequence(F.lit(0).cast("bigint"), n_lists - 1)).alias("_list"))
         .join(lists, "_list")
-        .repartition("_block", "_list")
+        .repartition(spread, "_block", "_list")
         .select("libelles", "refs")
     )
     scored = units.mapInPandas(_best_in_block, "libelle string, candidat string, score double")
