@@ -337,7 +337,10 @@ def _(spark, sf):
     return files.select_period_range(silver(spark, sf), 199607, 199803).select("row_id", "periode")
 
 
-@register("s14_sample_rows")
+@register(
+    "s14_sample_rows",
+    "SELECT row_id, periode FROM silver ORDER BY sha256(concat_ws('|', CAST(row_id AS VARCHAR), '1')) LIMIT 100",
+)
 def _(spark, sf):
     return files.sample(silver(spark, sf), ["row_id"], 100).select("row_id", "periode")
 

@@ -39,7 +39,7 @@ def neighbour_changes(names: DataFrame, period: str = "periode", name: str = "co
     calendar = distinct.select(period).distinct()
     w = Window.orderBy(period)  # one row per month
     steps = calendar.select(F.col(period), F.lead(period).over(w).alias("_next"), F.lag(period).over(w).alias("_prev"))
-    here = distinct.join(F.broadcast(steps), period)
+    here = distinct.join(steps, period)
     other = distinct.select(F.col(period).alias("_p"), F.col(name).alias("_n"))
     gone = (
         here.where(F.col("_next").isNotNull())
@@ -101,5 +101,5 @@ def months_apart(a: Column | str, b: Column | str) -> Column:
 
 def sample_rows(df: DataFrame, key: list[str], n: int, seed: int = 1) -> DataFrame:
     """Repeatable sample of n rows: the smallest hashes of the key, found partition by partition."""
-    h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
+    h = F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))), 256)
     return df.withColumn("_h", h).orderBy("_h", *key).limit(n).drop("_h")

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paypanel.functions.dates import period_int, period_parts
-from paypanel.operators.schema import stack_by_name, standardize
+from paypanel.functions.text import norm_label
+from paypanel.operators.schema import dedupe_names, normalize_column_name, stack_by_name, standardize
 from paypanel.operators.sets import sample_rows
 
 PERIOD_IN_NAME = r"([0-9]{6}|[0-9]{4}[-_][0-9]{2})"
@@ -86,8 +87,6 @@ def score_header(
 
     Names are compared after label normalisation; files without such a row are absent.
     """
-    from paypanel.functions.text import norm_label
-
     found = F.transform("cellules", lambda c: norm_label(c))
 
     def share(names: list[str]) -> Column:
@@ -112,28 +111,34 @@ def header_signatures(raw: DataFrame, headers: DataFrame) -> DataFrame:
 
 
 def apply_header(raw: DataFrame, headers: DataFrame, max_signatures: int = 500) -> DataFrame:
-    """Data rows under their header names, empty rows dropped, files of all layouts united by name.
+    """Data rows under their normalised header names, empty rows dropped, one scan for all layouts.
 
-    Files are grouped by header: one projection per layout. The layouts, not the rows, reach the
-    driver, and their number is checked.
+    Only the distinct header layouts reach the driver, and their number is checked. Each row
+    then becomes a name -> cell map, from which the united columns are projected.
     """
-    from paypanel.operators.schema import dedupe_names, normalize_column_name
-
     layouts = [r["noms"] for r in header_signatures(raw, headers).limit(max_signatures + 1).collect()]
     if len(layouts) > max_signatures:
         raise ValueError(f"more than {max_signatures} header layouts; check the header detection")
-    named = raw.join(headers.select("fichier", "entete"), "fichier")
-    heads = named.where(F.col("ligne") == F.col("entete")).select("fichier", F.col("cellules").alias("_noms"))
-    body = named.where(F.col("ligne") > F.col("entete")).join(heads, "fichier")
-    body = body.where(F.exists("cellules", lambda c: F.coalesce(F.trim(c) != "", F.lit(False))))
-    frames = []
-    for cells in layouts:
-        names = dedupe_names([normalize_column_name(c) for c in cells])
-        same = body.where(F.col("_noms") == F.array(*[F.lit(c).cast("string") for c in cells]))
-        frames.append(
-            same.select("fichier", "ligne", *[F.get("cellules", F.lit(i)).alias(n) for i, n in enumerate(names)])
-        )
-    return stack_by_name(frames)
+    named = {tuple(cells): dedupe_names([normalize_column_name(c) for c in cells]) for cells in layouts}
+    union = list(dict.fromkeys(n for names in named.values() for n in names))
+    table = raw.sparkSession.createDataFrame(
+        [(list(k), v) for k, v in named.items()], "_cells array<string>, _names array<string>"
+    )
+    heads = (
+        raw.join(headers.select("fichier", "entete"), "fichier")
+        .where(F.col("ligne") == F.col("entete"))
+        .join(F.broadcast(table), F.col("cellules") == F.col("_cells"))
+        .select("fichier", "entete", "_names")
+    )
+    positions = F.sequence(F.lit(0), F.size("_names") - 1)
+    cells = F.map_from_arrays("_names", F.transform(positions, lambda i: F.get("cellules", i)))
+    return (
+        raw.join(heads, "fichier")
+        .where(F.col("ligne") > F.col("entete"))
+        .where(F.exists("cellules", lambda c: F.coalesce(F.trim(c) != "", F.lit(False))))
+        .select("fichier", "ligne", cells.alias("_m"))
+        .select("fichier", "ligne", *[F.element_at("_m", F.lit(n)).alias(n) for n in union])
+    )
 
 
 # ---------------------------------------------------------------- sinks
@@ -142,10 +147,10 @@ def apply_header(raw: DataFrame, headers: DataFrame, max_signatures: int = 500)
 def write_partitioned(df: DataFrame, path: str, by: str = "annee", mode: str = "overwrite") -> None:
     """One folder per year; with dynamic overwrite only the years present are replaced.
 
-    Rows are spread by year and a hash, so a large year is written by several tasks.
+    Rows are rebalanced by year: small years share a task, a large one is split over many, each
+    writing files of the advisory size.
     """
-    spread = df.withColumn("_s", F.pmod(F.hash(*df.columns), F.lit(64)))
-    spread.repartition(by, "_s").drop("_s").write.partitionBy(by).option("partitionOverwriteMode", "dynamic").mode(
+    df.hint("rebalance", F.col(by)).write.partitionBy(by).option("partitionOverwriteMode", "dynamic").mode(
         mode
     ).parquet(path)
 
