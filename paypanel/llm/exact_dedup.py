@@ -52,6 +52,8 @@ def digest_state(
     session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
+    # many small stores: no file space reserved in advance
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     seen = (
         session.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_trigger)
