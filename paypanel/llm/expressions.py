@@ -52,7 +52,7 @@ def prefix_sums(numbers: Column) -> Column:
     )
 
 
-def regex_spans(text: Column, pattern: str, measure: Callable[[Column], Column] = F.length) -> Column:
+def regex_spans(text: Column, pattern: str | Column, measure: Callable[[Column], Column] = F.length) -> Column:
     """All leftmost non-overlapping matches with their positions, as structs (start, end, hit, before, after).
 
     ``split`` gives the gaps and ``regexp_extract_all`` the matches of the same scan; positions are the
@@ -60,6 +60,8 @@ def regex_spans(text: Column, pattern: str, measure: Callable[[Column], Column]
     are the gaps on both sides. The pattern must not match the empty string.
     """
 
+    regex = F.lit(pattern) if isinstance(pattern, str) else pattern
+
     def spans(v: Column) -> Column:
         steps = F.transform(
             v.hits,
@@ -83,8 +85,8 @@ def regex_spans(text: Column, pattern: str, measure: Callable[[Column], Column]
 
     return let(
         F.struct(
-            F.split(text, pattern, -1).alias("gaps"),
-            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"),
+            F.split(text, regex, -1).alias("gaps"),
+            F.regexp_extract_all(text, regex, F.lit(0)).alias("hits"),
         ),
         spans,
     )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paypanel.llm import exact_dedup, pii
+from paypanel.llm import exact_dedup, licenses, pii, sharding
 from paypanel.llm.tables import table
 
 
@@ -14,11 +14,23 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.report(table(spark, sf_dir, "documents"))
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op6_exact_dedup)
+    f.__name__: f for f in (op1_pii, op2_sharding, op3_licenses, op6_exact_dedup)
+}
+ORACLES: dict[str, str] = {
+    "op1_pii": pii.ORACLE,
+    "op3_licenses": licenses.ORACLE,
+    "op6_exact_dedup": exact_dedup.ORACLE,
 }
-ORACLES: dict[str, str] = {"op1_pii": pii.ORACLE, "op6_exact_dedup": exact_dedup.ORACLE}
