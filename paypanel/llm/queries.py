@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paypanel.llm import exact_dedup, licenses, pii, sharding
+from paypanel.llm import exact_dedup, jaccard_join, language, licenses, pii, sharding
 from paypanel.llm.tables import table
 
 
@@ -22,15 +22,24 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(table(spark, sf_dir, "documents"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_sharding, op3_licenses, op6_exact_dedup)
+    f.__name__: f for f in (op1_pii, op2_sharding, op3_licenses, op4_language, op6_exact_dedup, op10_jaccard_join)
 }
 ORACLES: dict[str, str] = {
     "op1_pii": pii.ORACLE,
     "op3_licenses": licenses.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
+    "op10_jaccard_join": jaccard_join.ORACLE,
 }
