@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paypanel.llm import exact_dedup, jaccard_join, language, licenses, pii, sharding
+from paypanel.llm import bpe, decontamination, exact_dedup, jaccard_join, language, licenses, pii, sharding
 from paypanel.llm.tables import table
 
 
@@ -26,16 +27,24 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(table(spark, sf_dir, "documents"))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_sharding, op3_licenses, op4_language, op6_exact_dedup, op10_jaccard_join)
+    f.__name__: f for f in (op1_pii, op2_sharding, op3_licenses, op4_language, op5_bpe, op6_exact_dedup, op8_decontamination, op10_jaccard_join)
 }
 ORACLES: dict[str, str] = {
     "op1_pii": pii.ORACLE,
