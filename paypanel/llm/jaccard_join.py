@@ -93,17 +93,17 @@ def sketch(hashes: np.ndarray, blocks: int) -> np.ndarray:
     return words
 
 
-SKETCHES = "n int, hi long, lo long, whole boolean, level int, words array<long>"
+SKETCHES = "n int, hi long, lo long, place long, level int, words array<long>"
 
 
 def sketch_task(rule: Rule):
-    """Rows (keys..., text) to one row per document and level: keys, size, digest, sketch words."""
+    """Rows (keys..., text) to one row per document and level, in order: keys, size, digest, place, sketch words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                source, sizes, high, low, whole, level, words = [], [], [], [], [], [], []
+                source, sizes, high, low, place, level, words = [], [], [], [], [], [], []
                 for i, text in enumerate(part.column(part.num_columns - 1).to_pylist()):
                     hashes = shingle_set(text or "", rule.width)
                     hi = np.bitwise_xor.reduce(mix(hashes + np.uint64(1))) if hashes.size else np.uint64(0)
@@ -113,7 +113,7 @@ def sketch_task(rule: Rule):
                         sizes.append(hashes.size)
                         high.append(hi)
                         low.append(lo)
-                        whole.append(j == 0)
+                        place.append(j)
                         level.append(lev)
                         words.append(sketch(hashes, blocks))
                 ends = np.cumsum([0, *[w.size for w in words]]).astype(np.int32)
@@ -125,11 +125,11 @@ def sketch_task(rule: Rule):
                         pa.array(sizes, pa.int32()),
                         pa.array(np.array(high, np.uint64).view(np.int64)),
                         pa.array(np.array(low, np.uint64).view(np.int64)),
-                        pa.array(whole, pa.bool_()),
+                        pa.array(place, pa.int64()),
                         pa.array(level, pa.int32()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                     ],
-                    names=[*batch.schema.names[:-1], "n", "hi", "lo", "whole", "level", "words"],
+                    names=[*batch.schema.names[:-1], "n", "hi", "lo", "place", "level", "words"],
                 )
 
     return run
@@ -216,14 +216,15 @@ def join(docs: DataFrame, rule: Rule, keys: dict[str, Column], id_key: str, text
     """The key columns of every row with n_shingles, node (equal sets share it) and component_id.
 
     ``keys`` names the columns to carry; ``id_key`` is the one that names components. Columns used inside:
-    n, hi, lo, whole, level, words.
+    n, hi, lo, place, level, words, uid.
     """
     rows = docs.select(*[c.alias(f"k_{k}") for k, c in keys.items()], F.col(text_col).alias("_text"))
     ident = f"k_{id_key}"
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     sketched = rows.mapInArrow(sketch_task(rule), f"{fields}, {SKETCHES}")
-    base = written(sketched.withColumn("uid", F.monotonically_increasing_id()), "sketches")
-    members = base.where("whole").drop("whole", "level", "words")
+    # the rows of a document follow one another, so all of them get the number of its first
+    base = written(sketched.withColumn("uid", F.monotonically_increasing_id() - F.col("place")), "sketches")
+    members = base.where("place = 0").drop("place", "level", "words")
 
     nodes = written(
         members.where("n > 0")
@@ -234,94 +235,102 @@ def join(docs: DataFrame, rule: Rule, keys: dict[str, Column], id_key: str, text
     # of equal sets one sketch stays; most sets occur once and need no grouping
     copied = hinted(nodes.where("rows > 1").select(F.col("hi").alias("_hi"), F.col("lo").alias("_lo")), 24)
     same = (F.col("hi") == F.col("_hi")) & (F.col("lo") == F.col("_lo"))
-    sketches = base.where("n > 0").select("hi", "lo", "level", "words", "n", "uid")
+    sketches = base.where("n > 0").select("hi", "lo", "level", "words", "n", F.col("uid").alias("node"))
     once = (
         sketches.join(copied, same, "left_semi")
         .groupBy("hi", "lo", "level")
-        .agg(F.min_by("words", "uid").alias("words"), F.min("n").alias("n"))
+        .agg(F.min_by("words", "node").alias("words"), F.min("n").alias("n"), F.min("node").alias("node"))
     )
-    sketches = sketches.drop("uid").join(copied, same, "left_anti").unionByName(once)
+    sketches = sketches.join(copied, same, "left_anti").unionByName(once)
 
     blocks = F.size("words")
     row = F.transform(
         "words",
         lambda w, j: F.struct(F.xxhash64(F.col("level"), j, w).alias("key"), F.get("words", (j + 1) % blocks).alias("nxt")),
     )
-    keyed = sketches.select("hi", "lo", "n", blocks.alias("blocks"), F.explode(row).alias("r")).select(
-        "r.key", F.struct("hi", "lo", "n", "r.nxt").alias("me"), "blocks"
+    keyed = sketches.select("node", "n", blocks.alias("blocks"), F.explode(row).alias("r")).select(
+        "r.key", F.struct("node", "n", "r.nxt").alias("me"), "blocks"
     )
-    order = Window.partitionBy("key").orderBy("me.hi", "me.lo")
-    whole_key = Window.partitionBy("key")
+    order = Window.partitionBy("key").orderBy("me.node")
     met = keyed.select(
         "key",
         "me",
         "blocks",
         F.first("me").over(order).alias("first"),
         *[F.lag("me", k).over(order).alias(f"lag{k}") for k in range(1, BEFORE + 1)],
-        F.count(F.lit(1)).over(whole_key).alias("members"),
+        F.count(F.lit(1)).over(Window.partitionBy("key")).alias("members"),
     )
-    others = F.array(F.struct(F.col("first").alias("it"), F.lit(True).alias("is_first")), *[
-        F.struct(F.col(f"lag{k}").alias("it"), F.lit(False).alias("is_first")) for k in range(1, BEFORE + 1)
-    ])
-    me = F.col("me")
-    near = F.filter(
-        others,
-        lambda o: o.it.isNotNull()
-        & ((o.it.hi != me.hi) | (o.it.lo != me.lo))
-        & _fits(rule, me, o.it, F.col("blocks")),
+    others = F.array(
+        F.struct(F.col("first").alias("it"), F.lit(True).alias("is_first")),
+        *[F.struct(F.col(f"lag{k}").alias("it"), F.lit(False).alias("is_first")) for k in range(1, BEFORE + 1)],
     )
+    me = F.col("me")
+    near = F.filter(others, lambda o: (o.it.node < me.node) & _fits(rule, me, o.it, F.col("blocks")))
     found = written(
         met.where("members > 1")
-        .select("key", "me", "blocks", "members", near.alias("near"))
+        .select(
+            "key",
+            "me",
+            "blocks",
+            "members",
+            F.transform(near, lambda o: F.struct(o.it.node.alias("node"), o.is_first.alias("is_first"))).alias("near"),
+        )
         .where((F.size("near") > 0) | (F.col("members") > SMALL_KEY)),
         "near-blocks",
     )
     return _link(docs, rule, keys, id_key, text_col, members, nodes, found)
 
 
-def _link(docs, rule, keys, id_key, text_col, members, nodes, found) -> DataFrame:
-    ident = f"k_{id_key}"
-    ends = F.struct(F.col("me.hi").alias("h1"), F.col("me.lo").alias("l1"), F.col("o.it.hi").alias("h2"), F.col("o.it.lo").alias("l2"))
-    raw = found.select("me", F.explode("near").alias("o")).select(ends.alias("e"), F.col("o.is_first").alias("is_first"))
-    distinct = raw.select("e.*", "is_first").groupBy("h1", "l1", "h2", "l2").agg(F.max("is_first").alias("is_first"))
-    large = found.where(F.col("members") > SMALL_KEY).select("key", "me", "blocks")
-
-    named = nodes.select("hi", "lo", "node")
-    pairs = distinct
-    for end, k in (("a", 1), ("b", 2)):
-        pairs = pairs.join(named.toDF(f"h{k}", f"l{k}", end), [f"h{k}", f"l{k}"])
-    pairs = written(pairs.select("a", "b", "is_first"), "pairs")
-    rest = written(large.select("key", "me", "blocks", F.col("me.hi").alias("hi"), F.col("me.lo").alias("lo")).join(named, ["hi", "lo"]).select("key", "me", "blocks", "node"), "large-keys")
-
-    needed = written(
-        pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(rest.select("node")).distinct().join(nodes, "node"),
-        "needed",
-    )
+def _sets(docs: DataFrame, rule: Rule, own_id: Column, text_col: str, needed: DataFrame) -> DataFrame:
+    """(node, hashes) of the needed nodes (hi, lo, node, least_id), from their texts."""
     wanted = hinted(needed.select(F.col("least_id").alias("_id")).distinct(), 24)
     text = (
-        docs.select(keys[id_key].alias("_own"), F.col(text_col).alias("_text"))
+        docs.select(own_id.alias("_own"), F.col(text_col).alias("_text"))
         .join(wanted, F.col("_own").eqNullSafe(F.col("_id")), "left_semi")
         .select("_text")
     )
-    sets = written(
+    return written(
         text.mapInArrow(set_task(rule), "hi long, lo long, hashes array<long>")
-        .join(needed.select("hi", "lo", "node"), ["hi", "lo"])
+        .join(hinted(needed.select("hi", "lo", "node"), 40), ["hi", "lo"])
         .dropDuplicates(["node"])
         .select("node", "hashes"),
         "sets",
     )
 
+
+def _link(docs, rule, keys, id_key, text_col, members, nodes, found) -> DataFrame:
+    """Verify the pairs found, join what links, look across components in large keys, and name the components."""
+    ident = f"k_{id_key}"
+    pairs = written(
+        found.select(F.col("me.node").alias("a"), F.explode("near").alias("o"))
+        .groupBy("a", F.col("o.node").alias("b"))
+        .agg(F.max("o.is_first").alias("is_first")),
+        "pairs",
+    )
+    near = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node"), "needed")
+    sets = _sets(docs, rule, keys[id_key], text_col, near)
     links = written(verified(pairs.where("is_first").select("a", "b"), sets, rule), "links")
     comps = components(links)
+
     second = _labelled(pairs.where("not is_first").select("a", "b"), comps)
-    across = _across(rest, comps, rule)
-    more = written(verified(second.unionByName(across).distinct(), sets, rule), "links")
+    large = found.where(F.col("members") > SMALL_KEY).select("key", "me", "blocks", F.col("me.node").alias("node"))
+    across = written(_across(large, comps, rule).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "across")
+    more_nodes = written(
+        across.select(F.explode(F.array("a", "b")).alias("node"))
+        .distinct()
+        .join(near.select("node"), "node", "left_anti")
+        .join(nodes, "node"),
+        "needed",
+    )
+    if not more_nodes.isEmpty():
+        sets = sets.unionByName(_sets(docs, rule, keys[id_key], text_col, more_nodes))
+    more = written(verified(second.unionByName(across), sets, rule), "links")
     if not more.isEmpty():
         comps = components(links.unionByName(more))
 
     placed = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = placed.groupBy("comp").agg(F.min("least_id").alias("component_id"))
-    names = placed.join(least, "comp").select("hi", "lo", "node", "comp", "component_id")
+    names = placed.join(least, "comp").select("hi", "lo", "comp", "component_id")
     return members.join(names, ["hi", "lo"], "left").select(
         *[F.col(f"k_{k}").alias(k) for k in keys],
         F.col("n").cast("long").alias("n_shingles"),
@@ -348,11 +357,29 @@ def _across(rest: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame:
     return (
         left.join(right, "key")
         .where(meets & _fits(rule, F.col("x"), F.col("y"), F.col("blocks")))
-        .select("a", "b")
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
 
 
+def keep_one(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` (all columns) without near copies: of each component the row of smallest id stays.
+
+    ``docs`` is read from files; a row is known by its place in them.
+    """
+    place = {"file": F.col("_metadata.file_path"), "row": F.col("_metadata.row_index")}
+    found = join(docs, rule, {"id": F.col(id_col), **place}, "id", text_col)
+    first = F.struct(F.col("id").isNull(), "id", "uid")
+    best = found.groupBy("component").agg(F.min(first).alias("best"))
+    losers = written(
+        found.join(best, "component").where("uid != best.uid").select(F.col("file").alias("_file"), F.col("row").alias("_row")), "losers"
+    )
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_all"), place["file"].alias("_file"), place["row"].alias("_row")
+    )
+    return packed.join(hinted(losers, 200), ["_file", "_row"], "left_anti").select("_all.*")
+
+
 QUERY_RULE = Rule(width=4, low=85, high=100)
 
 

@@ -66,7 +66,7 @@ def shingle_set(text: str, width: int) -> np.ndarray:
         return words
     n = min(width, words.size)
     count = words.size - n + 1
-    total = np.full(count, np.uint64(n) * _STEP)
+    total = np.full(count, n, np.uint64) * _STEP
     for k in range(n):
         total += words[k : k + count] * _PLACE[k]
     return np.unique(mix(total))
