@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paypanel.llm import bpe, decontamination, exact_dedup, jaccard_join, language, licenses, pii, sharding
+from paypanel.llm import (
+    bpe,
+    decontamination,
+    exact_dedup,
+    html_extraction,
+    jaccard_join,
+    language,
+    licenses,
+    pii,
+    sharding,
+    toxicity,
+)
 from paypanel.llm.tables import table
 
 
@@ -35,16 +46,36 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.report(table(spark, sf_dir, "pages"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_sharding, op3_licenses, op4_language, op5_bpe, op6_exact_dedup, op8_decontamination, op10_jaccard_join)
+    f.__name__: f
+    for f in (
+        op1_pii,
+        op2_sharding,
+        op3_licenses,
+        op4_language,
+        op5_bpe,
+        op6_exact_dedup,
+        op7_html,
+        op8_decontamination,
+        op9_toxicity,
+        op10_jaccard_join,
+    )
 }
 ORACLES: dict[str, str] = {
     "op1_pii": pii.ORACLE,
