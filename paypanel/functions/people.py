@@ -50,7 +50,7 @@ MARITAL_FLAG_CODES = {
 
 def std_sex(c: Column | str) -> Column:
     """Homme / Femme / Inconnu from any known spelling."""
-    s = strip_accents(F.upper(F.trim(_col(c).cast("string"))))
+    s = squeeze(strip_accents(F.upper(_col(c).cast("string"))))
     return lookup(s, {tuple(MALE_WORDS): "Homme", tuple(FEMALE_WORDS): "Femme"}, F.lit("Inconnu"))
 
 

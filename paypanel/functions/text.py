@@ -20,13 +20,18 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# White space of any script; the engine's own \\s and trim know only ASCII.
+WHITE = r"[\s\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
+
+
 def strip_accents(c: Column | str) -> Column:
-    return F.translate(_col(c), ACCENTED, PLAIN)
+    """Plain letters for composed ones, and no combining marks."""
+    return F.regexp_replace(F.translate(_col(c), ACCENTED, PLAIN), r"\p{M}+", "")
 
 
 def squeeze(c: Column | str) -> Column:
     """Collapse runs of white space to one blank and trim both ends."""
-    return F.trim(F.regexp_replace(_col(c), r"\s+", " "))
+    return F.trim(F.regexp_replace(_col(c), WHITE, " "))
 
 
 def null_if_empty(c: Column | str) -> Column:
@@ -46,13 +51,14 @@ def norm_label_lower(c: Column | str) -> Column:
 
 def clean_place(c: Column | str) -> Column:
     """Place-name key: accents and apostrophes removed, upper case, never NULL."""
-    bare = F.regexp_replace(strip_accents(F.coalesce(_col(c), F.lit(""))), "[^\\x00-\\x7F]|'", "")
-    return F.trim(F.upper(bare))
+    spaced = F.regexp_replace(F.coalesce(_col(c), F.lit("")), WHITE, " ")
+    bare = F.regexp_replace(strip_accents(spaced), "[^\\x00-\\x7F]|'", "")
+    return squeeze(F.upper(bare))
 
 
 def norm_id(c: Column | str) -> Column:
     """Identifier without surrounding blanks or non-breaking spaces, upper case."""
-    return F.upper(F.trim(F.regexp_replace(_col(c), "\u00A0", "")))
+    return F.upper(F.regexp_replace(F.regexp_replace(_col(c), "\u00A0", ""), f"^{WHITE}|{WHITE}$", ""))
 
 
 def filled(c: Column | str, zero_is_filled: bool = True, numeric: bool = False) -> Column:

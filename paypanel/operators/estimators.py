@@ -19,15 +19,24 @@ from paypanel.operators.windows import declaration_history
 from paypanel.plans.stages import written
 
 IMPUTATIONS = 20
-DONORS = 5
+CHUNKS = 256  # parts in which the donors of one interval are numbered
 NORMAL_975 = 1.959963984540054
 
 
-def _features(categories: list[str], numbers: list[str]) -> list:
-    """Indexing, dummy coding (one level dropped) and assembling of the predictors."""
+def _known(categories: list[str]) -> dict[str, Column]:
+    """The predictors' categories, with missing as a level of its own."""
+    return {f"_k_{c}": F.coalesce(F.col(c).cast("string"), F.lit("(inconnu)")) for c in categories}
+
+
+def _features(categories: list[str], numbers: list[str], unseen: str = "error") -> list:
+    """Indexing, dummy coding (the last real level dropped) and assembling of the predictors.
+
+    Missing categories are a level of their own (``_known``). ``unseen`` says what becomes of levels that the
+    fitted rows do not have: an error, or no dummy at all ("keep").
+    """
     stages = []
     for c in categories:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"_ix_{c}", handleInvalid="keep", stringOrderType="alphabetAsc"))
+        stages.append(StringIndexer(inputCol=f"_k_{c}", outputCol=f"_ix_{c}", handleInvalid=unseen, stringOrderType="alphabetAsc"))
     if categories:
         stages.append(
             OneHotEncoder(inputCols=[f"_ix_{c}" for c in categories], outputCols=[f"_oh_{c}" for c in categories])
@@ -38,7 +47,7 @@ def _features(categories: list[str], numbers: list[str]) -> list:
 
 
 def _helpers(categories: list[str]) -> list[str]:
-    return ["_x", *[f"_ix_{c}" for c in categories], *[f"_oh_{c}" for c in categories]]
+    return ["_x", *[f"_{kind}_{c}" for kind in ("k", "ix", "oh") for c in categories]]
 
 
 def response_probability(df: DataFrame, response: str, categories: list[str], numbers: list[str]) -> DataFrame:
@@ -49,7 +58,7 @@ def response_probability(df: DataFrame, response: str, categories: list[str], nu
             LogisticRegression(featuresCol="_x", labelCol="_label", regParam=0.0, maxIter=100, tol=1e-10),
         ]
     )
-    d = df.withColumn("_label", F.col(response).cast("double"))
+    d = df.withColumns({"_label": F.col(response).cast("double"), **_known(categories)})
     scored = model.fit(d).transform(d).withColumn("pi_hat", vector_to_array("probability")[1])
     return scored.drop("_label", "rawPrediction", "probability", "prediction", *_helpers(categories))
 
@@ -79,34 +88,40 @@ def pmm_impute(
 ) -> DataFrame:
     """Predictive mean matching: ``m`` completed values per row, long form (row, m, value).
 
-    The predicted means of donors and recipients fall into narrow intervals of the prediction
-    range. A recipient draws among the donors of the nearest donor interval, by a seeded hash,
-    so the draw is repeatable and no recipient meets more than one bounded donor list.
+    The predicted means of donors and recipients fall into narrow intervals of the prediction range. All donors
+    of an interval are numbered; a recipient draws a number by a seeded hash among all donors of the nearest
+    interval that has any, and an equi-join on interval and number finds the value. Draws are repeatable, the
+    usable donors grow with the data, and numbering is cut into chunks, so no interval is one task's work.
     """
-    stages = [*_features(categories, numbers), LinearRegression(featuresCol="_x", labelCol=value, regParam=0.0)]
-    observed = df.where(F.col(value).isNotNull())
-    model = Pipeline(stages=stages).fit(observed)
-    scored = written(model.transform(df).drop(*_helpers(categories)), "pmm")
+    linear = LinearRegression(featuresCol="_x", labelCol=value, regParam=0.0)
+    ready = df.withColumns(_known(categories))
+    model = Pipeline(stages=[*_features(categories, numbers, "keep"), linear]).fit(ready.where(F.col(value).isNotNull()))
+    scored = written(model.transform(ready).drop(*_helpers(categories)), "pmm")
     span = scored.agg(F.min("prediction").alias("lo"), F.max("prediction").alias("hi"))
     lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
     width = F.nullif((hi - lo) / F.lit(float(buckets)), F.lit(0.0))
     place = F.coalesce(F.least(F.floor((F.col("prediction") - lo) / width), F.lit(buckets - 1)), F.lit(0)).cast("int")
     scored = scored.withColumn("_b", place)
 
-    # at most DONORS donors per interval, chosen by hash, kept as one short list per interval
-    pick = Window.partitionBy("_b").orderBy(F.xxhash64(F.col(row), F.lit(seed)), F.col(row))
-    donors = (
-        scored.where(F.col(value).isNotNull())
-        .select("_b", row, value)
-        .withColumn("_r", F.row_number().over(pick))
-        .where(F.col("_r") <= DONORS)
-        .groupBy("_b")
-        .agg(F.sort_array(F.collect_list(F.struct("_r", value))).alias("_d"))
+    # number the donors of each interval from 0: inside chunks, then offset by the chunks before
+    chunk = F.pmod(F.xxhash64(F.col(row), F.lit(seed)), F.lit(CHUNKS))
+    given = scored.where(F.col(value).isNotNull()).select("_b", chunk.alias("_c"), F.col(row).alias("_d"), F.col(value).alias("_v"))
+    counts = given.groupBy("_b", "_c").agg(F.count(F.lit(1)).alias("_k"))
+    in_order = Window.partitionBy("_b").orderBy("_c")  # at most CHUNKS rows per interval
+    starts = counts.select(
+        "_b", "_c", F.coalesce(F.sum("_k").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_s")
+    )
+    numbered = (
+        given.withColumn("_r", F.row_number().over(Window.partitionBy("_b", "_c").orderBy("_d")))
+        .join(starts, ["_b", "_c"])
+        .select(F.col("_b").alias("_from"), (F.col("_s") + F.col("_r") - 1).alias("_slot"), "_v")
     )
+    sizes = counts.groupBy("_b").agg(F.sum("_k").alias("_n"))
+
     # nearest interval with donors, for each of the ``buckets`` intervals
     every = df.sparkSession.range(buckets).select(F.col("id").cast("int").alias("_b"))
     over = Window.orderBy("_b")  # one row per interval
-    known = every.join(donors, "_b", "left").withColumn("_has", F.when(F.col("_d").isNotNull(), F.col("_b")))
+    known = every.join(sizes, "_b", "left").withColumn("_has", F.when(F.col("_n").isNotNull(), F.col("_b")))
     near = known.select(
         "_b",
         F.last("_has", True).over(over.rowsBetween(Window.unboundedPreceding, 0)).alias("_below"),
@@ -118,16 +133,16 @@ def pmm_impute(
         .when(F.col("_b") - F.col("_below") <= F.col("_above") - F.col("_b"), F.col("_below"))
         .otherwise(F.col("_above"))
     )
-    table = near.select("_b", nearest.alias("_from")).join(donors.withColumnRenamed("_b", "_from"), "_from").drop("_from")
+    table = near.select("_b", nearest.alias("_from")).join(sizes.withColumnRenamed("_b", "_from"), "_from")
 
-    draws = scored.select(row, value, "_b", F.explode(F.sequence(F.lit(1), F.lit(m))).alias("m"))
-    kept = draws.where(F.col(value).isNotNull()).select(row, "m", F.col(value).alias("valeur"))
-    slot = F.pmod(F.xxhash64(F.col(row), F.col("m"), F.lit(seed)), F.size("_d")).cast("int")
-    # the list table has at most ``buckets`` rows of ``DONORS`` values
+    times = F.explode(F.sequence(F.lit(1), F.lit(m))).alias("m")
+    kept = scored.where(F.col(value).isNotNull()).select(row, times, F.col(value).alias("valeur"))
+    missing = scored.where(F.col(value).isNull()).join(F.broadcast(table), "_b")  # one row per interval
     drawn = (
-        draws.where(F.col(value).isNull())
-        .join(F.broadcast(table), "_b")
-        .select(row, "m", F.get("_d", slot).getField(value).alias("valeur"))
+        missing.select(row, "_from", "_n", times)
+        .withColumn("_slot", F.pmod(F.xxhash64(F.col(row), F.col("m"), F.lit(seed)), F.col("_n")))
+        .join(numbered, ["_from", "_slot"])
+        .select(row, "m", F.col("_v").alias("valeur"))
     )
     return kept.unionByName(drawn)
 
@@ -261,7 +276,7 @@ def employer_estimate(base: DataFrame, employer: str, month: str, m: int = IMPUT
             "log_taille": F.log("taille"),
             "_mois": F.col(month).cast("string"),
             "_log": F.log("salaire_moyen_obs"),
-            "_row": F.xxhash64(employer, month),
+            "_row": F.struct(employer, month),
         }
     )
     numbers = ["log_taille", "age_moyen", "part_femmes", "hist_decl_1", "hist_decl_3"]

@@ -1,7 +1,7 @@
 """Enrichment and reconciliation joins.
 
-No join forces a broadcast except through ``small``, which checks the row count first;
-everything else is left to the size measured at run time.
+No join forces a broadcast: which side is sent whole is decided by the sizes measured at run time
+(``paypanel.session``), and planning a join starts no job.
 """
 
 from __future__ import annotations
@@ -11,15 +11,6 @@ from pyspark.sql import functions as F
 
 from paypanel.functions.text import clean_place, norm_label
 
-MAX_BROADCAST_ROWS = 100_000
-
-
-def small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a code table after checking its size; larger tables join by shuffle."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
 
 def join_sheets(agents: DataFrame, items: DataFrame, key: str = "cle_unique") -> DataFrame:
     """Agent rows with their pay-item columns; clashing item columns get ``_F2``."""
@@ -46,7 +37,7 @@ def enrich_code(
     """Add the code (and attributes) of a label column; an absent label column gives NULL codes."""
     if source not in df.columns:
         return df.withColumn(out, F.lit(None).cast("string"))
-    table = small(code_table(dim, code=code, extras=extras).withColumnRenamed(code, out))
+    table = code_table(dim, code=code, extras=extras).withColumnRenamed(code, out)
     return (
         df.drop(out, *(extras or []))
         .withColumn("_norm", norm_label(source))
@@ -203,4 +194,4 @@ def new_membership(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
 def geo_join(df: DataFrame, places: DataFrame, place: str, name: str, attributes: list[str]) -> DataFrame:
     """Attributes of the place whose cleaned name is unique in the locality table."""
     ref = drop_repeated(places.withColumn("_place", clean_place(name)), "_place").select("_place", *attributes)
-    return df.withColumn("_place", clean_place(place)).join(small(ref), "_place", "left").drop("_place")
+    return df.withColumn("_place", clean_place(place)).join(ref, "_place", "left").drop("_place")

@@ -110,15 +110,13 @@ def header_signatures(raw: DataFrame, headers: DataFrame) -> DataFrame:
     return named.groupBy(F.col("cellules").alias("noms")).agg(F.count("*").alias("fichiers"))
 
 
-def apply_header(raw: DataFrame, headers: DataFrame, max_signatures: int = 500) -> DataFrame:
+def apply_header(raw: DataFrame, headers: DataFrame) -> DataFrame:
     """Data rows under their normalised header names, empty rows dropped, one scan for all layouts.
 
-    Only the distinct header layouts reach the driver, and their number is checked. Each row
-    then becomes a name -> cell map, from which the united columns are projected.
+    Only the distinct header layouts reach the driver (they name the columns of the result), however many
+    there are. Each row then becomes a name -> cell map, from which the united columns are projected.
     """
-    layouts = [r["noms"] for r in header_signatures(raw, headers).limit(max_signatures + 1).collect()]
-    if len(layouts) > max_signatures:
-        raise ValueError(f"more than {max_signatures} header layouts; check the header detection")
+    layouts = [r["noms"] for r in header_signatures(raw, headers).collect()]
     named = {tuple(cells): dedupe_names([normalize_column_name(c) for c in cells]) for cells in layouts}
     union = list(dict.fromkeys(n for names in named.values() for n in names))
     table = raw.sparkSession.createDataFrame(
@@ -127,7 +125,7 @@ def apply_header(raw: DataFrame, headers: DataFrame, max_signatures: int = 500)
     heads = (
         raw.join(headers.select("fichier", "entete"), "fichier")
         .where(F.col("ligne") == F.col("entete"))
-        .join(F.broadcast(table), F.col("cellules") == F.col("_cells"))
+        .join(table, F.col("cellules") == F.col("_cells"))
         .select("fichier", "entete", "_names")
     )
     positions = F.sequence(F.lit(0), F.size("_names") - 1)

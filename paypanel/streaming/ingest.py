@@ -6,7 +6,7 @@ stream checkpoint, so a file is taken exactly once even after a failed run.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,35 +48,44 @@ def period_headcounts(rows: DataFrame) -> DataFrame:
     )
 
 
-def running_effectifs(spark: SparkSession, folder: str, schema: T.StructType, target: str, checkpoint: str) -> None:
+def version_in_name() -> Column:
+    """The delivery a file belongs to: the number after ``_v`` in its name, 1 without one."""
+    return F.coalesce(F.regexp_extract(F.col("_metadata.file_name"), "(?i)[_-]v([0-9]+)", 1).try_cast("int"), F.lit(1))
+
+
+def running_effectifs(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    target: str,
+    checkpoint: str,
+    delivery: Column | None = None,
+) -> None:
     """Headcounts per period, kept up to date; a period delivered again replaces its earlier figures.
 
-    A batch is reduced to its newest file per period, then only the period folders it touches
-    are overwritten, so repeating a batch gives the same table.
+    The stream tells which periods have new files. Those periods are counted anew from all files of their
+    newest delivery in ``folder``, whenever each of them arrived, so a split delivery counts in full, a late file
+    of an older delivery changes nothing, and repeating a batch gives the same table. Only the folders of these
+    periods are overwritten. ``delivery`` orders the deliveries of a period, from the file's metadata.
     """
+    order = version_in_name() if delivery is None else delivery
+
+    def arrived(rows: DataFrame) -> DataFrame:
+        named = F.regexp_extract(F.col("_metadata.file_name"), PERIOD_IN_NAME, 1)
+        return with_period(rows.select("*", named.alias("mois_annee"), order.alias("_delivery")))
 
     def upsert(batch: DataFrame, _: int) -> None:
-        newest = batch.groupBy(F.col("periode").alias("_p")).agg(
-            F.max_by("fichier_source", F.struct("_moment", "fichier_source")).alias("_f")
-        )
-        latest = batch.join(newest, (F.col("periode") == F.col("_p")) & (F.col("fichier_source") == F.col("_f")))
+        touched = [r["periode"] for r in batch.select("periode").distinct().collect()]  # as many as the calendar has
+        rows = arrived(spark.read.schema(schema).parquet(folder)).where(F.col("periode").isin(touched))
+        newest = rows.groupBy(F.col("periode").alias("_p")).agg(F.max("_delivery").alias("_newest"))
+        latest = rows.join(F.broadcast(newest), (F.col("periode") == F.col("_p")) & F.col("_delivery").eqNullSafe(F.col("_newest")))
         period_headcounts(latest).write.partitionBy("periode").option("partitionOverwriteMode", "dynamic").mode(
             "overwrite"
         ).parquet(target)
 
-    moment = F.col("_metadata.file_modification_time")
-    rows = spark.readStream.schema(schema).parquet(folder)
-    name = F.col("_metadata.file_name")
-    stream = with_period(
-        rows.select(
-            "*",
-            F.regexp_extract(name, PERIOD_IN_NAME, 1).alias("mois_annee"),
-            name.alias("fichier_source"),
-            moment.alias("_moment"),
-        )
-    )
     query = (
-        stream.writeStream.foreachBatch(upsert)
+        arrived(spark.readStream.schema(schema).parquet(folder))
+        .writeStream.foreachBatch(upsert)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -72,3 +72,17 @@ def test_estimates_bracket_the_mean(spark, frame):
     assert e["ic_bas"] <= e["moyenne"] <= e["ic_haut"]
     t = est.two_stage_estimate(late, base, "ent", "mois", "salaire", "R", ["sexe", "job"], ["age"]).first()
     assert t["ic_bas"] < t["moyenne"] < t["ic_haut"] and t["n_entreprises"] == 19
+
+
+def test_every_donor_can_be_drawn(spark):
+    """Plain predictors put all rows into few intervals; still all donors' values are in use."""
+    d = spark.range(4_000).select(
+        F.col("id").alias("row"),
+        (F.col("id") % 2).cast("string").alias("cat"),
+        F.lit(1.0).alias("num"),
+        F.when(F.col("id") < 1_000, F.col("id").cast("double")).alias("v"),
+    )
+    done = est.pmm_impute(d, "v", "row", ["cat"], ["num"], 3)
+    drawn = done.where("row >= 1000")
+    assert drawn.count() == 9_000 and done.count() == 12_000
+    assert drawn.select("valeur").distinct().count() > 900

@@ -119,6 +119,36 @@ def test_exactly_once_and_redelivery(spark, sf, folder):
     assert {r for r in first if r[0] != 199601} == {r for r in second if r[0] != 199601}
 
 
+def test_split_and_late_deliveries(spark, sf, folder):
+    landing = folder + "/landing"
+    os.makedirs(landing)
+    schema = frame(spark, sf, "panel_src").drop("mois_annee", "periode").schema
+    rows = spark.read.schema(schema).parquet(monthly_files(spark, sf) + "/011996.parquet").limit(5).collect()
+    args = (spark, landing, schema, folder + "/eff", folder + "/ck")
+
+    def land(name, part):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{folder}/{name}")
+        file = next(f for f in os.listdir(f"{folder}/{name}") if f.endswith(".parquet"))
+        os.rename(f"{folder}/{name}/{file}", f"{landing}/{name}.parquet")
+
+    def counted():
+        return sum(r["nb_lignes"] for r in spark.read.parquet(folder + "/eff").where("periode = 199601").collect())
+
+    land("011996_a", rows[:2])
+    land("011996_b", rows[2:3])
+    ingest.running_effectifs(*args)
+    assert counted() == 3  # both halves of one delivery
+    land("011996_c", rows[3:4])
+    ingest.running_effectifs(*args)
+    assert counted() == 4  # a part that arrives later
+    land("011996_v3", rows[:2])
+    ingest.running_effectifs(*args)
+    assert counted() == 2
+    land("011996_v2", rows)
+    ingest.running_effectifs(*args)
+    assert counted() == 2  # an older delivery that arrives late
+
+
 def test_written_cuts_the_plan(spark):
     d = written(spark.range(5).withColumn("x", F.col("id") * 2))
     assert "Range" not in d._jdf.queryExecution().optimizedPlan().toString() and d.count() == 5

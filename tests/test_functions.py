@@ -145,3 +145,16 @@ def test_panel_projection_has_every_column(spark):
     out = schema.select_panel(d)
     assert out.columns == schema.PANEL_COLUMNS and len(set(c.lower() for c in out.columns)) == len(out.columns)
     assert dict(out.dtypes)["montant_brut"] == "double"
+
+
+@pytest.mark.parametrize(
+    "value, want", [("AGENT\u00a0DE BUREAU", "AGENT DE BUREAU"), ("Inge\u0301nieur", "INGENIEUR"), ("a\t\u2003b\u202f", "A B")]
+)
+def test_norm_label_of_other_scripts_blanks(spark, value, want):
+    assert one(spark, value, text.norm_label) == want
+
+
+def test_situation_and_sex_with_odd_blanks(spark):
+    assert one(spark, "En\u00a0activite\u0301", people.normalize_situation) == "en_activite"
+    assert one(spark, "M\t", people.std_sex) == "Homme"
+    assert one(spark, "\u00a0 ab1\t", text.norm_id) == "AB1"
