@@ -128,6 +128,7 @@ TEXTS = [
     ("bsd", 0, 0.9, "redistribution and use", "redistribution and use in source and binary forms with or without modification are permitted"),
     ("bsd-3-clause", 0, 0.9, "neither the name", "neither the name of (?:[^ ]+ ){1,8}nor the names of its contributors"),
     ("apache-2.0", 0, 1.0, "apache", "(?:www )?apache org licenses license 2 0"),
+    ("apache-2.0", 0, 0.95, "apache license", "apache license version 2 0"),
     ("gpl", 0, 0.9, "free software", "this program is free software you can redistribute it and or modify it"),
     ("gpl", 1, 0.8, "general public", "gnu general public license"),
     ("mpl-2.0", 0, 1.0, "mozilla", "mozilla org mpl 2 0"),
