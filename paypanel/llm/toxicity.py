@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from paypanel.llm.language import letters
 from paypanel.llm.shingles import mix
+from paypanel.llm.tables import hinted
 from paypanel.plans.stages import written
 
 FEATURES = 1 << 18
@@ -149,7 +150,8 @@ def fit(rows: list[np.ndarray], grade: np.ndarray, weight: np.ndarray, scale: np
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> Model:
     """The model of the labelled documents (doc_id, toxic of ``labels``)."""
     known = labels.where("doc_id is not null and toxic is not null").select("doc_id", (F.col("toxic") > 0).cast("int").alias("_toxic"))
-    rows = docs.select(F.col("doc_id"), F.col(text_col).alias("_text")).join(known, "doc_id")
+    texts = docs.select(F.col("doc_id"), F.col(text_col).alias("_text"))
+    rows = texts.join(hinted(known, 24), "doc_id")
     counts = (
         rows.select("_toxic", "_text")
         .mapInArrow(count_task, "feature long, clean long, toxic long")
@@ -169,13 +171,16 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text_col: st
     scale = np.sign(odds) * np.maximum(np.abs(odds) - error, 0.0)
     scale[np.abs(scale) < LEAST_SCALE] = 0.0
 
-    chosen = rows.withColumn("_order", F.xxhash64("doc_id"))
-    parts = [chosen.where(f"_toxic = {side}").orderBy("_order").limit(sample) for side in (0, 1)]
-    picked = written(parts[0].unionByName(parts[1]).select("_toxic", "_text"), "toxic-sample")
+    # the sample is drawn from the labels, and only its documents are read again
+    parts = [known.where(f"_toxic = {side}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for side in (0, 1)]
+    drawn = written(parts[0].unionByName(parts[1]), "toxic-sample")
+    picked = written(texts.join(F.broadcast(drawn), "doc_id").select("_toxic", "_text"), "toxic-texts")  # at most 2 * sample rows
     found = picked.mapInArrow(sample_task(scale), "toxic int, share double, features array<int>").toArrow()
     side = found.column("toxic").to_numpy()
     share = found.column("share").to_numpy()
     told = [np.asarray(x, np.int64) for x in found.column("features").to_pylist()]
+    if not (side == 0).any() or not (side == 1).any():
+        return Model(np.zeros(FEATURES), np.full(GRADES - 1, 500.0))
     middle = float(np.median(share[side == 1]))
     grade = np.where(side == 0, 0, np.where(share > middle, 2, 1)).astype(np.int64)
     weight = np.where(side == 1, toxic / (side == 1).sum(), clean / (side == 0).sum())
