@@ -12,8 +12,9 @@ are left out, wherever they stand: by element name, by role, or by a word of cla
 Unclosed elements end where their parent ends; a paragraph ends where the next block starts. Character
 references are decoded, white space inside a block becomes one blank, blocks are joined by an empty line.
 
-Votes are pre-summed per task, so a host with a third of all pages is a few rows. The winning paths (one per
-host) are joined to the pages by host; the join may be split, as its other side is unique.
+Votes are pre-summed per batch, so a host with a third of all pages is a few rows. The winning paths (one per
+host) go to the pages by broadcast when their counted size allows it, so pages are not moved at all; beyond it the
+join by host may be split, as its other side is unique.
 
 Defined results: null or empty html, or a page without text, gives an empty text and no vote. A null url is a
 host of its own. Repeated rows vote as often as they occur. Ties between paths go to the greater summed
@@ -30,6 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from paypanel.llm.tables import hinted
+from paypanel.plans.stages import written
+
 # Fixed values of HTML: elements without end tags, elements that break a line of text, and what ends a paragraph.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -275,7 +279,7 @@ def winning_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html"
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per page: id, url, the path it was extracted by, and the main text."""
-    paths = winning_paths(pages, url_col, html_col)
+    paths = hinted(written(winning_paths(pages, url_col, html_col), "host-paths"), 200)
     rows = pages.select(
         F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host")
     )
