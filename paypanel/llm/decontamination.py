@@ -8,7 +8,8 @@ shares ``2 * WINDOW - 1`` template tokens in a row with an item holds at least o
 and windows meet in a hash join; hits of one item at one offset form an alignment, whose slots must be
 consistent: one filler on the item's side always meets the same filler on the document's side, and the other
 way round. That catches a question whose numbers and names were exchanged, and leaves texts alone that only
-share a sentence form.
+share a sentence form. Slots are compared inside matched blocks; those of an item's first or last few tokens
+that fill no whole block of the document are not seen.
 
 An alignment contaminates when its blocks cover at least ``COVER`` of what whole blocks can cover in the item,
 or ``RUN`` tokens in a row, and at least half of the matched tokens are words, not placeholders.
