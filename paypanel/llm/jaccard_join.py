@@ -9,12 +9,16 @@ followed by one that differs in at most 2 d / (d + 1) bits, so each row also car
 unrelated documents that agree in a block by chance are turned away where they meet. What is left is verified
 on the exact sets.
 
-Skew and links. Equal sets are one node. Within a block's key no pairs are emitted: a row meets the first row
-of its key and the three before it, which covers every pair of keys with up to five nodes. First the pairs with
-the first row are verified, and linked nodes joined; then only those of the others that lie in different
-components; and in keys of six nodes and more, every node outside the key's main component meets the nodes of
-other components. Pairs left out lie in one component already, so the components are exact and a group of near
-copies of any size costs in proportion to its rows.
+Skew and links. Equal sets are one node. Within a block's key no pairs are emitted: in keys of up to five nodes
+a row meets the first row of its key and the three before it, which is every pair. A key of six nodes and more is
+cut by the two halves of the next block, one of which agrees in linked texts; what still has six nodes and more
+gets a pivot by votes for nodes with most such keys; the keys of a group of near copies so share one pivot, and a
+node meets that alone. What a set differs in from its pivot is its difference D; two
+sets differ by |D| + |D'| - 2 |D and D'|, so texts that do not link by their sizes |D| alone must share elements
+of D, at least a known number of them. Elements are ordered by how many differences under the pivot hold them, and
+by the prefix principle linked texts meet on one of their rarest elements, at a rank that leaves room for enough
+common ones. Only texts of different components are sought. Pairs left out lie in one component already or cannot
+link, so the components are exact, and a large group of near copies costs in proportion to its rows and differences.
 
 Defined results: a null or empty text, or one without words, has the empty set, no link, and its own id as
 component. Repeated rows and equal sets are in one component. A null id is a node like others and is named
@@ -34,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paypanel.llm.shingles import mix, shingle_set
-from paypanel.llm.tables import hinted
+from paypanel.llm.tables import BROADCAST_BYTES, hinted
 from paypanel.plans.stages import written
 
 BAND_GROWTH = 1.5
@@ -163,6 +167,30 @@ def _fits(rule: Rule, own: Column, other: Column, blocks: Column) -> Column:
     return sizes & (F.bit_count(own.nxt.bitwiseXOR(other.nxt)) <= F.floor(2 * allowed / blocks))
 
 
+def _meet(keyed: DataFrame, rule: Rule) -> DataFrame:
+    """Rows (key, me, blocks) whose key is shared, with its members and, in small keys, the nodes before that may link."""
+    order = Window.partitionBy("key").orderBy("me.node")
+    met = keyed.select(
+        "key",
+        "me",
+        "blocks",
+        F.first("me").over(order).alias("first"),
+        *[F.lag("me", k).over(order).alias(f"lag{k}") for k in range(1, BEFORE + 1)],
+        F.count(F.lit(1)).over(Window.partitionBy("key")).alias("members"),
+    )
+    others = F.array(
+        F.struct(F.col("first").alias("it"), F.lit(True).alias("is_first")),
+        *[F.struct(F.col(f"lag{k}").alias("it"), F.lit(False).alias("is_first")) for k in range(1, BEFORE + 1)],
+    )
+    me, small = F.col("me"), F.col("members") <= SMALL_KEY
+    near = F.filter(others, lambda o: small & (o.it.node < me.node) & _fits(rule, me, o.it, F.col("blocks")))
+    return (
+        met.where("members > 1")
+        .select("key", "me", "blocks", "members", F.transform(near, lambda o: F.struct(o.it.node.alias("node"), o.is_first.alias("is_first"))).alias("near"))
+        .where((F.size("near") > 0) | ~small)
+    )
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of the edges (a, b); comp is the smallest node of the component.
 
@@ -204,7 +232,8 @@ def _labelled(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) that link on their exact sets."""
+    """The pairs (a, b) that link on their exact sets; only the sets of their ends are moved."""
+    sets = sets.join(hinted(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), 8), "node", "left_semi")
     joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b"
     )
@@ -251,34 +280,12 @@ def join(docs: DataFrame, rule: Rule, keys: dict[str, Column], id_key: str, text
     keyed = sketches.select("node", "n", blocks.alias("blocks"), F.explode(row).alias("r")).select(
         "r.key", F.struct("node", "n", "r.nxt").alias("me"), "blocks"
     )
-    order = Window.partitionBy("key").orderBy("me.node")
-    met = keyed.select(
-        "key",
-        "me",
-        "blocks",
-        F.first("me").over(order).alias("first"),
-        *[F.lag("me", k).over(order).alias(f"lag{k}") for k in range(1, BEFORE + 1)],
-        F.count(F.lit(1)).over(Window.partitionBy("key")).alias("members"),
-    )
-    others = F.array(
-        F.struct(F.col("first").alias("it"), F.lit(True).alias("is_first")),
-        *[F.struct(F.col(f"lag{k}").alias("it"), F.lit(False).alias("is_first")) for k in range(1, BEFORE + 1)],
-    )
-    me = F.col("me")
-    near = F.filter(others, lambda o: (o.it.node < me.node) & _fits(rule, me, o.it, F.col("blocks")))
-    found = written(
-        met.where("members > 1")
-        .select(
-            "key",
-            "me",
-            "blocks",
-            "members",
-            F.transform(near, lambda o: F.struct(o.it.node.alias("node"), o.is_first.alias("is_first"))).alias("near"),
-        )
-        .where((F.size("near") > 0) | (F.col("members") > SMALL_KEY)),
-        "near-blocks",
-    )
-    return _link(docs, rule, keys, id_key, text_col, members, nodes, found)
+    found = written(_meet(keyed, rule), "near-blocks")
+    # by the ring form the next block differs in one bit at most, so one of its halves agrees
+    halves = F.array(*[F.struct(F.lit(h).alias("h"), F.shiftrightunsigned(F.shiftleft("me.nxt", 32 * h), 32).alias("half")) for h in (0, 1)])
+    finer = found.where(F.col("members") > SMALL_KEY).select("key", "me", "blocks", F.explode(halves).alias("p"))
+    finer = written(_meet(finer.withColumn("key", F.xxhash64("key", "p.h", "p.half")).drop("p"), rule), "near-halves")
+    return _link(docs, rule, keys, id_key, text_col, members, nodes, found, finer)
 
 
 def _sets(docs: DataFrame, rule: Rule, own_id: Column, text_col: str, needed: DataFrame) -> DataFrame:
@@ -298,33 +305,66 @@ def _sets(docs: DataFrame, rule: Rule, own_id: Column, text_col: str, needed: Da
     )
 
 
-def _link(docs, rule, keys, id_key, text_col, members, nodes, found) -> DataFrame:
-    """Verify the pairs found, join what links, look across components in large keys, and name the components."""
+def _pivots(large: DataFrame) -> DataFrame:
+    """(node, pivot) for rows (key, node): all nodes of a key share a pivot, which need not be one of them.
+
+    A node that agrees with the group in most blocks has most keys. Each node takes the best node that most of its
+    keys name, each key the one that most of its members take; keys shared by chance are a minority in both.
+    """
+    own = large.groupBy("node").agg(F.struct(F.count(F.lit(1)).alias("keys"), (-F.col("node")).alias("minus")).alias("rank"))
+    named = large.join(own, "node").groupBy("key").agg((-F.max("rank")["minus"]).alias("pivot"))
+
+    def most(by: str, names: DataFrame, on: str) -> DataFrame:
+        votes = large.join(names, on).groupBy(by, "pivot").agg(F.count(F.lit(1)).alias("votes"))
+        return votes.groupBy(by).agg(F.max(F.struct("votes", (-F.col("pivot")).alias("minus"))).alias("top")).select(by, (-F.col("top.minus")).alias("pivot"))
+
+    best = most("key", most("node", named, "key"), "node")
+    return large.join(best, "key").select("node", "pivot").distinct()
+
+
+def _differences(under: DataFrame, sets: DataFrame) -> DataFrame:
+    """(pivot, node, n, pivot_n, diff): the elements in one of the two sets only."""
+    heads = sets.join(hinted(under.select(F.col("pivot").alias("node")).distinct(), 8), "node", "left_semi")
+    weight = heads.agg(F.coalesce(F.sum(F.size("hashes") * 8 + 32), F.lit(0))).first()[0]
+    heads = heads.select(F.col("node").alias("pivot"), F.col("hashes").alias("y"))
+    if weight <= BROADCAST_BYTES:
+        heads = F.broadcast(heads)
+    x, y = F.col("x"), F.col("y")
+    return (
+        under.join(sets.join(hinted(under.select("node").distinct(), 8), "node", "left_semi").select("node", F.col("hashes").alias("x")), "node")
+        .join(heads, "pivot")
+        .select("pivot", "node", F.size(x).alias("n"), F.size(y).alias("pivot_n"), F.concat(F.array_except(x, y), F.array_except(y, x)).alias("diff"))
+    )
+
+
+def _link(docs, rule, keys, id_key, text_col, members, nodes, found, finer) -> DataFrame:
+    """Verify first pairs and pivots, join what links, look across components, and name the components."""
     ident = f"k_{id_key}"
     pairs = written(
-        found.select(F.col("me.node").alias("a"), F.explode("near").alias("o"))
+        found.unionByName(finer)
+        .select(F.col("me.node").alias("a"), F.explode("near").alias("o"))
         .groupBy("a", F.col("o.node").alias("b"))
         .agg(F.max("o.is_first").alias("is_first")),
         "pairs",
     )
-    near = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node"), "needed")
-    sets = _sets(docs, rule, keys[id_key], text_col, near)
-    links = written(verified(pairs.where("is_first").select("a", "b"), sets, rule), "links")
+    under = written(_pivots(finer.where(F.col("members") > SMALL_KEY).select("key", F.col("me.node").alias("node"))), "pivots")
+    near = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(
+        under.select(F.explode(F.array("node", "pivot")).alias("node"))
+    )
+    sets = _sets(docs, rule, keys[id_key], text_col, written(near.distinct().join(nodes, "node"), "needed"))
+    diffs = written(_differences(under, sets), "differences")
+    to_pivot = diffs.where(F.size("diff") * (rule.high + rule.low) <= (F.col("n") + F.col("pivot_n")) * (rule.high - rule.low))
+    links = written(
+        verified(pairs.where("is_first").select("a", "b"), sets, rule).unionByName(
+            to_pivot.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+        ),
+        "links",
+    )
     comps = components(links)
 
     second = _labelled(pairs.where("not is_first").select("a", "b"), comps)
-    large = found.where(F.col("members") > SMALL_KEY).select("key", "me", "blocks", F.col("me.node").alias("node"))
-    across = written(_across(large, comps, rule).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "across")
-    more_nodes = written(
-        across.select(F.explode(F.array("a", "b")).alias("node"))
-        .distinct()
-        .join(near.select("node"), "node", "left_anti")
-        .join(nodes, "node"),
-        "needed",
-    )
-    if not more_nodes.isEmpty():
-        sets = sets.unionByName(_sets(docs, rule, keys[id_key], text_col, more_nodes))
-    more = written(verified(second.unionByName(across), sets, rule), "links")
+    across = written(second.unionByName(_across(diffs, comps, rule)).distinct(), "across")
+    more = written(verified(across, sets, rule), "links")
     if not more.isEmpty():
         comps = components(links.unionByName(more))
 
@@ -340,26 +380,75 @@ def _link(docs, rule, keys, id_key, text_col, members, nodes, found) -> DataFram
     )
 
 
-def _across(rest: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs in large keys between a node outside the key's main component and a node of another component.
+def _across(diffs: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) of different components under one pivot that may link by their differences.
 
-    The main component of a key is the one with most nodes (smallest name among equals).
+    With ``excess`` = (high + low) |D| - (high - low) n, two sets link exactly if excess + excess' is at most
+    2 (high + low) times the number of elements common to D and D'. Sums of at most 0 link for sure: they are
+    joined through the node of least ``excess``. Others have a common element, and at the first of them in the
+    order by frequency each side has ``left`` elements to go, which must be enough. Beyond rank ``upto`` none is:
+    a difference of m elements to a partner needs m - d common ones, and a partner in the pivot's component
+    meets only texts that do not link with the pivot.
     """
-    named = rest.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    counts = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"))
-    mains = counts.groupBy("key").agg(
-        F.max(F.struct(F.col("k"), (-F.col("comp")).alias("minus"))).alias("top"), F.count(F.lit(1)).alias("kinds")
+    both, gap = rule.high + rule.low, rule.high - rule.low
+    comp = {c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp")) for c in ("node", "pivot")}
+    m = F.size("diff")
+    named = (
+        diffs.join(comp["node"], "node", "left")
+        .join(comp["pivot"], "pivot", "left")
+        .select(
+            "pivot",
+            "node",
+            "n",
+            "diff",
+            F.coalesce("node_comp", "node").alias("comp"),
+            F.coalesce("pivot_comp", "pivot").alias("main"),
+            (m * both - F.col("n") * gap).cast("long").alias("excess"),
+            m.alias("m"),
+            "pivot_n",
+        )
     )
-    mixed = named.join(mains.where("kinds > 1").select("key", (-F.col("top.minus")).alias("main")), "key")
-    left = mixed.where("comp != main").select("key", F.col("me").alias("x"), F.col("node").alias("a"), F.col("comp").alias("ca"))
-    right = mixed.select("key", F.col("me").alias("y"), F.col("node").alias("b"), F.col("comp").alias("cb"), "main", "blocks")
-    meets = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
-    return (
-        left.join(right, "key")
-        .where(meets & _fits(rule, F.col("x"), F.col("y"), F.col("blocks")))
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct()
+    apart = F.col("comp") != F.col("main")
+    named = written(named.withColumn("apart", apart), "named")
+    mixed = hinted(named.where("apart").select("pivot").distinct(), 8)
+    named = named.join(mixed, "pivot", "left_semi")
+    partner = F.floor(F.col("n") * rule.high / F.lit(rule.low))
+    common = F.greatest(F.lit(1), F.ceil((F.col("excess") + F.col("pivot_n") * gap + 1) / F.lit(2 * both)))
+    upto = F.when(F.col("apart"), F.floor((F.col("n") + partner) * gap / F.lit(both)) + 1).otherwise(F.col("m") - common + 1)
+
+    least = named.groupBy("pivot").agg(F.min(F.struct("excess", "node", "comp")).alias("least"))
+    sure = (
+        named.join(hinted(least, 32), "pivot")
+        .where((F.col("excess") + F.col("least.excess") <= 0) & (F.col("comp") != F.col("least.comp")))
+        .select(F.col("node").alias("a"), F.col("least.node").alias("b"))
+    )
+
+    elements = named.select("pivot", "node", F.explode("diff").alias("element"))
+    counts = elements.groupBy("pivot", "element").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    shared = (
+        elements.join(counts, ["pivot", "element"])
+        .groupBy("pivot", "node")
+        .agg(F.sort_array(F.collect_list(F.struct("held", "element"))).alias("shared"))
+    )
+    ranked = (
+        named.select("pivot", "node", "n", "comp", "excess", "m", upto.alias("upto"))
+        .join(shared, ["pivot", "node"])
+        .select("*", F.posexplode("shared").alias("at", "e"))
+        .withColumn("left", F.size("shared") - F.col("at"))
+        .where("m - left + 1 <= upto")
+        .select("pivot", "e.element", F.struct("node", "n", "comp", "excess", "left").alias("it"))
+    )
+    ranked = written(ranked, "rare")
+    x, y = F.col("x"), F.col("y")
+    enough = (x.excess + y.excess) <= F.least(x.left, y.left) * (2 * both)
+    sizes = F.least(x.n, y.n) * rule.high >= F.greatest(x.n, y.n) * rule.low
+    met = (
+        ranked.withColumnRenamed("it", "x")
+        .join(ranked.withColumnRenamed("it", "y"), ["pivot", "element"])
+        .where((x.node > y.node) & (x.comp != y.comp) & sizes & enough)
+        .select(x.node.alias("a"), y.node.alias("b"))
     )
+    return sure.unionByName(met).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
 def keep_one(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

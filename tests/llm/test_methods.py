@@ -299,18 +299,18 @@ def test_sketch_distance_is_a_lower_bound():
             assert bits <= len(set(x.tolist()) ^ set(y.tolist()))
 
 
-@pytest.mark.parametrize("before", [0, 3])
-def test_components_against_brute_force(spark, monkeypatch, before):
+@pytest.mark.parametrize("before, copies", [(0, 12), (3, 12), (0, 70), (3, 70)])
+def test_components_against_brute_force(spark, monkeypatch, before, copies):
     monkeypatch.setattr(jaccard_join, "BEFORE", before)
     monkeypatch.setattr(jaccard_join, "SMALL_KEY", before + 2)
     rng = random.Random(11)
     texts = []
     for _ in range(6):
         words = [f"w{rng.randint(0, 10_000)}" for _ in range(rng.choice([3, 8, 40, 150]))]
-        for _ in range(12):
+        for _ in range(copies):
             copy = list(words)
-            for _ in range(rng.randint(0, 4)):
-                copy[rng.randrange(len(copy))] = f"x{rng.randint(0, 10_000)}"
+            for _ in range(rng.randint(0, 4) if copies < 20 else int(rng.paretovariate(0.8)) % 30):
+                copy[rng.randrange(len(copy))] = f"x{rng.randint(0, 40 if rng.random() < 0.3 else 10_000)}"
             texts.append(" ".join(copy))
     rule = jaccard_join.QUERY_RULE
 
