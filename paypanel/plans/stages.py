@@ -9,11 +9,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 _KNOWN: dict[tuple[str, str], str] = {}
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_FREES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,12 +32,40 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+@contextmanager
+def exchanges_freed(spark: SparkSession) -> Iterator[None]:
+    """Within, executors delete the exchanged files of a query as soon as it has ended, not when the driver collects garbage.
+
+    A written layer is read from its files, so nothing asks for its exchanges again; while the query runs they
+    are kept for retries as ever.
+    """
+    before = spark.conf.get(_FREES, None)
+    spark.conf.set(_FREES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREES)
+        else:
+            spark.conf.set(_FREES, before)
+
+
 def written(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write the frame under a fresh path of the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with exchanges_freed(spark):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def discard(cut: DataFrame) -> None:
+    """Delete the files of a frame that ``written`` returned; only when all that reads them has itself been written."""
+    spark = cut.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(_PATHS.pop(cut))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def layer(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
