@@ -19,6 +19,7 @@ of D, at least a known number of them. Elements are ordered by how many differen
 by the prefix principle linked texts meet on one of their rarest elements, at a rank that leaves room for enough
 common ones. Only texts of different components are sought. Pairs left out lie in one component already or cannot
 link, so the components are exact, and a large group of near copies costs in proportion to its rows and differences.
+The blocks are exchanged in a fixed number of passes, so the executors hold a part of the block keys at a time.
 
 Defined results: a null or empty text, or one without words, has the empty set, no link, and its own id as
 component. Repeated rows and equal sets are in one component. A null id is a node like others and is named
@@ -30,7 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ from paypanel.plans.stages import written
 BAND_GROWTH = 1.5
 BEFORE = 3  # rows before it that a row meets in its key
 SMALL_KEY = BEFORE + 2
+PASSES = 4  # rounds in which the blocks are exchanged; each round's files are freed before the next
 
 
 @dataclass(frozen=True)
@@ -191,6 +193,18 @@ def _meet(keyed: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
+def _keyed(sketches: DataFrame, turn: int) -> DataFrame:
+    """Rows (key, me, blocks) of the blocks j with j mod PASSES = ``turn``."""
+    blocks = F.size("words")
+    row = F.transform(
+        F.sequence(F.lit(turn), blocks - 1, F.lit(PASSES)),
+        lambda j: F.struct(F.xxhash64(F.col("level"), j, F.get("words", j)).alias("key"), F.get("words", (j + 1) % blocks).alias("nxt")),
+    )
+    return sketches.where(blocks > turn).select("node", "n", blocks.alias("blocks"), F.explode(row).alias("r")).select(
+        "r.key", F.struct("node", "n", "r.nxt").alias("me"), "blocks"
+    )
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of the edges (a, b); comp is the smallest node of the component.
 
@@ -272,15 +286,9 @@ def join(docs: DataFrame, rule: Rule, keys: dict[str, Column], id_key: str, text
     )
     sketches = sketches.join(copied, same, "left_anti").unionByName(once)
 
-    blocks = F.size("words")
-    row = F.transform(
-        "words",
-        lambda w, j: F.struct(F.xxhash64(F.col("level"), j, w).alias("key"), F.get("words", (j + 1) % blocks).alias("nxt")),
-    )
-    keyed = sketches.select("node", "n", blocks.alias("blocks"), F.explode(row).alias("r")).select(
-        "r.key", F.struct("node", "n", "r.nxt").alias("me"), "blocks"
-    )
-    found = written(_meet(keyed, rule), "near-blocks")
+    # a key names its block, so blocks of different passes never meet
+    passes = [written(_meet(_keyed(sketches, p), rule), "near-blocks") for p in range(PASSES)]
+    found = reduce(DataFrame.unionByName, passes)
     # by the ring form the next block differs in one bit at most, so one of its halves agrees
     halves = F.array(*[F.struct(F.lit(h).alias("h"), F.shiftrightunsigned(F.shiftleft("me.nxt", 32 * h), 32).alias("half")) for h in (0, 1)])
     finer = found.where(F.col("members") > SMALL_KEY).select("key", "me", "blocks", F.explode(halves).alias("p"))
