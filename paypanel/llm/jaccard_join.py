@@ -172,13 +172,15 @@ def _fits(rule: Rule, own: Column, other: Column, blocks: Column) -> Column:
 def _meet(keyed: DataFrame, rule: Rule) -> DataFrame:
     """Rows (key, me, blocks) whose key is shared, with its members and, in small keys, the nodes before that may link."""
     order = Window.partitionBy("key").orderBy("me.node")
-    met = keyed.select(
+    # most keys occur once: they go before the nodes of a key are put in order
+    shared = keyed.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("members > 1")
+    met = shared.select(
         "key",
         "me",
         "blocks",
         F.first("me").over(order).alias("first"),
         *[F.lag("me", k).over(order).alias(f"lag{k}") for k in range(1, BEFORE + 1)],
-        F.count(F.lit(1)).over(Window.partitionBy("key")).alias("members"),
+        "members",
     )
     others = F.array(
         F.struct(F.col("first").alias("it"), F.lit(True).alias("is_first")),
@@ -187,8 +189,7 @@ def _meet(keyed: DataFrame, rule: Rule) -> DataFrame:
     me, small = F.col("me"), F.col("members") <= SMALL_KEY
     near = F.filter(others, lambda o: small & (o.it.node < me.node) & _fits(rule, me, o.it, F.col("blocks")))
     return (
-        met.where("members > 1")
-        .select("key", "me", "blocks", "members", F.transform(near, lambda o: F.struct(o.it.node.alias("node"), o.is_first.alias("is_first"))).alias("near"))
+        met.select("key", "me", "blocks", "members", F.transform(near, lambda o: F.struct(o.it.node.alias("node"), o.is_first.alias("is_first"))).alias("near"))
         .where((F.size("near") > 0) | ~small)
     )
 
@@ -331,7 +332,7 @@ def _pivots(large: DataFrame) -> DataFrame:
 
 
 def _differences(under: DataFrame, sets: DataFrame) -> DataFrame:
-    """(pivot, node, n, pivot_n, diff): the elements in one of the two sets only."""
+    """(pivot, node, n, pivot_n, own, lost): the elements of the node's set only, and of the pivot's set only."""
     heads = sets.join(hinted(under.select(F.col("pivot").alias("node")).distinct(), 8), "node", "left_semi")
     weight = heads.agg(F.coalesce(F.sum(F.size("hashes") * 8 + 32), F.lit(0))).first()[0]
     heads = heads.select(F.col("node").alias("pivot"), F.col("hashes").alias("y"))
@@ -341,7 +342,7 @@ def _differences(under: DataFrame, sets: DataFrame) -> DataFrame:
     return (
         under.join(sets.join(hinted(under.select("node").distinct(), 8), "node", "left_semi").select("node", F.col("hashes").alias("x")), "node")
         .join(heads, "pivot")
-        .select("pivot", "node", F.size(x).alias("n"), F.size(y).alias("pivot_n"), F.concat(F.array_except(x, y), F.array_except(y, x)).alias("diff"))
+        .select("pivot", "node", F.size(x).alias("n"), F.size(y).alias("pivot_n"), F.array_except(x, y).alias("own"), F.array_except(y, x).alias("lost"))
     )
 
 
@@ -361,7 +362,7 @@ def _link(docs, rule, keys, id_key, text_col, members, nodes, found, finer) -> D
     )
     sets = _sets(docs, rule, keys[id_key], text_col, written(near.distinct().join(nodes, "node"), "needed"))
     diffs = written(_differences(under, sets), "differences")
-    to_pivot = diffs.where(F.size("diff") * (rule.high + rule.low) <= (F.col("n") + F.col("pivot_n")) * (rule.high - rule.low))
+    to_pivot = diffs.where((F.size("own") + F.size("lost")) * (rule.high + rule.low) <= (F.col("n") + F.col("pivot_n")) * (rule.high - rule.low))
     links = written(
         verified(pairs.where("is_first").select("a", "b"), sets, rule).unionByName(
             to_pivot.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
@@ -397,10 +398,16 @@ def _across(diffs: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame:
     order by frequency each side has ``left`` elements to go, which must be enough. Beyond rank ``upto`` none is:
     a difference of m elements to a partner needs m - d common ones, and a partner in the pivot's component
     meets only texts that do not link with the pivot.
+
+    Most nodes came to a pivot by chance and have little in common with it. Linked D differ in size by less than
+    ``reach``, so every pair is on one side at least: ``far``, both with more than pivot_n elements, or near, both
+    with at most pivot_n + reach. A far node holds less than half of its set in common with the pivot, so more than
+    ``reach`` elements of its own; put in order before the pivot's lost ones, the own elements are all a far node needs.
+    The elements are counted in passes by their hash.
     """
     both, gap = rule.high + rule.low, rule.high - rule.low
     comp = {c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp")) for c in ("node", "pivot")}
-    m = F.size("diff")
+    m = F.size("own") + F.size("lost")
     named = (
         diffs.join(comp["node"], "node", "left")
         .join(comp["pivot"], "pivot", "left")
@@ -408,7 +415,8 @@ def _across(diffs: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame:
             "pivot",
             "node",
             "n",
-            "diff",
+            "own",
+            "lost",
             F.coalesce("node_comp", "node").alias("comp"),
             F.coalesce("pivot_comp", "pivot").alias("main"),
             (m * both - F.col("n") * gap).cast("long").alias("excess"),
@@ -422,7 +430,8 @@ def _across(diffs: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame:
     named = named.join(mixed, "pivot", "left_semi")
     partner = F.floor(F.col("n") * rule.high / F.lit(rule.low))
     common = F.greatest(F.lit(1), F.ceil((F.col("excess") + F.col("pivot_n") * gap + 1) / F.lit(2 * both)))
-    upto = F.when(F.col("apart"), F.floor((F.col("n") + partner) * gap / F.lit(both)) + 1).otherwise(F.col("m") - common + 1)
+    reach = F.floor((F.col("n") + partner) * gap / F.lit(both)) + 1
+    upto = F.when(F.col("apart"), reach).otherwise(F.least(reach, F.col("m") - common + 1))
 
     least = named.groupBy("pivot").agg(F.min(F.struct("excess", "node", "comp")).alias("least"))
     sure = (
@@ -431,20 +440,30 @@ def _across(diffs: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame:
         .select(F.col("node").alias("a"), F.col("least.node").alias("b"))
     )
 
-    elements = named.select("pivot", "node", F.explode("diff").alias("element"))
-    counts = elements.groupBy("pivot", "element").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    far = F.struct(F.lit(True).alias("far"), F.col("own").alias("items"), F.size("lost").alias("rest"))
+    near = F.struct(F.lit(False).alias("far"), F.concat("own", "lost").alias("items"), F.lit(0).alias("rest"))
+    sides = F.array(F.when(F.col("m") > F.col("pivot_n"), far), F.when(F.col("m") <= F.col("pivot_n") + reach, near))
+    sided = named.select("pivot", "node", "n", "comp", "excess", "m", upto.alias("upto"), F.explode(F.filter(sides, lambda c: c.isNotNull())).alias("c"))
+    elements = sided.select("pivot", "c.far", "node", F.explode("c.items").alias("element"))
+    group = ["pivot", "far", "element"]
+
+    def held_by_several(turn: int) -> DataFrame:
+        part = elements.where(F.pmod("element", F.lit(PASSES)) == turn)
+        counts = part.groupBy(*group).agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+        return written(part.join(counts, group), "shared")
+
     shared = (
-        elements.join(counts, ["pivot", "element"])
-        .groupBy("pivot", "node")
+        reduce(DataFrame.unionByName, [held_by_several(p) for p in range(PASSES)])
+        .groupBy("pivot", "far", "node")
         .agg(F.sort_array(F.collect_list(F.struct("held", "element"))).alias("shared"))
     )
     ranked = (
-        named.select("pivot", "node", "n", "comp", "excess", "m", upto.alias("upto"))
-        .join(shared, ["pivot", "node"])
+        sided.select("pivot", "c.far", "node", "n", "comp", "excess", "m", "upto", "c.rest")
+        .join(shared, ["pivot", "far", "node"])
         .select("*", F.posexplode("shared").alias("at", "e"))
-        .withColumn("left", F.size("shared") - F.col("at"))
+        .withColumn("left", F.size("shared") - F.col("at") + F.col("rest"))
         .where("m - left + 1 <= upto")
-        .select("pivot", "e.element", F.struct("node", "n", "comp", "excess", "left").alias("it"))
+        .select("pivot", "far", "e.element", F.struct("node", "n", "comp", "excess", "left").alias("it"))
     )
     ranked = written(ranked, "rare")
     x, y = F.col("x"), F.col("y")
@@ -452,7 +471,7 @@ def _across(diffs: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame:
     sizes = F.least(x.n, y.n) * rule.high >= F.greatest(x.n, y.n) * rule.low
     met = (
         ranked.withColumnRenamed("it", "x")
-        .join(ranked.withColumnRenamed("it", "y"), ["pivot", "element"])
+        .join(ranked.withColumnRenamed("it", "y"), group)
         .where((x.node > y.node) & (x.comp != y.comp) & sizes & enough)
         .select(x.node.alias("a"), y.node.alias("b"))
     )
