@@ -5,14 +5,15 @@ distance of two sketches is at most the size of the sets' symmetric difference.
 difference of (1 - t) / (1 + t) times the sum of the sizes. Sizes are cut into bands; for a level (one band,
 or two neighbouring ones) the allowed difference d is known and the sketch has d + 1 blocks of 64 bits: two
 linked documents agree in a block (pigeonhole). By the ring form of the principle some agreeing block is
-followed by one that differs in at most 2 d / (d + 1) bits, so each row also carries the next block, and
+followed by one that differs in at most 2 d / (d + 1) bits, and by two that differ in at most 3 d / (d + 1), so
+each row also carries the next two blocks, and
 unrelated documents that agree in a block by chance are turned away where they meet. What is left is verified
 on the exact sets.
 
 Skew and links. Equal sets are one node. Within a block's key no pairs are emitted: in keys of up to five nodes
 a row meets the first row of its key and the three before it, which is every pair. A key of six nodes and more is
-cut by the two halves of the next block, one of which agrees in linked texts; what still has six nodes and more
-gets a pivot by votes for nodes with most such keys; the keys of a group of near copies so share one pivot, and a
+cut by the two halves of the next block, one of which agrees in linked texts, then by parts of the block after it
+in the same way; what still has six nodes and more gets a pivot by votes for nodes with most such keys; the keys of a group of near copies so share one pivot, and a
 node meets that alone. What a set differs in from its pivot is its difference D; two
 sets differ by |D| + |D'| - 2 |D and D'|, so texts that do not link by their sizes |D| alone must share elements
 of D, at least a known number of them. Elements are ordered by how many differences under the pivot hold them, and
@@ -166,7 +167,9 @@ def _fits(rule: Rule, own: Column, other: Column, blocks: Column) -> Column:
     total = own.n + other.n
     sizes = F.least(own.n, other.n) * rule.high >= F.greatest(own.n, other.n) * rule.low
     allowed = F.floor(F.lit(rule.high - rule.low) * total / F.lit(rule.high + rule.low))
-    return sizes & (F.bit_count(own.nxt.bitwiseXOR(other.nxt)) <= F.floor(2 * allowed / blocks))
+    one = F.bit_count(own.nxt.bitwiseXOR(other.nxt))
+    two = one + F.bit_count(own.nxt2.bitwiseXOR(other.nxt2))
+    return sizes & (one <= F.floor(2 * allowed / blocks)) & (two <= F.floor(3 * allowed / blocks))
 
 
 def _meet(keyed: DataFrame, rule: Rule) -> DataFrame:
@@ -199,13 +202,25 @@ def _keyed(sketches: DataFrame, turn: int) -> DataFrame:
     blocks = F.size("words")
     row = F.transform(
         F.sequence(F.lit(turn), blocks - 1, F.lit(PASSES)),
-        lambda j: F.struct(F.xxhash64(F.col("level"), j, F.get("words", j)).alias("key"), F.get("words", (j + 1) % blocks).alias("nxt")),
+        lambda j: F.struct(F.xxhash64(F.col("level"), j, F.get("words", j)).alias("key"), F.get("words", (j + 1) % blocks).alias("nxt"), F.get("words", (j + 2) % blocks).alias("nxt2")),
     )
     return sketches.where(blocks > turn).select("node", "n", blocks.alias("blocks"), F.explode(row).alias("r")).select(
-        "r.key", F.struct("node", "n", "r.nxt").alias("me"), "blocks"
+        "r.key", F.struct("node", "n", "r.nxt", "r.nxt2").alias("me"), "blocks"
     )
 
 
+def _bits(word: Column, at: int, wide: int) -> Column:
+    """The ``wide`` bits of a word that start at bit ``at``."""
+    return F.shiftrightunsigned(F.shiftleft(word, 64 - at - wide), 64 - wide)
+
+
+def _cut(met: DataFrame, parts: list[Column]) -> DataFrame:
+    """Rows (key, me, blocks) of the large keys of ``met``, each cut by every part."""
+    large = met.where(F.col("members") > SMALL_KEY)
+    parts = F.array(*[p.cast("array<bigint>") for p in parts])
+    return large.select("key", "me", "blocks", F.explode(parts).alias("p")).withColumn("key", F.xxhash64("key", "p")).drop("p")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of the edges (a, b); comp is the smallest node of the component.
 
@@ -291,10 +306,13 @@ def join(docs: DataFrame, rule: Rule, keys: dict[str, Column], id_key: str, text
     passes = [written(_meet(_keyed(sketches, p), rule), "near-blocks") for p in range(PASSES)]
     found = reduce(DataFrame.unionByName, passes)
     # by the ring form the next block differs in one bit at most, so one of its halves agrees
-    halves = F.array(*[F.struct(F.lit(h).alias("h"), F.shiftrightunsigned(F.shiftleft("me.nxt", 32 * h), 32).alias("half")) for h in (0, 1)])
-    finer = found.where(F.col("members") > SMALL_KEY).select("key", "me", "blocks", F.explode(halves).alias("p"))
-    finer = written(_meet(finer.withColumn("key", F.xxhash64("key", "p.h", "p.half")).drop("p"), rule), "near-halves")
-    return _link(docs, rule, keys, id_key, text_col, members, nodes, found, finer)
+    me = F.col("me")
+    halves = written(_meet(_cut(found, [F.array(F.lit(h), _bits(me.nxt, 32 * h, 32)) for h in (0, 1)]), rule), "near-halves")
+    # both next blocks differ in two bits at most: a half of the second agrees, or else the first and a third of the second
+    finest = [F.array(F.lit(h), _bits(me.nxt2, 32 * h, 32)) for h in (0, 1)]
+    finest += [F.array(F.lit(2 + t), me.nxt, _bits(me.nxt2, at, wide)) for t, (at, wide) in enumerate(((0, 21), (21, 21), (42, 22)))]
+    thirds = written(_meet(_cut(halves, finest), rule), "near-thirds")
+    return _link(docs, rule, keys, id_key, text_col, members, nodes, found.unionByName(halves), thirds)
 
 
 def _sets(docs: DataFrame, rule: Rule, own_id: Column, text_col: str, needed: DataFrame) -> DataFrame:
