@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words of documents and benchmark items become template tokens: numbers, names (words with a capital) and
-units stand as typed placeholders, everything else lower-cased without punctuation at its ends. Every run of
+units stand as typed placeholders, everything else lower-cased without punctuation at its ends. Each run of words
+is hashed as template and as lower-cased words, so a passage in another case meets its item too. Every run of
 ``WINDOW`` template tokens of an item is a window; a document is cut into consecutive blocks of the same
 length, so each text is passed over once and the rows stay in proportion to its words. A document that
 shares ``2 * WINDOW - 1`` template tokens in a row with an item holds at least one whole block of them. Blocks
@@ -58,6 +59,15 @@ def template(raw: Column) -> Column:
     return F.transform(raw, token)
 
 
+def folded(raw: Column) -> Column:
+    return F.transform(raw, F.lower)
+
+
+def forms(part: Column) -> Column:
+    """The hashes of some raw words: as template and, if that is another, as lower-cased words."""
+    return F.array_distinct(F.array(F.xxhash64(template(part)), F.xxhash64(folded(part))))
+
+
 def raw_words(text: Column) -> Column:
     """Words without punctuation at their ends; those that are punctuation only are left out."""
     clean = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}\p{N}$€£]*\s+[^\p{L}\p{N}$€£]*|^[^\p{L}\p{N}$€£]+|[^\p{L}\p{N}%]+$", " "))
@@ -71,11 +81,12 @@ def blocks(docs: DataFrame, keys: list[Column], text_col: str) -> DataFrame:
 
     def block(i: Column) -> Column:
         part = F.slice("raw", i * WINDOW + 1, WINDOW)
-        return F.struct((i * WINDOW).alias("at"), F.xxhash64(template(part)).alias("hash"), part.alias("raw"))
+        return F.struct((i * WINDOW).alias("at"), forms(part).alias("hashes"), part.alias("raw"))
 
     each = F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), block))
     names = [c for c in rows.columns if c != "raw"]
-    return rows.select(*names, F.explode(each).alias("b")).select(*names, "b.*")
+    cut = rows.select(*names, F.explode(each).alias("b"))
+    return cut.select(*names, "b.at", F.explode("b.hashes").alias("hash"), "b.raw")
 
 
 def windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -84,10 +95,11 @@ def windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def window(i: Column) -> Column:
         part = F.slice("raw", i + 1, WINDOW)
-        return F.struct(i.alias("item_at"), F.xxhash64(template(part)).alias("hash"), part.alias("item_raw"))
+        return F.struct(i.alias("item_at"), forms(part).alias("hashes"), part.alias("item_raw"))
 
     each = F.transform(F.sequence(F.lit(0), F.size("raw") - WINDOW), window)
-    return rows.select("item", F.size("raw").alias("tokens"), F.explode(each).alias("w")).select("item", "tokens", "w.*")
+    cut = rows.select("item", F.size("raw").alias("tokens"), F.explode(each).alias("w"))
+    return cut.select("item", "tokens", "w.item_at", F.explode("w.hashes").alias("hash"), "w.item_raw")
 
 
 def alignments(docs: DataFrame, items: DataFrame, keys: list[Column], text_col: str, item_id: str, item_text: str) -> DataFrame:
@@ -102,11 +114,12 @@ def alignments(docs: DataFrame, items: DataFrame, keys: list[Column], text_col:
         lambda s: s.was.rlike(NUMBER) | s.was.rlike("^\\p{Lu}") | F.array_contains(F.lit(UNITS), s.was),
     )
     slots = F.transform(fillers, lambda s: F.struct(s.x.alias("x"), s.y.alias("y")))
-    same_words = F.forall(
-        F.zip_with(template(F.col("item_raw")), template(F.col("raw")), lambda x, y: x == y), lambda same: same
+    # equal hashes are not yet equal words; a pair that meets in both forms counts in one
+    same_words = F.when(folded(F.col("item_raw")) == folded(F.col("raw")), F.col("hash") == F.xxhash64(folded(F.col("raw")))).otherwise(
+        template(F.col("item_raw")) == template(F.col("raw"))
     )
     grouped = (
-        hits.where(same_words)  # equal hashes are not yet equal templates
+        hits.where(same_words)
         .select(*names, "item", "tokens", "at", (F.col("at") - F.col("item_at")).alias("offset"), slots.alias("slots"))
         .withColumn("literals", F.lit(WINDOW) - F.size("slots"))
         .groupBy(*names, "item", "tokens", "offset")

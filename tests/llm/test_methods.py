@@ -259,6 +259,28 @@ def test_contained_items_are_found(spark):
     assert got == want
 
 
+def test_items_in_another_case_are_found(spark):
+    item = "Alice bought 12 red apples and 7 green pears at the market before she walked 3 miles back to her house with Bob"
+    filler = "some other words that mean nothing at all but fill the line "
+    texts = [(filler + form + " " + filler) for form in (item.upper(), item.lower(), item.title())]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontamination.report(one(spark, texts), items).collect()}
+    assert set(got) == {0, 1, 2} and all(r.n_changed == 0 for r in got.values())
+
+
+def test_items_contained_in_any_case_are_found(spark):
+    sf = "/root/testdata/sf0.1"
+    plain = "' ' || trim(regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' '"
+    want = set(
+        duckdb.sql(
+            f"SELECT doc_id, item_id FROM (SELECT doc_id, {plain.format('text')} AS x FROM '{sf}/documents.parquet') "
+            f"JOIN (SELECT item_id, {plain.format('text')} AS y FROM '{sf}/benchmark.parquet') ON contains(x, y)"
+        ).fetchall()
+    )
+    got = {(r.doc_id, r.item_id) for r in queries.op8_decontamination(spark, sf).collect()}
+    assert want and want <= got
+
+
 # --- toxicity
 
 
