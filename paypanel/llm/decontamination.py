@@ -1,31 +1,30 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words of documents and benchmark items become template tokens: numbers, names (words with a capital) and
-units stand as typed placeholders, everything else lower-cased without punctuation at its ends. Each run of words
-is hashed as template and as lower-cased words, so a passage in another case meets its item too. Every run of
-``WINDOW`` template tokens of an item is a window; a document is cut into consecutive blocks of the same
-length, so each text is passed over once and the rows stay in proportion to its words. A document that
-shares ``2 * WINDOW - 1`` template tokens in a row with an item holds at least one whole block of them. Blocks
-and windows meet in a hash join; hits of one item at one offset form an alignment, whose slots must be
-consistent: one filler on the item's side always meets the same filler on the document's side, and the other
-way round. That catches a question whose numbers and names were exchanged, and leaves texts alone that only
-share a sentence form. Slots are compared inside matched blocks; those of an item's first or last few tokens
-that fill no whole block of the document are not seen.
-
-An alignment contaminates when its blocks cover at least ``COVER`` of what whole blocks can cover in the item,
-or ``RUN`` tokens in a row, and at least half of the matched tokens are words, not placeholders.
+units stand as typed placeholders, everything else lower-cased without punctuation at its ends. Every run of
+``WINDOW`` words, of items and of documents, is a window, hashed as template and as lower-cased words, so a
+passage in another case meets its item too. Windows meet in a hash join; neighbouring windows of one item
+at one offset form a run. A run counts if at least half of it are
+words, not placeholders, and its slots are consistent: one filler on the item's side always meets the same
+filler on the document's side, and the other way round. That catches a question whose numbers and names were
+exchanged, and leaves texts alone that only share a sentence form.
+
+The runs of one item whose offsets lie less than the item's length apart are one passage, so inserted or
+removed words do not part it. A passage contaminates when its runs that count cover ``COVER`` of the item or one
+has ``RUN`` tokens. Words between two changes that are fewer than
+``WINDOW`` apart are in no window and do not count.
 
 All of it is native. Windows are joined by broadcast only when their counted size allows it.
 
 Defined results: null or empty texts and items have no windows and match nothing; items of fewer than
-``2 * WINDOW - 1`` template tokens are too short to be proof and never match. A repeated document row gives its
+``LEAST`` tokens are too short to be proof and never match. A repeated document row gives its
 pair once per row's id; items of equal text each match. Empty tables give empty results. Only id and text of
 both tables are read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paypanel.llm.tables import hinted
@@ -34,6 +33,7 @@ from paypanel.plans.stages import written
 WINDOW = 6
 RUN = 24
 COVER = 0.6
+LEAST = 2 * WINDOW - 1
 
 # Units of measure that stand for one another in a template.
 UNITS = (
@@ -63,104 +63,132 @@ def folded(raw: Column) -> Column:
     return F.transform(raw, F.lower)
 
 
-def forms(part: Column) -> Column:
-    """The hashes of some raw words: as template and, if that is another, as lower-cased words."""
-    return F.array_distinct(F.array(F.xxhash64(template(part)), F.xxhash64(folded(part))))
-
-
 def raw_words(text: Column) -> Column:
     """Words without punctuation at their ends; those that are punctuation only are left out."""
     clean = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}\p{N}$€£]*\s+[^\p{L}\p{N}$€£]*|^[^\p{L}\p{N}$€£]+|[^\p{L}\p{N}%]+$", " "))
     return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, " +"))
 
 
-def blocks(docs: DataFrame, keys: list[Column], text_col: str) -> DataFrame:
-    """The consecutive whole blocks of every document: keys, at (first token), hash, raw words."""
-    rows = docs.select(*keys, raw_words(F.col(text_col)).alias("raw"))
-    count = F.floor(F.size("raw") / WINDOW).cast("int")
-
-    def block(i: Column) -> Column:
-        part = F.slice("raw", i * WINDOW + 1, WINDOW)
-        return F.struct((i * WINDOW).alias("at"), forms(part).alias("hashes"), part.alias("raw"))
-
-    each = F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), block))
+def cut_windows(rows: DataFrame, at: str) -> DataFrame:
+    """Every run of WINDOW raw words of every row: the other columns, its first token, raw words, hash (a row each form)."""
     names = [c for c in rows.columns if c != "raw"]
-    cut = rows.select(*names, F.explode(each).alias("b"))
-    return cut.select(*names, "b.at", F.explode("b.hashes").alias("hash"), "b.raw")
+    coded = rows.where(F.size("raw") >= WINDOW).select(
+        *names, "raw", F.transform(template(F.col("raw")), lambda w: F.xxhash64(w)).alias("typed"), F.transform("raw", lambda w: F.xxhash64(F.lower(w))).alias("plain")
+    )
 
+    def window(i: Column) -> Column:
+        part, typed, plain = (F.slice(c, i + 1, WINDOW) for c in ("raw", "typed", "plain"))
+        return F.struct(i.alias("at"), part.alias("raw"), F.xxhash64(typed).alias("typed"), F.xxhash64(plain).alias("plain"))
 
-def windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Every window of every item: item, item_at, hash, item_raw, tokens (of the whole item)."""
-    rows = items.select(F.col(id_col).alias("item"), raw_words(F.col(text_col)).alias("raw")).where(F.size("raw") >= 2 * WINDOW - 1)
+    cut = coded.select(*names, F.explode(F.transform(F.sequence(F.lit(0), F.size("raw") - WINDOW), window)).alias("w"))
+    hashes = F.when(F.col("w.typed") == F.col("w.plain"), F.array("w.plain")).otherwise(F.array("w.plain", "w.typed"))
+    return cut.select(*names, F.col("w.at").alias(at), "w.raw", F.explode(hashes).alias("hash"))
 
-    def window(i: Column) -> Column:
-        part = F.slice("raw", i + 1, WINDOW)
-        return F.struct(i.alias("item_at"), forms(part).alias("hashes"), part.alias("item_raw"))
 
-    each = F.transform(F.sequence(F.lit(0), F.size("raw") - WINDOW), window)
-    cut = rows.select("item", F.size("raw").alias("tokens"), F.explode(each).alias("w"))
-    return cut.select("item", "tokens", "w.item_at", F.explode("w.hashes").alias("hash"), "w.item_raw")
+def windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The windows of every item: item, tokens (of the whole item), item_at, item_raw, hash."""
+    rows = items.select(F.col(id_col).alias("item"), raw_words(F.col(text_col)).alias("raw")).where(F.size("raw") >= LEAST)
+    cut = cut_windows(rows.withColumn("tokens", F.size("raw")), "item_at")
+    return cut.withColumnRenamed("raw", "item_raw")
 
 
-def alignments(docs: DataFrame, items: DataFrame, keys: list[Column], text_col: str, item_id: str, item_text: str) -> DataFrame:
-    """One row per document, item and offset: tokens of the item, matched tokens, longest run, literal words, consistent."""
+def runs(docs: DataFrame, items: DataFrame, keys: list[Column], text_col: str, item_id: str, item_text: str) -> DataFrame:
+    """One row per document, item and run of matched windows at one offset: tokens of the item, offset, length, item_at
+    (its windows' places), slots (place, both fillers), exact (places of windows equal word for word)."""
     found = written(windows(items, item_id, item_text), "windows")
-    rows = blocks(docs, keys, text_col)
+    rows = cut_windows(docs.select(*keys, raw_words(F.col(text_col)).alias("raw")), "at")
     names = [c for c in rows.columns if c not in ("at", "hash", "raw")]
     hits = rows.join(hinted(found, 200), "hash")
 
-    fillers = F.filter(
-        F.zip_with("item_raw", "raw", lambda x, y: F.struct(F.lower(x).alias("x"), F.lower(y).alias("y"), x.alias("was"))),
-        lambda s: s.was.rlike(NUMBER) | s.was.rlike("^\\p{Lu}") | F.array_contains(F.lit(UNITS), s.was),
-    )
-    slots = F.transform(fillers, lambda s: F.struct(s.x.alias("x"), s.y.alias("y")))
+    def slots_of(item_raw: Column, raw: Column) -> Column:
+        pairs = F.zip_with(
+            F.transform(item_raw, lambda x, i: F.struct(x.alias("was"), i.alias("i"))),
+            raw,
+            lambda x, y: F.struct((F.col("item_at") + x.i).alias("place"), F.lower(x.was).alias("x"), F.lower(y).alias("y"), x.was.alias("was")),
+        )
+        slot = F.filter(pairs, lambda s: s.was.rlike(NUMBER) | s.was.rlike("^\\p{Lu}") | F.array_contains(F.lit(UNITS), s.was))
+        return F.transform(slot, lambda s: F.struct(s.place.alias("place"), s.x.alias("x"), s.y.alias("y")))
+
     # equal hashes are not yet equal words; a pair that meets in both forms counts in one
-    same_words = F.when(folded(F.col("item_raw")) == folded(F.col("raw")), F.col("hash") == F.xxhash64(folded(F.col("raw")))).otherwise(
+    exact = folded(F.col("item_raw")) == folded(F.col("raw"))
+    same = F.when(exact, F.col("hash") == F.xxhash64(F.transform("raw", lambda w: F.xxhash64(F.lower(w))))).otherwise(
         template(F.col("item_raw")) == template(F.col("raw"))
     )
-    grouped = (
-        hits.where(same_words)
-        .select(*names, "item", "tokens", "at", (F.col("at") - F.col("item_at")).alias("offset"), slots.alias("slots"))
-        .withColumn("literals", F.lit(WINDOW) - F.size("slots"))
-        .groupBy(*names, "item", "tokens", "offset")
-        .agg(F.sort_array(F.collect_set("at")).alias("places"), F.sum("literals").alias("literals"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"))
+    offset = (F.col("at") - F.col("item_at")).alias("offset")
+    kept = hits.where(same).select(*names, "item", "tokens", "item_at", offset, exact.alias("exact"), slots_of(F.col("item_raw"), F.col("raw")).alias("slots"))
+    line = Window.partitionBy(*names, "item", "offset").orderBy("item_at")
+    return (
+        kept.withColumn("island", F.col("item_at") - F.dense_rank().over(line))
+        .groupBy(*names, "item", "tokens", "offset", "island")
+        .agg(
+            F.sort_array(F.collect_set("item_at")).alias("item_at"),
+            F.sort_array(F.flatten(F.collect_list("slots"))).alias("slots"),
+            F.sort_array(F.collect_set(F.when(F.col("exact"), F.col("item_at")))).alias("exact"),
+        )
+        .withColumn("length", F.size("item_at") + WINDOW - 1)
+        .withColumn("slots", F.filter("slots", lambda s, i: (i == 0) | (s.place != F.get("slots", i - 1).place)))
+        .drop("island")
+    )
+
+
+def one_to_one(slots: Column) -> Column:
+    """Whether one filler of the item always meets one filler of the document, and the other way round."""
+    pairs = F.array_distinct(F.transform(slots, lambda s: F.concat_ws("\n", s.x, s.y)))
+    return (F.size(F.array_distinct(F.transform(slots, lambda s: s.x))) == F.size(pairs)) & (
+        F.size(F.array_distinct(F.transform(slots, lambda s: s.y))) == F.size(pairs)
     )
-    one_way = F.size(F.array_distinct(F.transform("slots", lambda s: s.x))) == F.size("slots")
-    other_way = F.size(F.array_distinct(F.transform("slots", lambda s: s.y))) == F.size("slots")
-    run = F.aggregate(
-        "places",
-        F.struct(F.lit(-1).alias("last"), F.lit(0).alias("now"), F.lit(0).alias("best")),
-        lambda acc, at: F.struct(
-            at.alias("last"),
-            F.when(at == acc.last + WINDOW, acc.now + WINDOW).otherwise(F.lit(WINDOW)).alias("now"),
-            F.greatest(acc.best, F.when(at == acc.last + WINDOW, acc.now + WINDOW).otherwise(F.lit(WINDOW))).alias("best"),
-        ),
-        lambda acc: acc.best,
+
+
+def covered(places: Column) -> Column:
+    """The item's tokens under the windows at some places."""
+    return F.array_distinct(F.flatten(F.transform(places, lambda i: F.sequence(i, i + WINDOW - 1))))
+
+
+def contaminated(found: DataFrame) -> DataFrame:
+    """The passages that count as contamination: document, item, tokens, matched, run, n_slots, n_changed."""
+    names = [c for c in found.columns if c not in ("item", "tokens", "offset", "item_at", "slots", "exact", "length")]
+    good = one_to_one(F.col("slots")) & (2 * F.size("slots") <= F.col("length"))
+    judged = found.select(
+        *names, "item", "tokens", "offset", "length", "slots", good.alias("good"),
+        F.when(good, covered(F.col("item_at"))).otherwise(F.array().cast("array<int>")).alias("tokens_good"),
+    )
+    line = Window.partitionBy(*names, "item").orderBy("offset")
+    apart = F.coalesce(F.col("offset") - F.lag("offset").over(line) > F.col("tokens"), F.lit(False)).cast("int")
+    passage = judged.withColumn("apart", apart).withColumn("passage", F.sum("apart").over(line))
+    key = [*names, "item", "tokens", "passage"]
+
+    def marks(places: Column, mark: str) -> Column:
+        pair = F.lit(None).cast("struct<changed:boolean,x:string,y:string>").alias("pair")
+        return F.transform(places, lambda t: F.struct(t.alias("t"), F.lit(mark == "good").alias("good"), F.lit(mark == "exact").alias("exact"), pair))
+
+    def fillers(s: Column) -> Column:
+        pair = F.struct((s.x != s.y).alias("changed"), s.x.alias("x"), s.y.alias("y")).alias("pair")
+        return F.struct(s.place.alias("t"), F.lit(False).alias("good"), F.lit(False).alias("exact"), pair)
+
+    # a row each token, so that a passage repeated through a long document makes no large array
+    tokens = F.concat(marks(F.col("tokens_good"), "good"), F.when(F.col("good"), F.transform("slots", fillers)).otherwise(F.array()))
+    each = passage.select(*key, F.when(F.col("good"), F.col("length")).otherwise(0).alias("run"), F.explode(tokens).alias("e")).groupBy(*key, "e.t")
+    each = each.agg(F.max("e.good").alias("good"), F.min("e.pair").alias("pair"), F.max("run").alias("run"))
+    total = each.groupBy(*key).agg(
+        F.count_if("good").alias("good"),
+        F.max("run").alias("run"),
+        F.collect_set("pair").alias("pairs"),
     )
-    return grouped.select(
+    by_form = (F.col("good") >= F.ceil(F.col("tokens") * COVER)) | (F.col("run") >= RUN)
+    return total.where(by_form).select(
         *names,
         "item",
         "tokens",
-        "offset",
-        (F.size("places") * WINDOW).alias("matched"),
-        run.alias("run"),
-        "literals",
-        (one_way & other_way).alias("consistent"),
-        F.size("slots").alias("n_slots"),
-        F.size(F.filter("slots", lambda s: s.x != s.y)).alias("n_changed"),
+        F.col("good").alias("matched"),
+        F.col("run").alias("run"),
+        F.size("pairs").alias("n_slots"),
+        F.size(F.filter("pairs", lambda p: p.changed)).alias("n_changed"),
     )
 
 
-def contaminated(found: DataFrame) -> DataFrame:
-    """The alignments that count as contamination."""
-    reachable = (F.floor((F.col("tokens") - WINDOW + 1) / WINDOW) * WINDOW).cast("int")
-    enough = (F.col("matched") >= F.ceil(reachable * COVER)) | (F.col("run") >= RUN)
-    return found.where(F.col("consistent") & enough & (2 * F.col("literals") >= F.col("matched")))
-
-
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row per contaminated document and item, with its best alignment's figures."""
-    found = contaminated(alignments(docs, items, [F.col("doc_id")], "text", "item_id", "text"))
+    found = contaminated(runs(docs, items, [F.col("doc_id")], "text", "item_id", "text"))
     best = F.max(F.struct("matched", "run", (-F.col("n_changed")).alias("unchanged"), "tokens", "n_slots")).alias("b")
     return (
         found.groupBy("doc_id", F.col("item").alias("item_id"))
@@ -181,7 +209,7 @@ def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
     """The rows of ``docs`` without a contaminating alignment, all columns; ``docs`` is read from files."""
     at = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
     bad = written(
-        contaminated(alignments(docs, items, at, text_col, item_id, item_text)).select("_file", "_row").distinct(), "contaminated"
+        contaminated(runs(docs, items, at, text_col, item_id, item_text)).select("_file", "_row").distinct(), "contaminated"
     )
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_all"), *at)
     return packed.join(hinted(bad, 200), ["_file", "_row"], "left_anti").select("_all.*")

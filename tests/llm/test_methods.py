@@ -281,6 +281,16 @@ def test_items_contained_in_any_case_are_found(spark):
     assert want and want <= got
 
 
+@pytest.mark.parametrize("phase", range(3))
+def test_edited_items_are_found_at_every_place(spark, phase):
+    words = "which of these small animals is known to sleep through most of the cold winter months in a burrow".split()
+    half = len(words) // 2
+    edits = [words[:half] + ["really"] + words[half:], words[:half] + words[half + 1 :], words[:half] + ["zz"] + words[half + 1 :]]
+    texts = [" ".join(["zq"] * (2 * phase + 1) + edit + ["zr"] * 9) for edit in edits]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    assert {r.doc_id for r in decontamination.report(one(spark, texts), items).collect()} == {0, 1, 2}
+
+
 # --- toxicity
 
 
