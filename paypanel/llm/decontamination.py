@@ -4,14 +4,15 @@ Words of documents and benchmark items become template tokens: numbers, names (w
 units stand as typed placeholders, everything else lower-cased without punctuation at its ends. Every run of
 ``WINDOW`` words, of items and of documents, is a window, hashed as template and as lower-cased words, so a
 passage in another case meets its item too. Windows meet in a hash join; neighbouring windows of one item
-at one offset form a run. A run counts if at least half of it are
+at one offset form a run. A run counts if it equals the item word for word, or if at least half of it are
 words, not placeholders, and its slots are consistent: one filler on the item's side always meets the same
 filler on the document's side, and the other way round. That catches a question whose numbers and names were
 exchanged, and leaves texts alone that only share a sentence form.
 
 The runs of one item whose offsets lie less than the item's length apart are one passage, so inserted or
 removed words do not part it. A passage contaminates when its runs that count cover ``COVER`` of the item or one
-has ``RUN`` tokens. Words between two changes that are fewer than
+has ``RUN`` tokens; or, whatever its slots, when windows equal word for word cover ``EXACT_COVER`` or ``RUN`` in a row.
+Cover is at least ``LEAST`` tokens, which one window cannot reach. Words between two changes that are fewer than
 ``WINDOW`` apart are in no window and do not count.
 
 All of it is native. Windows are joined by broadcast only when their counted size allows it.
@@ -33,6 +34,7 @@ from paypanel.plans.stages import written
 WINDOW = 6
 RUN = 24
 COVER = 0.6
+EXACT_COVER = 0.75
 LEAST = 2 * WINDOW - 1
 
 # Units of measure that stand for one another in a template.
@@ -144,13 +146,25 @@ def covered(places: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(places, lambda i: F.sequence(i, i + WINDOW - 1))))
 
 
+def longest(places: Column) -> Column:
+    """Tokens of the longest run of windows at some sorted places."""
+    start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("now"), F.lit(0).alias("best"))
+
+    def step(acc: Column, i: Column) -> Column:
+        now = F.when(i == acc.last + 1, acc.now + 1).otherwise(F.lit(WINDOW))
+        return F.struct(i.alias("last"), now.alias("now"), F.greatest(acc.best, now).alias("best"))
+
+    return F.aggregate(places, start, step, lambda acc: acc.best)
+
+
 def contaminated(found: DataFrame) -> DataFrame:
     """The passages that count as contamination: document, item, tokens, matched, run, n_slots, n_changed."""
     names = [c for c in found.columns if c not in ("item", "tokens", "offset", "item_at", "slots", "exact", "length")]
-    good = one_to_one(F.col("slots")) & (2 * F.size("slots") <= F.col("length"))
+    changed = F.filter("slots", lambda s: s.x != s.y)
+    good = (F.size(changed) == 0) | (one_to_one(F.col("slots")) & (2 * F.size("slots") <= F.col("length")))
     judged = found.select(
-        *names, "item", "tokens", "offset", "length", "slots", good.alias("good"),
-        F.when(good, covered(F.col("item_at"))).otherwise(F.array().cast("array<int>")).alias("tokens_good"),
+        *names, "item", "tokens", "offset", "length", "slots", good.alias("good"), longest(F.col("exact")).alias("exact_run"),
+        F.when(good, covered(F.col("item_at"))).otherwise(F.array().cast("array<int>")).alias("tokens_good"), covered(F.col("exact")).alias("tokens_exact"),
     )
     line = Window.partitionBy(*names, "item").orderBy("offset")
     apart = F.coalesce(F.col("offset") - F.lag("offset").over(line) > F.col("tokens"), F.lit(False)).cast("int")
@@ -166,23 +180,26 @@ def contaminated(found: DataFrame) -> DataFrame:
         return F.struct(s.place.alias("t"), F.lit(False).alias("good"), F.lit(False).alias("exact"), pair)
 
     # a row each token, so that a passage repeated through a long document makes no large array
-    tokens = F.concat(marks(F.col("tokens_good"), "good"), F.when(F.col("good"), F.transform("slots", fillers)).otherwise(F.array()))
-    each = passage.select(*key, F.when(F.col("good"), F.col("length")).otherwise(0).alias("run"), F.explode(tokens).alias("e")).groupBy(*key, "e.t")
-    each = each.agg(F.max("e.good").alias("good"), F.min("e.pair").alias("pair"), F.max("run").alias("run"))
+    tokens = F.concat(marks(F.col("tokens_good"), "good"), marks(F.col("tokens_exact"), "exact"), F.when(F.col("good"), F.transform("slots", fillers)).otherwise(F.array()))
+    each = passage.select(*key, F.when(F.col("good"), F.col("length")).otherwise(0).alias("run"), "exact_run", F.explode(tokens).alias("e")).groupBy(*key, "e.t")
+    each = each.agg(F.max("e.good").alias("good"), F.max("e.exact").alias("exact"), F.min("e.pair").alias("pair"), F.max("run").alias("run"), F.max("exact_run").alias("exact_run"))
     total = each.groupBy(*key).agg(
         F.count_if("good").alias("good"),
+        F.count_if("exact").alias("exact"),
         F.max("run").alias("run"),
+        F.max("exact_run").alias("exact_run"),
         F.collect_set("pair").alias("pairs"),
     )
-    by_form = (F.col("good") >= F.ceil(F.col("tokens") * COVER)) | (F.col("run") >= RUN)
-    return total.where(by_form).select(
+    by_form = (F.col("good") >= F.greatest(F.ceil(F.col("tokens") * COVER), F.lit(LEAST))) | (F.col("run") >= RUN)
+    by_words = (F.col("exact") >= F.greatest(F.ceil(F.col("tokens") * EXACT_COVER), F.lit(LEAST))) | (F.col("exact_run") >= RUN)
+    return total.where(by_form | by_words).select(
         *names,
         "item",
         "tokens",
-        F.col("good").alias("matched"),
-        F.col("run").alias("run"),
-        F.size("pairs").alias("n_slots"),
-        F.size(F.filter("pairs", lambda p: p.changed)).alias("n_changed"),
+        F.when(by_form, F.col("good")).otherwise(F.col("exact")).alias("matched"),
+        F.when(by_form, F.col("run")).otherwise(F.col("exact_run")).alias("run"),
+        F.when(by_form, F.size("pairs")).otherwise(0).alias("n_slots"),
+        F.when(by_form, F.size(F.filter("pairs", lambda p: p.changed))).otherwise(0).alias("n_changed"),
     )
 
 

@@ -291,6 +291,16 @@ def test_edited_items_are_found_at_every_place(spark, phase):
     assert {r.doc_id for r in decontamination.report(one(spark, texts), items).collect()} == {0, 1, 2}
 
 
+def test_verbatim_runs_need_no_slots_and_one_phrase_is_no_proof(spark):
+    long = "the train leaves at 9 and " + " ".join(f"word{c}x" for c in "abcdefghijklmnopqrstuvwxyzabcdefghijklmn") + " it arrives at 9 in the evening"
+    names = "Anna Berta Carla Dora Emma Frida Gerda Hanna Ida Julia Klara Lena"
+    short = "which of the following is the largest planet of all"
+    filler = " zq" * 7 + " "
+    texts = [filler + long[::-1].replace("9", "8", 1)[::-1] + filler, filler + names + filler, "zq " * 6 + "which of the following is the best answer here" + filler]
+    items = spark.createDataFrame([(1, long), (2, names), (3, short + " known")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.report(one(spark, texts), items).collect()} == {(0, 1), (1, 2)}
+
+
 # --- toxicity
 
 
