@@ -78,13 +78,14 @@ def cut_windows(rows: DataFrame, at: str) -> DataFrame:
         *names, "raw", F.transform(template(F.col("raw")), lambda w: F.xxhash64(w)).alias("typed"), F.transform("raw", lambda w: F.xxhash64(F.lower(w))).alias("plain")
     )
 
-    def window(i: Column) -> Column:
-        part, typed, plain = (F.slice(c, i + 1, WINDOW) for c in ("raw", "typed", "plain"))
-        return F.struct(i.alias("at"), part.alias("raw"), F.xxhash64(typed).alias("typed"), F.xxhash64(plain).alias("plain"))
-
-    cut = coded.select(*names, F.explode(F.transform(F.sequence(F.lit(0), F.size("raw") - WINDOW), window)).alias("w"))
-    hashes = F.when(F.col("w.typed") == F.col("w.plain"), F.array("w.plain")).otherwise(F.array("w.plain", "w.typed"))
-    return cut.select(*names, F.col("w.at").alias(at), "w.raw", F.explode(hashes).alias("hash"))
+    # neighbours stand side by side through shifted arrays, which is compiled code; a lambda for each window is not
+    whole = F.size("raw") - WINDOW + 1
+    shifted = [F.slice(F.col(c), k + 1, whole) for c in ("raw", "typed", "plain") for k in range(WINDOW)]
+    cut = coded.select(*names, F.posexplode(F.arrays_zip(*shifted)).alias(at, "w"))
+    raw, typed, plain = ([F.col("w").getField(str(c * WINDOW + k)) for k in range(WINDOW)] for c in range(3))
+    hashed = cut.select(*names, at, F.array(*raw).alias("raw"), F.xxhash64(*typed).alias("typed"), F.xxhash64(*plain).alias("plain"))
+    hashes = F.when(F.col("typed") == F.col("plain"), F.array("plain")).otherwise(F.array("plain", "typed"))
+    return hashed.select(*names, at, "raw", F.explode(hashes).alias("hash"))
 
 
 def windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -113,7 +114,7 @@ def runs(docs: DataFrame, items: DataFrame, keys: list[Column], text_col: str, i
 
     # equal hashes are not yet equal words; a pair that meets in both forms counts in one
     exact = folded(F.col("item_raw")) == folded(F.col("raw"))
-    same = F.when(exact, F.col("hash") == F.xxhash64(F.transform("raw", lambda w: F.xxhash64(F.lower(w))))).otherwise(
+    same = F.when(exact, F.col("hash") == F.xxhash64(*[F.xxhash64(F.lower(F.get("raw", k))) for k in range(WINDOW)])).otherwise(
         template(F.col("item_raw")) == template(F.col("raw"))
     )
     offset = (F.col("at") - F.col("item_at")).alias("offset")
