@@ -25,6 +25,29 @@ from paypanel.llm.expressions import let, regex_spans
 
 BEFORE, AFTER = 40, 20
 OCTET = "^0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})$"
+# Length of an IBAN by country, blanks left out.
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FO GL NL SD FK",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST",
+    26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+# one alternative per length: the span ends where the IBAN ends, whatever follows
+IBAN = "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
 SPAN = "array<struct<kind:string,start:long,end:long,hit:string,score:double>>"
 
 
@@ -114,7 +137,7 @@ KINDS = [
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", phone_length, 0.6, "tel|phone|call|mobile|fax|anruf|appel"),
     Kind(
         "iban",
-        r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}",
+        IBAN,
         "[A-Z]{2}[0-9]{2}",
         mod97,
         0.7,

@@ -94,6 +94,13 @@ def test_pii_method_spans_and_long_runs(spark):
     assert got[1].iban == [] and len(got[2].ssn) == 1 and got[3].ssn == [] and got[4].card == []
 
 
+def test_ibans_end_where_their_country_says(spark):
+    de, gb = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    texts = [f"{de} BIC COBADEFF", f"{de} OK BYE", f"{de.replace(' ', '')} {gb}", f"PAY TO {gb} 12 TODAY", "DE88 3704 0044 0532 0130 00 OK"]
+    got = {r.id: [s.hit for s in r.iban] for r in pii.find_pii(one(spark, texts)).collect()}
+    assert got == {0: [de], 1: [de], 2: [de.replace(" ", ""), gb], 3: [gb], 4: []}
+
+
 # --- shards
 
 
