@@ -17,7 +17,10 @@ from paypanel.llm import (
     licenses,
     pii,
     sharding,
+    spelling,
     toxicity,
+    whitening,
+    word_bpe,
 )
 from paypanel.llm.tables import table
 
@@ -62,6 +65,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.report(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.report(table(spark, sf_dir, "documents"))
+
+
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -75,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_toxicity,
         op10_jaccard_join,
+        op11_whitening,
+        op12_spelling,
+        op13_word_bpe,
     )
 }
 ORACLES: dict[str, str] = {
@@ -82,4 +100,5 @@ ORACLES: dict[str, str] = {
     "op3_licenses": licenses.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op10_jaccard_join": jaccard_join.ORACLE,
+    "op12_spelling": spelling.ORACLE,
 }
