@@ -145,20 +145,17 @@ def near_pairs(words: DataFrame) -> DataFrame:
 
     def placed(grams: Column) -> DataFrame:
         every = F.transform(grams, lambda g: F.flatten(F.transform(F.array(length, length - 1), lambda m: keys(g, m))))
-        return layer.select("word", "n", F.explode(F.array_distinct(F.flatten(every))).alias("key"))
-
-    held = placed(F.col("prefix")).select(F.col("word").alias("other"), F.col("n").alias("other_n"), "key")
-    found = (
-        placed(pivots(F.col("prefix")))
-        .join(held, "key")
-        .where(F.levenshtein("word", "other", 1) == 1)
-        .select("word", "n", "other", "other_n")
-    )
-    pairs = written(found, "near-words")
-    back = pairs.select(
-        F.col("other").alias("word"), F.col("other_n").alias("n"), F.col("word").alias("other"), F.col("n").alias("other_n")
+        end = F.element_at("prefix", -1).weight
+        return layer.select("word", "n", end.alias("end"), F.explode(F.array_distinct(F.flatten(every))).alias("key"))
+
+    held = placed(F.col("prefix")).select(F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("end").alias("other_end"), "key")
+    found = placed(pivots(F.col("prefix"))).join(held, "key").where(
+        (F.col("end") <= F.col("other_end")) & (F.levenshtein("word", "other", 1) == 1)
     )
-    return pairs.unionByName(back).distinct()
+    one, two = F.struct("word", "n"), F.struct(F.col("other").alias("word"), F.col("other_n").alias("n"))
+    pairs = found.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
+    ways = F.array(*[F.struct(x.word.alias("word"), x.n.alias("n"), y.word.alias("other"), y.n.alias("other_n")) for x, y in ((F.col("a"), F.col("b")), (F.col("b"), F.col("a")))])
+    return pairs.select(F.inline(ways))
 
 
 def roots(forms: DataFrame, rounds: int) -> DataFrame:
