@@ -37,10 +37,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paypanel.plans.stages import written
+from paypanel.plans.stages import discard, written
 
-BLOCK_CHARS = 1 << 24
-BLOCK_WORDS = 1 << 18
+BLOCK_CHARS = 1 << 26
+BLOCK_WORDS = 1 << 20
+#: Words of more bytes go by their digest.
+SHORT = 64
 
 # White space as the pattern counts it, and the pattern. Its last two forms leave the last blank of a run to the next word.
 SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
@@ -162,7 +164,9 @@ def numbering_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             lists = batch.column(batch.num_columns - 1)
             ends = lists.offsets.to_numpy()
             flat = lists.values.slice(ends[at], ends[-1] - ends[at])
-            spans = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset : flat.offset + len(flat) + 1]
+            spans = np.zeros(1, np.int32)
+            if len(flat):
+                spans = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset : flat.offset + len(flat) + 1]
             sizes = spans[ends[at:] - ends[at]] - spans[0]
             take = max(1, int(np.searchsorted(sizes, BLOCK_CHARS - chars, "right")) - 1) if len(flat) else batch.num_rows - at
             flat = flat.slice(0, ends[at + take] - ends[at])
@@ -189,16 +193,14 @@ def numbering_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def merging_task(vocabulary: Vocabulary):
-    """Distinct words to their ids."""
+    """Distinct (key, word if it is not the key) to keys and ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_byte, merges, special = vocabulary.of_byte, vocabulary.merges, vocabulary.special
         for batch in batches:
-            words = batch.column(0)
-            ids = [
-                [special[w]] if w in special else merge([of_byte[b] for b in w.encode()], merges) for w in words.to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([words, pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
+            words = [word or key for key, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            ids = [[special[w]] if w in special else merge([of_byte[b] for b in w.encode()], merges) for w in words]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["key", "ids"])
 
     return run
 
@@ -279,9 +281,14 @@ def encode(
     layer = written(rows.mapInArrow(numbering_task, f"{fields}, {own}"), "word-places")
 
     entries = layer.where(F.col("words").isNotNull()).select("block", F.posexplode("words").alias("number", "word"))
-    coded = entries.select("word").distinct().mapInArrow(merging_task(vocabulary), "word string, ids array<int>")
-    table = decode(coded, vocabulary, "word")
-    placed = written(entries.join(table, "word").select("block", "number", "ids", "decoded"), "word-ids")
+    # a long word goes by its digest, so that no row of its ids repeats it; "#" and letters never make up one word
+    long = F.octet_length("word") > SHORT
+    entries = entries.withColumn("key", F.when(long, F.concat(F.lit("#"), F.sha2("word", 256))).otherwise(F.col("word")))
+    words = entries.select("key", F.when(long, F.col("word")).alias("word")).distinct()
+    coded = words.mapInArrow(merging_task(vocabulary), "key string, ids array<int>")
+    table = written(decode(coded, vocabulary, "key"), "word-ids")
+    placed = written(entries.join(table, "key").select("block", "number", "ids", "decoded"), "placed-words")
+    discard(table)
 
     texts = layer.where(F.col("places").isNotNull()).select(*keys, "block", "n_words", "places")
     values = ", ids array<int>, decoded string" if with_values else ""
