@@ -2,8 +2,10 @@
 
 import hashlib
 import hmac
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from paypanel.operators import matching as mat
 from paypanel.operators import pseudonyms as ps
@@ -30,13 +32,13 @@ def test_token_set_ratio():
     assert mat.token_set_ratio("A B C", "A B D") == pytest.approx(80.0)
 
 
-@pytest.mark.parametrize("block, chunk", [(64, 1024), (1, 1), (2, 2)])
-def test_best_suggestion_against_all_pairs(spark, block, chunk):
+@pytest.mark.parametrize("floor", [50.0, 1.0, 95.0])
+def test_best_suggestion_against_all_pairs(spark, floor):
     refs = ["DIRECTION SANTE", "DIRECTION EDUCATION", "TRESOR PUBLIC", "PUBLIC TRESOR", ""]
     labels = ["DIRECTION DE LA SANTE", "EDUCATION", "TRESOR", "  ", "QQQ", None]
     df = spark.createDataFrame([(x,) for x in labels] * 2, "lib string")
     ref = spark.createDataFrame([(r,) for r in refs], "ref string")
-    got = {r["libelle"]: (r["suggestion"], r["score"]) for r in mat.best_suggestions(df, ref, "lib", "ref", block, chunk).collect()}
+    got = {r["libelle"]: (r["suggestion"], r["score"]) for r in mat.best_suggestions(df, ref, "lib", "ref", floor).collect()}
     assert got["  "] == (mat.NO_SUGGESTION, 0)
     for x in ("DIRECTION DE LA SANTE", "EDUCATION", "TRESOR", "QQQ"):
         best = min(((-mat.token_set_ratio(x, r), r) for r in refs if r), key=lambda p: p)
@@ -44,6 +46,52 @@ def test_best_suggestion_against_all_pairs(spark, block, chunk):
     assert len(got) == 5
 
 
+BLANK_NAMES = ["\t", "\u3000A\x1cB", "É À", "AAAAAAAAAAAAA AAAAAAAAAAAA"]
+
+
+def drawn_names(rng, n):
+    stock = "DIRECTION DE LA SANTE EDUCATION TRESOR PUBLIC SERVICE MINISTERE AGENT CHEF A B AAAAAAAAAAAA".split()
+    words = [[rng.choice(stock) for _ in range(rng.randrange(1, 6))] for _ in range(n)]
+    odd = ["".join(rng.choice("ABCDEXYZ019") for _ in range(rng.randrange(1, 12))) if rng.random() < 0.3 else "" for _ in range(n)]
+    return [" ".join([*w, o]).strip() for w, o in zip(words, odd)]
+
+
+@pytest.mark.parametrize("floor", [50.0, 80.0, 5.0])
+def test_candidate_joins_lose_nothing(spark, floor):
+    rng = random.Random(3)
+    refs, labels = drawn_names(rng, 80) + BLANK_NAMES[1:3], drawn_names(rng, 100) + BLANK_NAMES
+    df = spark.createDataFrame([(x,) for x in labels], "lib string")
+    ref = spark.createDataFrame([(r,) for r in refs], "ref string")
+    got = {r["libelle"]: (r["suggestion"], r["score"]) for r in mat.best_suggestions(df, ref, "lib", "ref", floor).collect()}
+    for x in set(labels):
+        best = min((-mat.token_set_ratio(x, r), r) for r in set(refs))
+        assert got[x] == (best[1], int(-best[0])), x
+
+
+def test_few_pairs_are_compared(spark, monkeypatch):
+    rng = random.Random(4)
+    refs, labels = sorted(set(drawn_names(rng, 300))), sorted(set(drawn_names(rng, 300)))
+    seen = []
+    kept = mat.written
+
+    def counting(df, name="cut"):
+        out = kept(df, name)
+        seen.append((name, out))
+        return out
+
+    monkeypatch.setattr(mat, "written", counting)
+    df = spark.createDataFrame([(x,) for x in labels], "lib string")
+    mat.best_suggestions(df, spark.createDataFrame([(r,) for r in refs], "ref string"), "lib", "ref")
+    frames = dict(seen)
+    by_token = frames["token-pairs"]
+    top = by_token.groupBy("libelle").agg(F.max("score").alias("top"))
+    unsure = by_token.join(top, "libelle").where("score < 100 and bound > score and bound >= top").count()
+    first = frames["best-by-token"].select(F.col("libelle").alias("name"), "score").where("score < 100")
+    least = F.greatest("score", F.lit(mat.FLOOR)).alias("least")
+    late = mat.letter_pairs(frames["labels"].join(first.select("name", least), "name"), frames["references"], mat.FLOOR).count()
+    assert unsure + late < len(refs) * len(labels) / 10
+
+
 def test_auto_apply_fills_only_missing_codes(spark):
     d = spark.createDataFrame([(1, "A", None), (2, "A", "9"), (3, "B", None)], "i int, lib string, code string")
     sugg = spark.createDataFrame([("A", "X", 70, "1"), ("B", "Y", 69, "2")], "libelle string, suggestion string, score int, code string")
