@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 import statistics
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +21,10 @@ from paypanel.operators.windows import declaration_history
 from paypanel.plans.stages import written
 
 IMPUTATIONS = 20
-CHUNKS = 256  # parts in which the donors of one interval are numbered
+DONORS = 5
+PARTS = 4096  # in which the donors of one prediction are numbered
+CHUNK = 1 << 16  # consecutive predictions that are given their neighbours in one task
+ROWS_A_RANGE = 1 << 19
 NORMAL_975 = 1.959963984540054
 
 
@@ -76,6 +81,102 @@ def truncate_weights(df: DataFrame, weight: str, among: Column, p: float = 0.99)
     return df.withColumn(weight, F.least(F.col(weight), cap))
 
 
+def draw_parameters(x: DataFrame, y: str, m: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least-squares coefficients (constant first) and ``m`` draws from their distribution, as rows.
+
+    ``x`` has the assembled predictors ``_x`` and the values ``y``. The cross products are summed on the cluster; what
+    is solved here is as wide as the predictors. A draw takes the error variance from its scaled inverse chi-square and
+    the coefficients from the normal around the fitted ones. Predictors that depend on others share their effect.
+    """
+    row = F.concat(F.array(F.lit(1.0)), vector_to_array("_x"), F.array(F.col(y).cast("double")))
+    vectors = MLUtils.convertVectorColumnsFromML(x.select(array_to_vector(row).alias("row")), "row")
+    gram = RowMatrix(vectors).computeGramianMatrix().toArray()
+    xx, xy, yy, n = gram[:-1, :-1], gram[:-1, -1], gram[-1, -1], gram[0, 0]
+    scale = np.sqrt(np.where(np.diag(xx) > 0, np.diag(xx), 1.0))
+    values, axes = np.linalg.eigh(xx / np.outer(scale, scale))
+    used = values > 1e-10 * values.max()
+    root = (axes[:, used] / np.sqrt(values[used])) / scale[:, None]
+    fitted = root @ (root.T @ xy)
+    rest = max(yy - 2 * fitted @ xy + fitted @ xx @ fitted, 0.0)
+    draws = []
+    for k in range(1, m + 1):
+        rng = np.random.default_rng([seed, k])
+        spread = math.sqrt(rest / rng.chisquare(max(n - used.sum(), 1)))
+        draws.append(fitted + spread * (root @ rng.standard_normal(int(used.sum()))))
+    return fitted, np.array(draws)
+
+
+def nearest_donors(donors: DataFrame, recipients: DataFrame, k: int = DONORS, seed: int = 123) -> DataFrame:
+    """(id, m, value): for every recipient (id, m, target) the value of one of the ``k`` donors nearest to its target.
+
+    Donors (id, pred, value) as far as the k-th nearest count as near too, and one of all these is drawn by a seeded hash.
+    Equal predictions are one counted block. Blocks and targets are sorted together over range partitions, and counts
+    by partition turn places within a partition into places among all; so a target knows the last block not above it.
+    Each block is given its neighbours, for which chunks of consecutive blocks exchange the ``k`` rows at their edges. The near
+    donors have consecutive numbers, one is drawn, and an equi-join on the number finds its value. Donors of a block are numbered in
+    parts, so no block is one task's work.
+    """
+    part_of = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(PARTS))
+    given = donors.select("id", "pred", "value", part_of.alias("piece"))
+    counts = written(given.groupBy("pred", "piece").agg(F.count(F.lit(1)).alias("n")), "donor-counts")
+    blocks = counts.groupBy("pred").agg(F.sum("n").alias("n"))
+    asked = recipients.select("id", "m", F.col("target").alias("at"))
+    merged = blocks.select(F.col("pred").alias("at"), F.lit(0).alias("kind"), "n").unionByName(
+        asked.select("id", "m", "at", F.lit(1).alias("kind"), F.lit(0).cast("long").alias("n")), allowMissingColumns=True
+    )
+    ranges = 1 + (counts.count() + recipients.count()) // ROWS_A_RANGE
+    placed = merged.withColumn("tie", F.xxhash64("id", "m")).repartitionByRange(ranges, "at", "kind", "tie")
+    placed = written(placed.withColumn("part", F.spark_partition_id()), "targets")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range partition
+    before = placed.groupBy("part").agg(F.count_if(F.col("kind") == 0).alias("b"), F.sum("n").alias("d"))
+    before = before.select(
+        "part", F.coalesce(F.sum("b").over(earlier), F.lit(0)).alias("blocks"), F.coalesce(F.sum("d").over(earlier), F.lit(0)).alias("donors")
+    )
+    along = Window.partitionBy("part").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = written(
+        placed.withColumns({"b": F.count_if(F.col("kind") == 0).over(along), "d": F.sum("n").over(along)})
+        .join(F.broadcast(before), "part")
+        .select("id", "m", "at", "kind", "n", (F.col("blocks") + F.col("b")).alias("place"), (F.col("donors") + F.col("d") - F.col("n")).alias("start")),
+        "places",
+    )
+
+    known = numbered.where("kind = 0").select("place", F.col("at").alias("pred"), "start", "n")
+    edges = F.array_distinct(F.transform(F.array(F.lit(-k), F.lit(0), F.lit(k)), lambda s: F.floor((F.col("place") + s) / CHUNK)))
+    around = Window.partitionBy("chunk").orderBy("place").rowsBetween(1 - k, k)
+    near = (
+        known.withColumn("chunk", F.explode(edges))
+        .withColumn("near", F.collect_list(F.struct("pred", "start", "n")).over(around))
+        .where(F.col("chunk") == F.floor(F.col("place") / CHUNK))
+        .select("place", "near")
+    )
+    sought = numbered.where("kind = 1").select("id", "m", "at", F.greatest("place", F.lit(1)).alias("place")).join(near, "place")
+
+    gaps = F.array_sort(F.transform("near", lambda b: F.struct(F.abs(b.pred - F.col("at")).alias("gap"), b.n.alias("n"))))
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("gap"))
+    reach = F.aggregate(
+        gaps,
+        start,
+        lambda acc, g: F.when(acc.n >= k, acc).otherwise(F.struct((acc.n + g.n).alias("n"), g.gap.alias("gap"))),
+        lambda acc: acc.gap,
+    )
+    usable = F.filter("near", lambda b: F.abs(b.pred - F.col("at")) <= F.col("reach"))
+    drawn = (
+        sought.withColumn("reach", reach)
+        .withColumn("usable", usable)
+        .withColumn("many", F.aggregate("usable", F.lit(0).cast("long"), lambda acc, b: acc + b.n))
+        .select("id", "m", (F.array_min(F.transform("usable", lambda b: b.start)) + F.pmod(F.xxhash64("id", "m", F.lit(seed)), F.col("many"))).alias("number"))
+    )
+
+    in_block = Window.partitionBy("pred").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)  # at most PARTS rows
+    skip = counts.select("pred", "piece", F.coalesce(F.sum("n").over(in_block), F.lit(0)).alias("skip")).join(known.select("pred", "start"), "pred")
+    ranked = (
+        given.withColumn("r", F.row_number().over(Window.partitionBy("pred", "piece").orderBy("id")))
+        .join(skip, ["pred", "piece"])
+        .select((F.col("start") + F.col("skip") + F.col("r") - 1).alias("number"), "value")
+    )
+    return drawn.join(ranked, "number").select("id", "m", "value")
+
+
 def pmm_impute(
     df: DataFrame,
     value: str,
@@ -84,67 +185,31 @@ def pmm_impute(
     numbers: list[str],
     m: int = IMPUTATIONS,
     seed: int = 123,
-    buckets: int = 1024,
+    donors: int = DONORS,
 ) -> DataFrame:
     """Predictive mean matching: ``m`` completed values per row, long form (row, m, value).
 
-    The predicted means of donors and recipients fall into narrow intervals of the prediction range. All donors
-    of an interval are numbered; a recipient draws a number by a seeded hash among all donors of the nearest
-    interval that has any, and an equi-join on interval and number finds the value. Draws are repeatable, the
-    usable donors grow with the data, and numbering is cut into chunks, so no interval is one task's work.
+    Every imputation draws its own parameters. A recipient's prediction with these is matched with the donors'
+    predictions with the fitted parameters, and the value of one of the nearest ``donors`` is taken. Draws are repeatable.
     """
-    linear = LinearRegression(featuresCol="_x", labelCol=value, regParam=0.0)
     ready = df.withColumns(_known(categories))
-    model = Pipeline(stages=[*_features(categories, numbers, "keep"), linear]).fit(ready.where(F.col(value).isNotNull()))
-    scored = written(model.transform(ready).drop(*_helpers(categories)), "pmm")
-    span = scored.agg(F.min("prediction").alias("lo"), F.max("prediction").alias("hi"))
-    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
-    width = F.nullif((hi - lo) / F.lit(float(buckets)), F.lit(0.0))
-    place = F.coalesce(F.least(F.floor((F.col("prediction") - lo) / width), F.lit(buckets - 1)), F.lit(0)).cast("int")
-    scored = scored.withColumn("_b", place)
-
-    # number the donors of each interval from 0: inside chunks, then offset by the chunks before
-    chunk = F.pmod(F.xxhash64(F.col(row), F.lit(seed)), F.lit(CHUNKS))
-    given = scored.where(F.col(value).isNotNull()).select("_b", chunk.alias("_c"), F.col(row).alias("_d"), F.col(value).alias("_v"))
-    counts = given.groupBy("_b", "_c").agg(F.count(F.lit(1)).alias("_k"))
-    in_order = Window.partitionBy("_b").orderBy("_c")  # at most CHUNKS rows per interval
-    starts = counts.select(
-        "_b", "_c", F.coalesce(F.sum("_k").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_s")
-    )
-    numbered = (
-        given.withColumn("_r", F.row_number().over(Window.partitionBy("_b", "_c").orderBy("_d")))
-        .join(starts, ["_b", "_c"])
-        .select(F.col("_b").alias("_from"), (F.col("_s") + F.col("_r") - 1).alias("_slot"), "_v")
-    )
-    sizes = counts.groupBy("_b").agg(F.sum("_k").alias("_n"))
-
-    # nearest interval with donors, for each of the ``buckets`` intervals
-    every = df.sparkSession.range(buckets).select(F.col("id").cast("int").alias("_b"))
-    over = Window.orderBy("_b")  # one row per interval
-    known = every.join(sizes, "_b", "left").withColumn("_has", F.when(F.col("_n").isNotNull(), F.col("_b")))
-    near = known.select(
-        "_b",
-        F.last("_has", True).over(over.rowsBetween(Window.unboundedPreceding, 0)).alias("_below"),
-        F.first("_has", True).over(over.rowsBetween(0, Window.unboundedFollowing)).alias("_above"),
-    )
-    nearest = (
-        F.when(F.col("_below").isNull(), F.col("_above"))
-        .when(F.col("_above").isNull(), F.col("_below"))
-        .when(F.col("_b") - F.col("_below") <= F.col("_above") - F.col("_b"), F.col("_below"))
-        .otherwise(F.col("_above"))
-    )
-    table = near.select("_b", nearest.alias("_from")).join(sizes.withColumnRenamed("_b", "_from"), "_from")
-
-    times = F.explode(F.sequence(F.lit(1), F.lit(m))).alias("m")
-    kept = scored.where(F.col(value).isNotNull()).select(row, times, F.col(value).alias("valeur"))
-    missing = scored.where(F.col(value).isNull()).join(F.broadcast(table), "_b")  # one row per interval
-    drawn = (
-        missing.select(row, "_from", "_n", times)
-        .withColumn("_slot", F.pmod(F.xxhash64(F.col(row), F.col("m"), F.lit(seed)), F.col("_n")))
-        .join(numbered, ["_from", "_slot"])
-        .select(row, "m", F.col("_v").alias("valeur"))
-    )
-    return kept.unionByName(drawn)
+    known = ready.where(F.col(value).isNotNull())
+    features = Pipeline(stages=_features(categories, numbers, "keep")).fit(known)
+    scored = written(features.transform(ready).select(F.col(row).alias("id"), F.col(value).alias("value"), "_x"), "pmm")
+    fitted, draws = draw_parameters(scored.where("value IS NOT NULL"), "value", m, seed)
+    row_x = F.concat(F.array(F.lit(1.0)), vector_to_array("_x"))
+
+    def predicted(beta: np.ndarray) -> Column:
+        products = F.zip_with("x", F.lit(beta.tolist()), lambda a, b: a * b)
+        return F.aggregate(products, F.lit(0.0), lambda acc, v: acc + v)
+
+    known = scored.where("value IS NOT NULL").select("id", "value", row_x.alias("x"))
+    missing = scored.where("value IS NULL").select("id", row_x.alias("x"))
+    targets = F.posexplode(F.array(*[predicted(b) for b in draws])).alias("k", "target")
+    asked = written(missing.select("id", targets).select("id", (F.col("k") + 1).alias("m"), "target"), "recipients")
+    drawn = nearest_donors(known.select("id", predicted(fitted).alias("pred"), "value"), asked, donors, seed)
+    kept = known.select("id", F.explode(F.sequence(F.lit(1), F.lit(m))).alias("m"), "value")
+    return kept.unionByName(drawn).select(F.col("id").alias(row), "m", F.col("value").alias("valeur"))
 
 
 def student_quantile(p: float, df: float) -> float:

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,16 +52,54 @@ def test_weights(spark, frame):
 
 def test_pmm_values_come_from_donors_and_repeat(spark, frame):
     d = frame.withColumn("y", F.log("salaire"))
-    a = est.pmm_impute(d, "y", "row_id", ["sexe"], ["age"], 4, buckets=64)
+    a = est.pmm_impute(d, "y", "row_id", ["sexe"], ["age"], 4)
     assert a.count() == 4 * 600 and a.where("valeur is null").count() == 0
     assert a.join(d.select(F.col("y").alias("valeur")).distinct(), "valeur", "left_anti").count() == 0
-    b = est.pmm_impute(d, "y", "row_id", ["sexe"], ["age"], 4, buckets=64)
+    b = est.pmm_impute(d, "y", "row_id", ["sexe"], ["age"], 4)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     # imputations stay near the model: correlation with age is kept among the imputed
     got = a.join(d.where("y is null").select("row_id", "age", "sexe"), "row_id").where("sexe = 'H'").agg(F.corr("age", "valeur")).first()[0]
     assert got > 0.6
 
 
+@pytest.mark.parametrize("k, ties", [(1, 1), (5, 1), (5, 40), (3, 7)])
+def test_donors_are_the_nearest(spark, monkeypatch, k, ties):
+    monkeypatch.setattr(est, "CHUNK", 16)  # many edges
+    monkeypatch.setattr(est, "ROWS_A_RANGE", 100)
+    rng = random.Random(k * ties)
+    preds = [round(rng.gauss(0, 3), 6) for _ in range(400 // ties)] * ties
+    donors = [(i, p, float(i)) for i, p in enumerate(preds)]
+    asked = [(1000 + i, m, rng.choice([rng.gauss(0, 4), rng.choice(preds), 99.0, -99.0])) for i in range(150) for m in (1, 2)]
+    d = spark.createDataFrame(donors, "id long, pred double, value double")
+    a = spark.createDataFrame(asked, "id long, m int, target double")
+    got = {(r["id"], r["m"]): r["value"] for r in est.nearest_donors(d, a, k).collect()}
+    assert len(got) == len(asked)
+    for i, m, t in asked:
+        reach = sorted(abs(p - t) for p in preds)[k - 1]
+        assert abs(preds[int(got[i, m])] - t) <= reach
+    # all donors of a tie are in use
+    if ties == 40:
+        assert len(set(got.values())) > 60
+
+
+def test_parameters_are_drawn_around_the_fit(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    rng = random.Random(5)
+    rows = [(x := [rng.gauss(0, 1), rng.random(), 1.0], 3 + 2 * x[0] - x[1] + rng.gauss(0, 0.5)) for _ in range(500)]
+    d = spark.createDataFrame(rows, "a array<double>, y double").withColumn("_x", array_to_vector("a"))
+    fitted, draws = est.draw_parameters(d, "y", 200, 1)
+    x = np.array([[1.0, *a] for a, _ in rows])
+    y = np.array([b for _, b in rows])
+    want = np.linalg.lstsq(x, y, rcond=None)[0]
+    assert np.allclose(x @ fitted, x @ want, atol=1e-8)  # the constant is in twice
+    assert len({tuple(b) for b in draws}) == 200
+    reduced = x[:, :3]
+    spread = ((y - x @ want) ** 2).sum() / (500 - 3) * np.linalg.inv(reduced.T @ reduced)
+    assert np.allclose(draws[:, 1:3].std(0), np.sqrt(np.diag(spread))[1:], rtol=0.25)
+    assert np.allclose(draws[:, 1:3].mean(0), want[1:3], atol=5 * np.sqrt(np.diag(spread))[1:] / math.sqrt(200) + 1e-3)
+
+
 def test_estimates_bracket_the_mean(spark, frame):
     r = est.individual_estimate(frame, "salaire", "R", "row_id", ["sexe", "job"], ["age"], 5).first()
     naive = frame.agg(F.avg("salaire")).first()[0]
