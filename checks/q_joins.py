@@ -137,7 +137,7 @@ def _(spark, sf):
 
 @register(
     "j13_id_overlap",
-    """WITH a AS (SELECT DISTINCT matricule FROM silver WHERE annee = 1996), b AS (SELECT DISTINCT matricule FROM silver WHERE annee = 1997)
+    """WITH a AS (SELECT DISTINCT matricule FROM silver WHERE annee < 1996), b AS (SELECT DISTINCT matricule FROM silver WHERE annee >= 1996)
 SELECT (SELECT count(*) FROM a) AS n_gauche, (SELECT count(*) FROM b) AS n_droite,
 (SELECT count(*) FROM (SELECT * FROM a INTERSECT SELECT * FROM b)) AS communs,
 (SELECT count(*) FROM (SELECT * FROM a EXCEPT SELECT * FROM b)) AS manquants,
@@ -145,16 +145,16 @@ SELECT (SELECT count(*) FROM a) AS n_gauche, (SELECT count(*) FROM b) AS n_droit
 )
 def _(spark, sf):
     d = silver(spark, sf)
-    return joins.id_overlap(d.where("annee = 1996"), d.where("annee = 1997"), "matricule")
+    return joins.id_overlap(d.where("annee < 1996"), d.where("annee >= 1996"), "matricule")
 
 
 @register(
     "j14_new_membership",
-    """SELECT row_id, matricule NOT IN (SELECT matricule FROM silver WHERE annee < 1998) AS est_nouveau FROM silver WHERE annee = 1998""",
+    """SELECT row_id, matricule NOT IN (SELECT matricule FROM silver WHERE annee < 1998) AS est_nouveau FROM silver WHERE annee >= 1998""",
 )
 def _(spark, sf):
     d = silver(spark, sf)
-    return joins.new_membership(d.where("annee = 1998"), d.where("annee < 1998"), "matricule").select("row_id", "est_nouveau")
+    return joins.new_membership(d.where("annee >= 1998"), d.where("annee < 1998"), "matricule").select("row_id", "est_nouveau")
 
 
 @register(
@@ -296,13 +296,13 @@ def _(spark, sf):
 
 @register(
     "u01_stack_by_name",
-    """SELECT row_id, montant_brut, CAST(NULL AS DOUBLE) AS montant_net FROM silver WHERE annee = 1996
-UNION ALL SELECT row_id, NULL, montant_net FROM silver WHERE annee = 1997""",
+    """SELECT row_id, montant_brut, CAST(NULL AS DOUBLE) AS montant_net FROM silver WHERE annee < 1996
+UNION ALL SELECT row_id, NULL, montant_net FROM silver WHERE annee >= 1996""",
 )
 def _(spark, sf):
     d = silver(spark, sf)
-    a = d.where("annee = 1996").select("row_id", "montant_brut")
-    b = d.where("annee = 1997").select("row_id", "montant_net")
+    a = d.where("annee < 1996").select("row_id", "montant_brut")
+    b = d.where("annee >= 1996").select("row_id", "montant_net")
     return stack_by_name([a, b])
 
 

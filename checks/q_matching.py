@@ -85,7 +85,7 @@ def _(spark, sf):
 
 @register("h02_pbkdf2_id")
 def _(spark, sf):
-    return pseudo.id_mapping(frame(spark, sf, "panel_src"), "matricule", TEST_KEY, iterations=100)
+    return pseudo.id_mapping(frame(spark, sf, "panel_src"), "matricule", TEST_KEY)
 
 
 @register("h03_collisions", "SELECT pseudonyme, count(*) AS n FROM hashed GROUP BY 1 HAVING count(*) > 1")
@@ -113,15 +113,15 @@ def _(spark, sf):
 
 
 def survey(spark, sf):
-    """Rows of 1997 with declared salaries (R = 1) and predictors."""
+    """All rows with declared salaries (R = 1) and predictors; the months of all years are told apart."""
 
     def build():
-        d = graded(spark, sf).where("annee = 1997")
+        d = graded(spark, sf)
         birth, ref = clean_date("date_naissance"), month_end("mois_annee")
         return d.select(
             "row_id",
             "organisme",
-            "mois",
+            F.col("periode").alias("mois"),
             F.col("montant_brut").alias("salaire"),
             F.col("montant_brut").isNotNull().cast("int").alias("R"),
             F.coalesce(age_years(birth, ref), F.lit(40)).cast("double").alias("age"),
@@ -135,7 +135,7 @@ def survey(spark, sf):
     return layer(spark, f"survey {sf}", build)
 
 
-CATS, NUMS = ["sexe", "profession"], ["age", "anciennete"]
+CATS, NUMS = ["sexe", "profession", "secteur"], ["age", "anciennete"]
 
 
 @register("e01_ipw_weights")
@@ -146,32 +146,32 @@ def _(spark, sf):
 @register("e02_pmm_impute")
 def _(spark, sf):
     d = survey(spark, sf).withColumn("_log", F.log("salaire"))
-    return est.pmm_impute(d, "_log", "row_id", CATS, NUMS, 5)
+    return est.pmm_impute(d, "_log", "row_id", CATS, NUMS)
 
 
 @register("e03_pool_rubin")
 def _(spark, sf):
     d = survey(spark, sf).withColumn("_log", F.log("salaire"))
-    c = est.pmm_impute(d, "_log", "row_id", CATS, NUMS, 5).withColumns({"valeur": F.exp("valeur"), "w": F.lit(1.0)})
+    c = est.pmm_impute(d, "_log", "row_id", CATS, NUMS).withColumns({"valeur": F.exp("valeur"), "w": F.lit(1.0)})
     return est.pool_rubin(est.weighted_estimates(c, "w"))
 
 
 @register("e01_individual_estimate")
 def _(spark, sf):
-    return est.individual_estimate(survey(spark, sf), "salaire", "R", "row_id", CATS, NUMS, 5)
+    return est.individual_estimate(survey(spark, sf), "salaire", "R", "row_id", CATS, NUMS)
 
 
 def employers(spark, sf):
-    d = survey(spark, sf).withColumn("R", F.when(F.col("mois") % 4 == 0, 0).otherwise(F.col("R")))
+    d = survey(spark, sf).withColumn("R", F.when(F.col("mois") % 100 % 4 == 0, 0).otherwise(F.col("R")))
     return est.employer_month_base(d, "organisme", "mois", "salaire", "R", "age", "sexe", "Femme", "taille", "secteur")
 
 
 @register(
     "e04_employer_month_base",
-    """WITH s AS (SELECT *, CASE WHEN mois % 4 = 0 OR montant_brut IS NULL THEN 0 ELSE 1 END AS rr,
+    """WITH s AS (SELECT *, CASE WHEN periode % 100 % 4 = 0 OR montant_brut IS NULL THEN 0 ELSE 1 END AS rr,
   coalesce(year(collecte) - year(naissance) - CASE WHEN strftime(collecte, '%m%d') < strftime(naissance, '%m%d') THEN 1 ELSE 0 END, 40) AS ag
-  FROM births WHERE annee = 1997)
-SELECT organisme, mois, count(*) AS n_total, CAST(sum(rr) AS BIGINT) AS n_declares, round(avg(montant_brut) FILTER (WHERE rr = 1), 6) AS salaire_moyen_obs,
+  FROM births)
+SELECT organisme, periode AS mois, count(*) AS n_total, CAST(sum(rr) AS BIGINT) AS n_declares, round(avg(montant_brut) FILTER (WHERE rr = 1), 6) AS salaire_moyen_obs,
 round(avg(ag), 6) AS age_moyen, round(avg(CASE WHEN SEXE_STD = 'Femme' THEN 1.0::DOUBLE ELSE 0 END), 6) AS part_femmes,
 CAST(arg_min(row_id % 100 + 1, row_id) AS DOUBLE) AS taille, arg_min(coalesce(CODE_ORGANISME, 'NON_CODE'), row_id) AS secteur,
 CAST(sum(rr) > 0 AS INTEGER) AS declare FROM s GROUP BY 1, 2""",
@@ -182,12 +182,12 @@ def _(spark, sf):
 
 @register("e05_employer_estimate")
 def _(spark, sf):
-    return est.employer_estimate(employers(spark, sf), "organisme", "mois", 5)
+    return est.employer_estimate(employers(spark, sf), "organisme", "mois")
 
 
 @register("e06_two_stage_estimate")
 def _(spark, sf):
-    d = survey(spark, sf).withColumn("R", F.when(F.col("mois") % 4 == 0, 0).otherwise(F.col("R")))
+    d = survey(spark, sf).withColumn("R", F.when(F.col("mois") % 100 % 4 == 0, 0).otherwise(F.col("R")))
     return est.two_stage_estimate(d, employers(spark, sf), "organisme", "mois", "salaire", "R", CATS, NUMS)
 
 
@@ -200,7 +200,7 @@ def fresh(spark, name: str) -> str:
 
 def raw_rows(spark, sf):
     """Sheet-like rows: one file per month, title lines, a header at varying depth, then data."""
-    d = silver(spark, sf).where("annee = 1996")
+    d = silver(spark, sf)
     depth = F.col("mois") % 3
     file = F.concat(F.col("mois_annee"), F.lit(".xlsx"))
     months = d.select("mois_annee", "mois").distinct()
@@ -220,7 +220,7 @@ def raw_rows(spark, sf):
 
 @register(
     "s04_locate_header",
-    "SELECT DISTINCT mois_annee || '.xlsx' AS fichier, CAST(mois % 3 AS INTEGER) AS entete FROM silver WHERE annee = 1996",
+    "SELECT DISTINCT mois_annee || '.xlsx' AS fichier, CAST(mois % 3 AS INTEGER) AS entete FROM silver",
 )
 def _(spark, sf):
     return files.locate_header(raw_rows(spark, sf))
@@ -228,7 +228,7 @@ def _(spark, sf):
 
 @register(
     "s05_score_header",
-    """SELECT DISTINCT mois_annee || '.xlsx' AS fichier, CAST(mois % 3 AS INTEGER) AS entete, 0.85::DOUBLE AS score FROM silver WHERE annee = 1996""",
+    """SELECT DISTINCT mois_annee || '.xlsx' AS fichier, CAST(mois % 3 AS INTEGER) AS entete, 0.85::DOUBLE AS score FROM silver""",
 )
 def _(spark, sf):
     return files.score_header(raw_rows(spark, sf), ["MATRICULE"], ["MONTANT BRUT", "SEXE"])
@@ -236,7 +236,7 @@ def _(spark, sf):
 
 @register(
     "s06_apply_header",
-    """SELECT mois_annee || '.xlsx' AS fichier, matricule AS "MATRICULE", emploi AS "EMPLOI", montant_brut AS "MONTANT_BRUT" FROM silver WHERE annee = 1996""",
+    """SELECT mois_annee || '.xlsx' AS fichier, matricule AS "MATRICULE", emploi AS "EMPLOI", montant_brut AS "MONTANT_BRUT" FROM silver""",
 )
 def _(spark, sf):
     raw = written(raw_rows(spark, sf), "raw")
@@ -244,9 +244,9 @@ def _(spark, sf):
     return d.select("fichier", "MATRICULE", "EMPLOI", F.col("MONTANT_BRUT").cast("double").alias("MONTANT_BRUT"))
 
 
-def monthly_files(spark, sf, years="1996"):
+def monthly_files(spark, sf):
     """Bronze folder with one file per period, named after the period."""
-    d = frame(spark, sf, "panel_src").where(f"substr(mois_annee, 3, 4) = '{years}'")
+    d = frame(spark, sf, "panel_src")
     path = fresh(spark, "bronze")
     d.withColumn("p", F.col("mois_annee")).repartition("p").write.partitionBy("p").parquet(path)
     # hand the files over under period names, as the extracts arrive
@@ -266,7 +266,7 @@ def monthly_files(spark, sf, years="1996"):
 
 @register(
     "s01_read_bronze",
-    """SELECT CAST(row_id AS VARCHAR) AS row_id, mois_annee, mois_annee || '.parquet' AS fichier_source FROM panel_src WHERE substr(mois_annee, 3, 4) = '1996'""",
+    """SELECT CAST(row_id AS VARCHAR) AS row_id, mois_annee, mois_annee || '.parquet' AS fichier_source FROM panel_src""",
 )
 def _(spark, sf):
     return files.read_bronze(spark, monthly_files(spark, sf)).select("row_id", "mois_annee", "fichier_source")
@@ -347,7 +347,7 @@ def _(spark, sf):
 
 @register(
     "m01_ingest_new_files",
-    "SELECT row_id, periode FROM panel_src WHERE substr(mois_annee, 3, 4) = '1996'",
+    "SELECT row_id, periode FROM panel_src",
 )
 def _(spark, sf):
     folder = monthly_files(spark, sf)
@@ -362,7 +362,7 @@ def _(spark, sf):
     "m02_running_effectifs",
     """SELECT periode, organisme, count(*) AS nb_lignes, count(DISTINCT matricule) AS nb_agents,
 count(*) FILTER (WHERE SEXE_STD = 'Homme') AS nb_hommes, count(*) FILTER (WHERE SEXE_STD = 'Femme') AS nb_femmes
-FROM graded WHERE annee = 1996 GROUP BY 1, 2""",
+FROM graded GROUP BY 1, 2""",
 )
 def _(spark, sf):
     schema = frame(spark, sf, "panel_src").drop("mois_annee", "periode").schema
