@@ -1,11 +1,10 @@
-"""Ordered per-key operators that survive a key holding a large share of the rows.
-
-A plain window sends every row of one key to one task. Here the few keys with more than
-``HOT_ROWS`` rows are found first (a map-side combined count, at most ``HOT_KEYS`` of them are
-kept, so the broadcast is bounded by construction) and their rows are cut into chunks of
-consecutive order values. Windows run inside a chunk; what a chunk needs from the chunks
-before or after it comes from a small per-chunk summary. Other keys form a single chunk, so
-for them the plan is the ordinary one-shuffle window.
+"""Ordered per-key operators that survive keys holding a large share of the rows.
+
+A plain window sends every row of one key to one task. Here the keys with more than ``HOT_ROWS`` rows are found
+first (a map-side combined count). If there are none, the plan is the ordinary one-shuffle window. Otherwise the
+rows of the hot keys, and only these, are sorted over range partitions of about ``2**CHUNK_BITS`` rows and written; a
+range is a chunk, whatever the order values look like. Windows run inside a chunk; what a chunk needs from the chunks before
+or after it comes from a small per-chunk summary. However many keys are hot, all are cut.
 """
 
 from __future__ import annotations
@@ -13,9 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paypanel.plans.stages import written
+
 HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
 CHUNK_BITS = 20
+#: A list of hot keys up to this length is broadcast; a longer one is joined by shuffle.
+LISTED_KEYS = 10_000
 
 PERIOD, ROW = "periode", "row_id"
 
@@ -26,42 +28,53 @@ def group_key(keys: list[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The at most ``HOT_KEYS`` largest keys above ``hot_rows`` rows."""
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_hot_key"))
-        .agg(F.count(F.lit(1)).alias("_hot_n"))
-        .where(F.col("_hot_n") > hot_rows)
-        .orderBy(F.desc("_hot_n"), "_hot_key")
-        .limit(HOT_KEYS)
-        .select("_hot_key")
-    )
+    """All keys above ``hot_rows`` rows, with their number of rows."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_hot_n"))
+    return counts.where(F.col("_hot_n") > hot_rows)
 
 
 def with_chunks(
-    df: DataFrame, key: str, period: str = PERIOD, row: str = ROW, hot_rows: int = HOT_ROWS, bits: int = CHUNK_BITS
-) -> DataFrame:
-    """Add ``_key`` (rows with a NULL key stand alone) and ``_chunk`` (NULL for ordinary keys).
+    df: DataFrame,
+    key: str,
+    period: str = PERIOD,
+    row: str = ROW,
+    hot_rows: int = HOT_ROWS,
+    bits: int = CHUNK_BITS,
+    listed: int = LISTED_KEYS,
+) -> tuple[DataFrame, bool]:
+    """The rows with ``_key`` (a NULL key stands alone) and ``_chunk`` (NULL for ordinary keys), and whether any key is hot.
 
-    ``row`` is a unique integer, so a chunk holds at most 2**bits rows.
+    ``row`` is unique. The hot keys are counted here and now: how their rows are cut depends on it.
     """
-    hot = F.broadcast(hot_keys(df, key, hot_rows))
     alone = F.when(F.col(key).isNull(), F.col(row))
-    chunk = F.struct(F.col(period).alias("p"), F.shiftright(F.col(row), bits).alias("r"))
-    return (
-        df.join(hot, F.col(key) == F.col("_hot_key"), "left")
-        .withColumn("_key", F.struct(F.col(key).alias("k"), alone.alias("a")))
-        .withColumn("_chunk", F.when(F.col("_hot_key").isNotNull(), chunk))
-        .drop("_hot_key")
-    )
+    keyed = df.withColumn("_key", F.struct(F.col(key).alias("k"), alone.alias("a")))
+    nowhere = F.lit(None).cast("int")
+    hot = hot_keys(df, key, hot_rows)
+    known = hot.limit(listed + 1).collect()
+    if not known:
+        return keyed.withColumn("_chunk", nowhere), False
+    if len(known) <= listed:
+        hot = F.broadcast(df.sparkSession.createDataFrame(known, hot.schema))
+        n = sum(r["_hot_n"] for r in known)
+    else:
+        hot = written(hot, "hot-keys")
+        n = hot.agg(F.sum("_hot_n")).first()[0]
+    same = F.col(key) == F.col("_hot_key")
+    pieces = 2 * ((n + (1 << bits) - 1) >> bits)
+    cut = keyed.join(hot, same, "left_semi").repartitionByRange(pieces, key, period, row)
+    cut = written(cut.withColumn("_chunk", F.spark_partition_id()), "hot-rows")
+    return keyed.join(hot, same, "left_anti").withColumn("_chunk", nowhere).unionByName(cut), True
 
 
 def _order(period: str, row: str) -> Column:
     return F.struct(F.col(period), F.col(row))
 
 
-def _join_summary(chunked: DataFrame, summary: DataFrame) -> DataFrame:
-    """Attach the per-chunk summary; rows and summary share the window's partitioning."""
+def _join_summary(chunked: DataFrame, summary: DataFrame, any_hot: bool) -> DataFrame:
+    """Attach the per-chunk summary; without hot keys its columns are NULL."""
+    if not any_hot:
+        new = [f for f in summary.schema.fields if f.name not in ("_key", "_chunk")]
+        return chunked.withColumns({f.name: F.lit(None).cast(f.dataType) for f in new})
     s = summary.withColumnsRenamed({"_key": "_s_key", "_chunk": "_s_chunk"})
     cond = (F.col("_key") == F.col("_s_key")) & (F.col("_chunk") == F.col("_s_chunk"))
     return chunked.join(s, cond, "left").drop("_s_key", "_s_chunk")
@@ -78,7 +91,7 @@ def fill_along(
     bits: int = CHUNK_BITS,
 ) -> DataFrame:
     """Add ``<col>__fwd`` (last known value up to the row) and ``<col>__bwd`` (first later one)."""
-    d = with_chunks(df, key, period, row, hot_rows, bits)
+    d, any_hot = with_chunks(df, key, period, row, hot_rows, bits)
     order = _order(period, row)
 
     per_chunk = (
@@ -108,7 +121,7 @@ def fill_along(
         if backward:
             new[f"{c}__bwd"] = F.coalesce(F.first(c, ignorenulls=True).over(onward), F.col(f"_next_{c}"))
     helpers = [f"_{side}_{c}" for c in cols for side in ("prev", "next")]
-    return _join_summary(d, summary).withColumns(new).drop("_key", "_chunk", *helpers)
+    return _join_summary(d, summary, any_hot).withColumns(new).drop("_key", "_chunk", *helpers)
 
 
 def with_previous(
@@ -121,7 +134,7 @@ def with_previous(
     bits: int = CHUNK_BITS,
 ) -> DataFrame:
     """Add ``<col>__prev``: the value of the key's previous row, NULL on its first row."""
-    d = with_chunks(df, key, period, row, hot_rows, bits)
+    d, any_hot = with_chunks(df, key, period, row, hot_rows, bits)
     order = _order(period, row)
     values = F.struct(*[F.col(c) for c in cols])
 
@@ -134,7 +147,7 @@ def with_previous(
     summary = last_rows.select("_key", "_chunk", F.lag("_last").over(over_chunks).alias("_carry"))
 
     in_chunk = Window.partitionBy("_key", "_chunk").orderBy(period, row)
-    joined = _join_summary(d, summary).withColumn("_p", F.coalesce(F.lag(values).over(in_chunk), F.col("_carry")))
+    joined = _join_summary(d, summary, any_hot).withColumn("_p", F.coalesce(F.lag(values).over(in_chunk), F.col("_carry")))
     return joined.withColumns({f"{c}__prev": F.col("_p").getField(c) for c in cols}).drop(
         "_key", "_chunk", "_carry", "_p"
     )
@@ -149,7 +162,7 @@ def with_rank(
     bits: int = CHUNK_BITS,
 ) -> DataFrame:
     """Add ``rang`` (from 1) and ``effectif`` of the row inside its key."""
-    d = with_chunks(df, key, period, row, hot_rows, bits)
+    d, any_hot = with_chunks(df, key, period, row, hot_rows, bits)
     sizes = d.where(F.col("_chunk").isNotNull()).groupBy("_key", "_chunk").agg(F.count("*").alias("_m"))
     whole_key = Window.partitionBy("_key")
     summary = sizes.select(
@@ -160,7 +173,7 @@ def with_rank(
     )
     part = Window.partitionBy("_key", "_chunk")
     return (
-        _join_summary(d, summary)
+        _join_summary(d, summary, any_hot)
         .withColumns(
             {
                 "rang": F.row_number().over(part.orderBy(period, row)) + F.coalesce("_skip", F.lit(0)),

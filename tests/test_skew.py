@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from paypanel.operators import coherence, imputation, persons, skew, windows
 
@@ -46,16 +47,38 @@ def test_chunks_do_not_change_results(frame, hot_rows, bits):
 
 
 def test_chunks_are_bounded(frame):
-    d = skew.with_chunks(frame, "matricule", hot_rows=20, bits=3)
+    d, any_hot = skew.with_chunks(frame, "matricule", hot_rows=20, bits=3)
+    assert any_hot
     sizes = d.where("_chunk is not null").groupBy("_key", "_chunk").count()
     assert sizes.where("count > 8").count() == 0
     assert d.where("matricule = 'hot' and _chunk is null").count() == 0
     assert d.where("matricule = 'one' and _chunk is not null").count() == 0
 
 
-def test_hot_key_list_is_bounded(spark):
-    d = spark.range(3000).selectExpr("cast(id as string) as k").crossJoin(spark.range(2))
-    assert skew.hot_keys(d, "k", 1).count() == skew.HOT_KEYS
+@pytest.mark.parametrize("listed", [10_000, 100])
+def test_many_hot_keys_and_sparse_ids(spark, monkeypatch, listed):
+    """1 500 hot keys, ids far apart and in clusters: all keys are cut into bounded chunks, with equal rows."""
+    monkeypatch.setattr(skew.with_chunks, "__defaults__", (*skew.with_chunks.__defaults__[:-1], listed))
+    d = spark.range(1500 * 6).select(
+        F.format_string("k%04d", F.col("id") % 1500).alias("k"),
+        (F.lit(202001) + (F.col("id") / 4500).cast("int")).alias("periode"),
+        F.when(F.col("id") % 2 == 0, F.col("id") * (1 << 40)).otherwise(F.col("id")).alias("row_id"),
+        F.when(F.xxhash64("id") % 3 == 0, F.col("id").cast("double")).alias("v"),
+    )
+    chunked, any_hot = skew.with_chunks(d, "k", hot_rows=5, bits=8)
+    assert any_hot and chunked.where("_chunk is null").count() == 0
+    assert chunked.groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 256
+    plain = [sorted(map(tuple, f(d, "k", hot_rows=10**6).collect(), ), key=str) for f in (skew.with_rank,)]
+    cut = [sorted(map(tuple, f(d, "k", hot_rows=5, bits=8).collect()), key=str) for f in (skew.with_rank,)]
+    assert plain == cut
+    for f in (skew.fill_along, skew.with_previous):
+        a = sorted(map(tuple, f(d, "k", ["v"], hot_rows=10**6).collect()), key=str)
+        assert a == sorted(map(tuple, f(d, "k", ["v"], hot_rows=5, bits=8).collect()), key=str)
+
+
+def test_no_hot_key_means_one_shuffle(spark, frame):
+    plan = skew.fill_along(frame, "matricule", ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
 
 
 def test_no_key_gets_no_value(spark):
