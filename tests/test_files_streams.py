@@ -147,6 +147,47 @@ def test_split_and_late_deliveries(spark, sf, folder):
     land("011996_v2", rows)
     ingest.running_effectifs(*args)
     assert counted() == 2  # an older delivery that arrives late
+    ingest.running_effectifs(*args)
+    assert counted() == 2  # nothing new
+
+
+def test_renamed_redeliveries(spark, sf, folder):
+    landing = folder + "/landing"
+    os.makedirs(landing)
+    schema = frame(spark, sf, "panel_src").drop("mois_annee", "periode").schema
+    source = spark.read.schema(schema).parquet(monthly_files(spark, sf) + "/011996.parquet").where("sexe is not null")
+    rows = source.limit(6).collect()
+    args = (spark, landing, schema, folder + "/eff", folder + "/ck")
+
+    def land(name, part, at):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{folder}/{name}")
+        file = next(f for f in os.listdir(f"{folder}/{name}") if f.endswith(".parquet"))
+        os.utime(f"{folder}/{name}/{file}", (at, at))
+        os.rename(f"{folder}/{name}/{file}", f"{landing}/{name}.parquet")
+
+    def counted():
+        got = spark.read.parquet(folder + "/eff").where("periode = 199601").collect()
+        return sum(r["nb_lignes"] for r in got), sum(r["nb_agents"] for r in got)
+
+    def agents(part):
+        return len({(r["organisme"], r["matricule"]) for r in part if r["matricule"] is not None})
+
+    land("011996", rows[:3], 1_000_000)
+    ingest.running_effectifs(*args)
+    assert counted() == (3, agents(rows[:3]))
+    land("011996_corrige", rows[:2], 2_000_000)
+    ingest.running_effectifs(*args)
+    assert counted() == (2, agents(rows[:2]))  # replaces, is not added
+    land("011996_corrige_part2", rows[4:5], 3_000_000)
+    land("011996_b", rows, 3_100_000)
+    ingest.running_effectifs(*args)
+    assert counted() == (3, agents(rows[:2] + rows[4:5]))  # a part of the newer one counts, one of the older does not
+    land("021996", rows[:1], 3_200_000)
+    ingest.running_effectifs(*args)
+    assert counted()[0] == 3
+    land("011996-rectifie", rows[:1], 4_000_000)
+    ingest.running_effectifs(*args)
+    assert counted() == (1, agents(rows[:1]))
 
 
 def test_written_cuts_the_plan(spark):
