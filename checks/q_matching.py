@@ -332,6 +332,15 @@ def _(spark, sf):
     return files.append_new_periods(base, new)
 
 
+@register("s12_publish_version", "SELECT row_id, periode, montant_brut FROM silver")
+def _(spark, sf):
+    d = silver(spark, sf).select("row_id", "periode", "montant_brut")
+    base = fresh(spark, "versions")
+    files.publish_version(d.where("periode <= 199706"), base)
+    files.publish_version(files.append_new_periods(files.read_current(spark, base), d), base)
+    return files.read_current(spark, base)
+
+
 @register("s13_select_period_range", "SELECT row_id, periode FROM silver WHERE periode BETWEEN 199607 AND 199803")
 def _(spark, sf):
     return files.select_period_range(silver(spark, sf), 199607, 199803).select("row_id", "periode")

@@ -6,7 +6,9 @@ Writers never replace the data they read from: a new version goes to a new path
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +17,8 @@ from paypanel.functions.text import norm_label
 from paypanel.operators.schema import dedupe_names, normalize_column_name, stack_by_name, standardize
 from paypanel.operators.sets import sample_rows
 
+#: Rows of a report that one task may write into one file.
+REPORT_ROWS = 1_000_000
 PERIOD_IN_NAME = r"([0-9]{6}|[0-9]{4}[-_][0-9]{2})"
 
 
@@ -157,8 +161,10 @@ def write_monthly_split(df: DataFrame, path: str, col: str = "periode") -> None:
     write_partitioned(df, path, col)
 
 
-def write_report_csv(df: DataFrame, path: str) -> None:
-    """Small aggregated report as one CSV file with a header."""
+def write_report_csv(df: DataFrame, path: str, most: int = REPORT_ROWS) -> None:
+    """Small aggregated report as one CSV file with a header; more than ``most`` rows are refused."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"a report has {most} rows at most; write larger tables with write_bounded_parts")
     df.coalesce(1).write.option("header", True).mode("overwrite").csv(path)
 
 
@@ -174,6 +180,58 @@ def verify_load(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- versions
+
+
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    folder, fs = _folder(spark, path)
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix) and n[len(prefix) :].isdigit())
+
+
+def current_version(spark: SparkSession, base: str) -> int | None:
+    """The version readers take: the last one published."""
+    return max(_numbers(spark, f"{base}/_published", ""), default=None)
+
+
+def read_current(spark: SparkSession, base: str) -> DataFrame:
+    version = current_version(spark, base)
+    if version is None:
+        raise FileNotFoundError(f"nothing is published under {base}")
+    return spark.read.parquet(f"{base}/version={version}")
+
+
+def publish_version(df: DataFrame, base: str, check: Callable[[DataFrame], bool] | None = None, keep: int = 2) -> int:
+    """Write a new version beside the others, verify it, publish it; returns its number.
+
+    What is read back must have the rows that were written and pass ``check``. Publishing creates one marker file that no
+    other writer can have created, so it happens whole or not at all: after a failure readers stay with the version
+    before, and of two writers of one number the second fails. The last ``keep`` published versions stay.
+    """
+    spark = df.sparkSession
+    number = 1 + max([*_numbers(spark, base, "version="), current_version(spark, base) or 0])
+    path = f"{base}/version={number}"
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    loaded = spark.read.parquet(path)
+    if loaded.count() != seen.get["rows"] or (check is not None and not check(loaded)):
+        raise ValueError(f"version {number} of {base} is not published: what was written does not verify")
+    marker, fs = _folder(spark, f"{base}/_published/{number}")
+    fs.create(marker, False).close()
+    kept = _numbers(spark, f"{base}/_published", "")[-keep:]
+    for old in _numbers(spark, base, "version="):
+        if old < kept[0]:
+            for gone in (f"{base}/_published/{old}", f"{base}/version={old}"):
+                fs.delete(_folder(spark, gone)[0], True)
+    return number
+
+
 # ---------------------------------------------------------------- incremental
 
 

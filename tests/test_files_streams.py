@@ -77,6 +77,29 @@ def test_append_takes_only_later_periods(spark):
     assert files.append_new_periods(base.limit(0), new).count() == 2
 
 
+def test_a_failed_publish_leaves_readers_on_the_old_version(spark, folder):
+    base = folder + "/v"
+    assert files.current_version(spark, base) is None
+    with pytest.raises(FileNotFoundError):
+        files.read_current(spark, base)
+    assert files.publish_version(spark.range(3), base) == 1
+    with pytest.raises(ValueError):
+        files.publish_version(spark.range(9), base, check=lambda d: d.count() < 5)
+    assert files.current_version(spark, base) == 1 and files.read_current(spark, base).count() == 3
+    assert files.publish_version(spark.range(4), base) == 3  # the failed number is not used again
+    assert files.read_current(spark, base).count() == 4
+    assert os.path.isdir(base + "/version=1")  # the one before stays
+    assert files.publish_version(files.read_current(spark, base).union(spark.range(1)), base) == 4
+    assert sorted(n for n in os.listdir(base) if n.startswith("version=")) == ["version=3", "version=4"]
+    assert files.read_current(spark, base).count() == 5
+
+
+def test_reports_are_small(spark, folder):
+    with pytest.raises(ValueError):
+        files.write_report_csv(spark.range(11), folder + "/r", most=10)
+    files.write_report_csv(spark.range(10), folder + "/r", most=10)
+
+
 def test_sample_is_repeatable(spark):
     d = spark.range(1000).withColumnRenamed("id", "k")
     a, b = (sorted(r[0] for r in sample_rows(x, ["k"], 10).collect()) for x in (d, d.repartition(7)))
