@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented letters of the source labels and their plain form.
-ACCENTED = "ÀÂÄÁÃÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝŸàâäáãåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYYaaaaaaceeeeiiiinooooouuuuyy"
+
+def _accented() -> dict[str, str]:
+    """Latin letters that are one plain letter with marks, and that letter."""
+    out = {}
+    for c in map(chr, (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))):
+        bare = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if bare != c and len(bare) == 1 and bare.isascii() and bare.isalpha():
+            out[c] = bare
+    return out
+
+
+PLAIN_OF = _accented()
+ACCENTED, PLAIN = "".join(PLAIN_OF), "".join(PLAIN_OF.values())
 
 # Punctuation that separates words of a label.
 PUNCTUATION = "-.,;:()[]/'\u2019\u2018"

@@ -121,6 +121,14 @@ def test_column_names(value, want):
     assert schema.normalize_column_name(value) == want
 
 
+def test_column_names_as_data(spark):
+    names = ["montant-brut", "Prénom", "ABC12.Grade", "", None, "  a..b__c/ d ", "é̀té№", "ŽUPA ŐŘ ệ", "..", "T_1.T_2.x", "straße", "N° 5", "abc1.x"]
+    d = spark.createDataFrame([(n,) for n in names], "n string").select("n", schema.normalize_column_name_expr(F.col("n")).alias("got"))
+    for n, got in d.collect():
+        assert got == schema.normalize_column_name(n), n
+    assert schema.normalize_column_name("ŽUPA ŐŘ ệ") == "ZUPA_OR_E"
+
+
 def test_column_mapping_first_hit_wins():
     got = schema.map_columns(["MATRICULE||CODE_ORGANISME", "Matricule", "GRADE", "GRADE 2", "Salaire net", "Ministère", "124", "Date prise service"])
     assert list(got.values()) == ["cle_unique", "matricule", "statut_fonctionnaire", "grade_2", "montant_net", "organisme", "124", "prise_service"]
