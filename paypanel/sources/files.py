@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from paypanel.functions.dates import period_int, period_parts
 from paypanel.functions.text import norm_label
-from paypanel.operators.schema import dedupe_names, normalize_column_name, stack_by_name, standardize
+from paypanel.operators.schema import normalize_column_name_expr, stack_by_name, standardize
 from paypanel.operators.sets import sample_rows
 
 #: Rows of a report that one task may write into one file.
@@ -108,38 +108,35 @@ def score_header(
     )
 
 
-def header_signatures(raw: DataFrame, headers: DataFrame) -> DataFrame:
-    """(noms, fichiers): distinct header rows and how many files carry each."""
-    named = raw.join(headers, "fichier").where(F.col("ligne") == F.col("entete"))
-    return named.groupBy(F.col("cellules").alias("noms")).agg(F.count("*").alias("fichiers"))
+def header_names(raw: DataFrame, headers: DataFrame) -> DataFrame:
+    """(fichier, entete, noms): the unique normalised names of each file's header row, by position."""
+    named = raw.join(headers.select("fichier", "entete"), "fichier").where(F.col("ligne") == F.col("entete"))
+    named = named.select("fichier", "entete", F.transform("cellules", normalize_column_name_expr).alias("_n"))
+
+    def unique(name: Column, i: Column) -> Column:
+        nth = F.size(F.filter(F.slice("_n", 1, i + 1), lambda other: other == name))
+        return F.when(nth > 1, F.concat(name, F.lit("_"), nth.cast("string"))).otherwise(name)
+
+    return named.select("fichier", "entete", F.transform("_n", unique).alias("noms"))
 
 
 def apply_header(raw: DataFrame, headers: DataFrame) -> DataFrame:
-    """Data rows under their normalised header names, empty rows dropped, one scan for all layouts.
+    """Data rows under their normalised header names, empty rows dropped, one pass for all layouts.
 
-    Only the distinct header layouts reach the driver (they name the columns of the result), however many
-    there are. Each row then becomes a name -> cell map, from which the united columns are projected.
+    Headers stay a table and are joined to their files, however many layouts there are; the driver learns the names
+    of the result's columns and nothing else. Columns stand in the order of their first position in any file. A row takes
+    the cell at the place of the name in its own header.
     """
-    layouts = [r["noms"] for r in header_signatures(raw, headers).collect()]
-    named = {tuple(cells): dedupe_names([normalize_column_name(c) for c in cells]) for cells in layouts}
-    union = list(dict.fromkeys(n for names in named.values() for n in names))
-    table = raw.sparkSession.createDataFrame(
-        [(list(k), v) for k, v in named.items()], "_cells array<string>, _names array<string>"
-    )
-    heads = (
-        raw.join(headers.select("fichier", "entete"), "fichier")
-        .where(F.col("ligne") == F.col("entete"))
-        .join(table, F.col("cellules") == F.col("_cells"))
-        .select("fichier", "entete", "_names")
-    )
-    positions = F.sequence(F.lit(0), F.size("_names") - 1)
-    cells = F.map_from_arrays("_names", F.transform(positions, lambda i: F.get("cellules", i)))
+    heads = header_names(raw, headers)
+    names = heads.select(F.posexplode("noms").alias("at", "nom")).groupBy("nom").agg(F.min("at").alias("at"))
+    columns = [r["nom"] for r in names.orderBy("at", "nom").collect()]
+    cells = F.map_from_arrays("noms", F.transform("noms", lambda _, i: F.get("cellules", i)))
     return (
         raw.join(heads, "fichier")
         .where(F.col("ligne") > F.col("entete"))
         .where(F.exists("cellules", lambda c: F.coalesce(F.trim(c) != "", F.lit(False))))
         .select("fichier", "ligne", cells.alias("_m"))
-        .select("fichier", "ligne", *[F.element_at("_m", F.lit(n)).alias(n) for n in union])
+        .select("fichier", "ligne", *[F.element_at("_m", F.lit(n)).alias(n) for n in columns])
     )
 
 

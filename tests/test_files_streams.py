@@ -56,6 +56,23 @@ def test_apply_header_unites_layouts(spark):
     assert sorted((r["MATRICULE"], r["NOM"], r["SEXE"], r["SEXE_2"]) for r in out.collect()) == [("1", "n1", None, None), ("2", None, "F", "G")]
 
 
+def test_many_layouts(spark):
+    """10 000 files with four orders of the same names, one of them in two spellings."""
+    f = F.col("id")
+    names = F.array(F.lit("Matricule"), F.lit("montant-brut"), F.lit("Net"), F.lit("net"))
+    file = spark.range(10_000).select(F.concat(F.lit("f"), f).alias("fichier"), "id")
+    turned = F.concat(F.slice(names, (f % 4 + 1).cast("int"), F.lit(4)), F.slice(names, F.lit(1), (f % 4).cast("int")))
+    head = file.select("fichier", F.lit(0).alias("ligne"), turned.alias("cellules"))
+    values = F.transform(turned, lambda n: F.concat(n, F.lit("="), f))
+    body = file.select("fichier", F.lit(1).alias("ligne"), values.alias("cellules"))
+    raw = head.unionByName(body)
+    out = files.apply_header(raw, files.locate_header(raw))
+    assert sorted(out.columns) == ["MATRICULE", "MONTANT_BRUT", "NET", "NET_2", "fichier", "ligne"]
+    assert out.count() == 10_000
+    odd = out.where(~F.col("MATRICULE").startswith("Matricule=") | ~F.col("MONTANT_BRUT").startswith("montant-brut=") | F.col("NET").isNull())
+    assert odd.count() == 0
+
+
 def test_dynamic_overwrite_keeps_other_years(spark, folder):
     d = spark.createDataFrame([(2020, 1), (2021, 2), (2021, 3)], "annee int, v int")
     files.write_partitioned(d, folder + "/t")
