@@ -258,8 +258,13 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows whose language can be told; those without any letters (``und``) go. Columns stay as they are."""
+    """The rows whose language can be told; those without any letters (``und``) go. Columns stay as they are.
+
+    Without a labelled row there is nothing to learn, so all rows with letters stay.
+    """
     model = learn(docs.where(~held_out(F.col("doc_id"))))
+    if not model.langs:
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     found = predict(docs, model, {"row": packed})
     return found.where(F.col("lang_pred") != "und").select("row.*")

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from paypanel.llm import spelling, whitening, word_bpe
+from paypanel.llm import language, spelling, whitening, word_bpe
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 CLASH = {"index": "i", "place": "p", "word": "w", "block": "b", "n": "n", "key": "k"}
@@ -215,3 +215,12 @@ def test_decoding_joins_pieces(spark):
     rows.append((9, [15339, 99_999]))  # the vocabulary does not have the second
     got = {r.key: bytes(r.decoded).decode() for r in word_bpe.decode(spark.createDataFrame(rows, "key long, ids array<int>"), vocabulary, "key").collect()}
     assert got == {k: library.decode(ids, skip_special_tokens=False) for k, ids in rows}
+
+
+# --- the language stage
+
+
+def test_without_labels_only_letterless_rows_go(spark):
+    rows = [(1, "plain English words", None), (2, "123 !!", None), (3, None, None), (4, "日本", None), (5, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in language.keep_identified(docs).collect()) == [1, 4]
