@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from paypanel.llm.expressions import let, regex_spans
 
 BEFORE, AFTER = 40, 20
+CUT = "x"
 OCTET = "^0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})$"
 # Length of an IBAN by country, blanks left out.
 IBAN_LENGTHS = {
@@ -111,6 +112,11 @@ class Kind:
     context: str
     base: bool = True
 
+    @property
+    def near(self) -> str:
+        """The context words as whole words."""
+        return rf"(^|[^\p{{L}}])({self.context})([^\p{{L}}]|$)"
+
 
 KINDS = [
     # [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
@@ -120,7 +126,7 @@ KINDS = [
         "@",
         None,
         0.7,
-        "mail|contact|write|reach|address|adresse|correo|kontakt",
+        "mail|email|mails|emails|contact|write|reach|address|adresse|correo|kontakt",
     ),
     # [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)
     Kind(
@@ -129,12 +135,12 @@ KINDS = [
         r"[0-9]\.[0-9]",
         octets,
         0.6,
-        "ip|host|server|login|client|addr",
+        "ip|host|hostname|server|login|client|addr|address",
     ),
     # [0-9]([\x20-]?[0-9])+
-    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", "[0-9]", luhn, 0.7, "card|visa|master|credit|karte|carte|tarjeta|pay"),
+    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", "[0-9]", luhn, 0.7, "card|visa|master|mastercard|credit|karte|kreditkarte|carte|tarjeta|pay|payment|paid"),
     # \+[0-9][\x20().0-9-]+[0-9]
-    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", phone_length, 0.6, "tel|phone|call|mobile|fax|anruf|appel"),
+    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", phone_length, 0.6, "tel|telephone|telefon|telefono|phone|call|mobile|fax|anruf|appel"),
     Kind(
         "iban",
         IBAN,
@@ -159,7 +165,7 @@ KINDS = [
         "[0-9][ /-][0-9]",
         phone_length,
         0.3,
-        "tel|phone|call|mobile|fax|anruf|appel",
+        "tel|telephone|telefon|telefono|phone|call|mobile|fax|anruf|appel",
         base=False,
     ),
 ]
@@ -169,9 +175,10 @@ def kind_spans(text: Column, kind: Kind, threshold: float) -> Column:
     """The confirmed spans of one kind, each with its score."""
 
     def scored(s: Column) -> Column:
-        near = F.lower(F.right(s.before, F.lit(BEFORE))).rlike(kind.context) | F.lower(F.left(s.after, F.lit(AFTER))).rlike(
-            kind.context
-        )
+        # a window that begins or ends within a text is closed by a letter, so that no part of a word passes for one
+        before = F.concat(F.when(F.length(s.before) > BEFORE, CUT).otherwise(""), F.right(s.before, F.lit(BEFORE)))
+        after = F.concat(F.left(s.after, F.lit(AFTER)), F.when(F.length(s.after) > AFTER, CUT).otherwise(""))
+        near = F.lower(before).rlike(kind.near) | F.lower(after).rlike(kind.near)
         return F.struct(
             F.lit(kind.name).alias("kind"),
             s.start.alias("start"),
@@ -252,7 +259,9 @@ def _oracle() -> str:
     parts = []
     for rank, k in enumerate(KINDS):
         pattern = plain.get(k.name, k.pattern).replace("'", "''")
-        near = f"(regexp_matches(lower(right(before, {BEFORE})), '{k.context}') OR regexp_matches(lower(left(after, {AFTER})), '{k.context}'))"
+        left = f"CASE WHEN length(before) > {BEFORE} THEN '{CUT}' ELSE '' END || right(before, {BEFORE})"
+        right = f"left(after, {AFTER}) || CASE WHEN length(after) > {AFTER} THEN '{CUT}' ELSE '' END"
+        near = f"(regexp_matches(lower({left}), '{k.near}') OR regexp_matches(lower({right}), '{k.near}'))"
         score = f"CASE WHEN {near} THEN {round(min(1.0, k.weight + 0.3), 2)} ELSE {k.weight} END"
         keep = valid[k.name] + ("" if k.base else f" AND {score} >= 0.6")
         parts.append(f"""

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from paypanel.llm import language, spelling, whitening, word_bpe
+from paypanel.llm import language, pii, spelling, whitening, word_bpe
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 CLASH = {"index": "i", "place": "p", "word": "w", "block": "b", "n": "n", "key": "k"}
@@ -224,3 +224,30 @@ def test_without_labels_only_letterless_rows_go(spark):
     rows = [(1, "plain English words", None), (2, "123 !!", None), (3, None, None), (4, "日本", None), (5, "", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert sorted(r.doc_id for r in language.keep_identified(docs).collect()) == [1, 4]
+
+
+# --- context words of personal data
+
+
+@pytest.mark.parametrize(
+    "text, spans",
+    [
+        ("the hotel 0123 4567 890 room", 0),
+        ("the hôtel 0123 4567 890 room", 0),
+        ("syntax 123-45-6789 error", 0),
+        ("a" * 100 + "tel 0123 4567 890", 0),
+        ("tel: 0123 4567 890", 1),
+        ("Fax 0123 4567 890", 1),
+        ("0123 4567 890 is the phone", 1),
+        ("her SSN: 123-45-6789", 1),
+    ],
+)
+def test_context_words_are_whole_words(spark, text, spans):
+    row = pii.report(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.n_added == spans
+
+
+def test_context_does_not_raise_scores_by_parts_of_words(spark):
+    rows = [(1, "ship 10.0.0.1"), (2, "ip 10.0.0.1")]
+    got = {r.doc_id: r.top_score for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] < got[2]
