@@ -1,7 +1,8 @@
 """N-gram Jaccard join by parity sketches, exact at its threshold.
 
 A document's set of shingle hashes is folded into a bit sketch: each hash flips one bit, so the Hamming
-distance of two sketches is at most the size of the sets' symmetric difference. Similarity t allows a
+distance of two sketches is at most the size of the sets' symmetric difference. A short block says little, so each
+also has a code, the XOR of 32-bit numbers of its hashes, and agrees where bits and code do. Similarity t allows a
 difference of (1 - t) / (1 + t) times the sum of the sizes. Sizes are cut into bands; for a level (one band,
 or two neighbouring ones) the allowed difference d is known and the sketch has d + 1 blocks of 64 bits: two
 linked documents agree in a block (pigeonhole). By the ring form of the principle some agreeing block is
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 
 from paypanel.llm.shingles import mix, shingle_set
 from paypanel.llm.tables import BROADCAST_BYTES, hinted
-from paypanel.plans.stages import written
+from paypanel.plans.stages import discard, written
 
 BAND_GROWTH = 1.5
 BEFORE = 3  # rows before it that a row meets in its key
@@ -95,12 +96,22 @@ def levels(size: int, rule: Rule) -> list[tuple[int, int]]:
 def sketch(hashes: np.ndarray, blocks: int) -> np.ndarray:
     """Parity sketch: one 64-bit word per block."""
     words = np.zeros(blocks, np.uint64)
-    block = ((hashes >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
-    np.bitwise_xor.at(words, block.astype(np.int64), np.uint64(1) << (hashes & np.uint64(63)))
+    np.bitwise_xor.at(words, _block(hashes, blocks), np.uint64(1) << (hashes & np.uint64(63)))
     return words
 
 
-SKETCHES = "n int, hi long, lo long, place long, level int, words array<long>"
+def codes(hashes: np.ndarray, blocks: int) -> np.ndarray:
+    """Per block, the XOR of a 32-bit number of each of its hashes: equal where the block's hashes are equal."""
+    out = np.zeros(blocks, np.uint32)
+    np.bitwise_xor.at(out, _block(hashes, blocks), (mix(hashes) >> np.uint64(32)).astype(np.uint32))
+    return out
+
+
+def _block(hashes: np.ndarray, blocks: int) -> np.ndarray:
+    return (((hashes >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)).astype(np.int64)
+
+
+SKETCHES = "n int, hi long, lo long, place long, level int, words array<long>, codes array<int>"
 
 
 def sketch_task(rule: Rule):
@@ -110,7 +121,7 @@ def sketch_task(rule: Rule):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                source, sizes, high, low, place, level, words = [], [], [], [], [], [], []
+                source, sizes, high, low, place, level, words, coded = [], [], [], [], [], [], [], []
                 for i, text in enumerate(part.column(part.num_columns - 1).to_pylist()):
                     hashes = shingle_set(text or "", rule.width)
                     hi = np.bitwise_xor.reduce(mix(hashes + np.uint64(1))) if hashes.size else np.uint64(0)
@@ -123,8 +134,10 @@ def sketch_task(rule: Rule):
                         place.append(j)
                         level.append(lev)
                         words.append(sketch(hashes, blocks))
+                        coded.append(codes(hashes, blocks))
                 ends = np.cumsum([0, *[w.size for w in words]]).astype(np.int32)
                 flat = np.concatenate(words).view(np.int64) if words else np.zeros(0, np.int64)
+                flat_codes = np.concatenate(coded).view(np.int32) if coded else np.zeros(0, np.int32)
                 keys = [part.column(k).take(pa.array(source, pa.int64())) for k in range(part.num_columns - 1)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -135,8 +148,9 @@ def sketch_task(rule: Rule):
                         pa.array(place, pa.int64()),
                         pa.array(level, pa.int32()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat_codes)),
                     ],
-                    names=[*batch.schema.names[:-1], "n", "hi", "lo", "place", "level", "words"],
+                    names=[*batch.schema.names[:-1], "n", "hi", "lo", "place", "level", "words", "codes"],
                 )
 
     return run
@@ -202,7 +216,7 @@ def _keyed(sketches: DataFrame, turn: int) -> DataFrame:
     blocks = F.size("words")
     row = F.transform(
         F.sequence(F.lit(turn), blocks - 1, F.lit(PASSES)),
-        lambda j: F.struct(F.xxhash64(F.col("level"), j, F.get("words", j)).alias("key"), F.get("words", (j + 1) % blocks).alias("nxt"), F.get("words", (j + 2) % blocks).alias("nxt2")),
+        lambda j: F.struct(F.xxhash64(F.col("level"), j, F.get("words", j), F.get("codes", j)).alias("key"), F.get("words", (j + 1) % blocks).alias("nxt"), F.get("words", (j + 2) % blocks).alias("nxt2")),
     )
     return sketches.where(blocks > turn).select("node", "n", blocks.alias("blocks"), F.explode(row).alias("r")).select(
         "r.key", F.struct("node", "n", "r.nxt", "r.nxt2").alias("me"), "blocks"
@@ -275,7 +289,7 @@ def join(docs: DataFrame, rule: Rule, keys: dict[str, Column], id_key: str, text
     """The key columns of every row with n_shingles, node (equal sets share it) and component_id.
 
     ``keys`` names the columns to carry; ``id_key`` is the one that names components. Columns used inside:
-    n, hi, lo, place, level, words, uid.
+    n, hi, lo, place, level, words, codes, uid.
     """
     rows = docs.select(*[c.alias(f"k_{k}") for k, c in keys.items()], F.col(text_col).alias("_text"))
     ident = f"k_{id_key}"
@@ -283,7 +297,7 @@ def join(docs: DataFrame, rule: Rule, keys: dict[str, Column], id_key: str, text
     sketched = rows.mapInArrow(sketch_task(rule), f"{fields}, {SKETCHES}")
     # the rows of a document follow one another, so all of them get the number of its first
     base = written(sketched.withColumn("uid", F.monotonically_increasing_id() - F.col("place")), "sketches")
-    members = base.where("place = 0").drop("place", "level", "words")
+    members = written(base.where("place = 0").drop("place", "level", "words", "codes"), "members")
 
     nodes = written(
         members.where("n > 0")
@@ -294,17 +308,19 @@ def join(docs: DataFrame, rule: Rule, keys: dict[str, Column], id_key: str, text
     # of equal sets one sketch stays; most sets occur once and need no grouping
     copied = hinted(nodes.where("rows > 1").select(F.col("hi").alias("_hi"), F.col("lo").alias("_lo")), 24)
     same = (F.col("hi") == F.col("_hi")) & (F.col("lo") == F.col("_lo"))
-    sketches = base.where("n > 0").select("hi", "lo", "level", "words", "n", F.col("uid").alias("node"))
+    sketches = base.where("n > 0").select("hi", "lo", "level", "words", "codes", "n", F.col("uid").alias("node"))
     once = (
         sketches.join(copied, same, "left_semi")
         .groupBy("hi", "lo", "level")
-        .agg(F.min_by("words", "node").alias("words"), F.min("n").alias("n"), F.min("node").alias("node"))
+        .agg(F.min_by(F.struct("words", "codes"), "node").alias("one"), F.min("n").alias("n"), F.min("node").alias("node"))
+        .select("hi", "lo", "level", "one.words", "one.codes", "n", "node")
     )
     sketches = sketches.join(copied, same, "left_anti").unionByName(once)
 
     # a key names its block, so blocks of different passes never meet
     passes = [written(_meet(_keyed(sketches, p), rule), "near-blocks") for p in range(PASSES)]
     found = reduce(DataFrame.unionByName, passes)
+    discard(base)
     # by the ring form the next block differs in one bit at most, so one of its halves agrees
     me = F.col("me")
     halves = written(_meet(_cut(found, [F.array(F.lit(h), _bits(me.nxt, 32 * h, 32)) for h in (0, 1)]), rule), "near-halves")
@@ -312,7 +328,7 @@ def join(docs: DataFrame, rule: Rule, keys: dict[str, Column], id_key: str, text
     finest = [F.array(F.lit(h), _bits(me.nxt2, 32 * h, 32)) for h in (0, 1)]
     finest += [F.array(F.lit(2 + t), me.nxt, _bits(me.nxt2, at, wide)) for t, (at, wide) in enumerate(((0, 21), (21, 21), (42, 22)))]
     thirds = written(_meet(_cut(halves, finest), rule), "near-thirds")
-    return _link(docs, rule, keys, id_key, text_col, members, nodes, found.unionByName(halves), thirds)
+    return _link(docs, rule, keys, id_key, text_col, members, nodes, [*passes, halves], thirds)
 
 
 def _sets(docs: DataFrame, rule: Rule, own_id: Column, text_col: str, needed: DataFrame) -> DataFrame:
@@ -368,13 +384,15 @@ def _link(docs, rule, keys, id_key, text_col, members, nodes, found, finer) -> D
     """Verify first pairs and pivots, join what links, look across components, and name the components."""
     ident = f"k_{id_key}"
     pairs = written(
-        found.unionByName(finer)
+        reduce(DataFrame.unionByName, [*found, finer])
         .select(F.col("me.node").alias("a"), F.explode("near").alias("o"))
         .groupBy("a", F.col("o.node").alias("b"))
         .agg(F.max("o.is_first").alias("is_first")),
         "pairs",
     )
     under = written(_pivots(finer.where(F.col("members") > SMALL_KEY).select("key", F.col("me.node").alias("node"))), "pivots")
+    for met in (*found, finer):
+        discard(met)
     near = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(
         under.select(F.explode(F.array("node", "pivot")).alias("node"))
     )
