@@ -12,7 +12,7 @@ Words are cut by code-point classes on arrays; the result equals matching
 Memory: texts are taken in runs of ``RUN`` characters (a longer text is a run of its own), the encoded words
 of a task are kept up to ``KEPT`` words, and words go to DuckDB in blocks of ``BLOCK`` bytes, so nothing grows with
 the partition. The recursion keeps one state per word (not one per round). A single word of n bytes takes n rounds
-over n positions at worst.
+over n positions at worst. A worker process keeps its merge table and words for the tasks that follow.
 
 Defined results: a null text counts as empty and has no tokens; repeated rows give repeated rows; an empty
 table gives an empty result. The vocabulary file is a parameter; it is read on the driver and shipped to the
@@ -102,6 +102,23 @@ def word_starts(points: np.ndarray, texts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts)
 
 
+# Each round contracts the leftmost pair of minimum rank of every word.
+FIRST_PLACE = """
+WITH RECURSIVE state(w, l) USING KEY (w) AS (
+  SELECT w, l FROM word
+  UNION
+  SELECT s.w, s.l[:best.i - 1] || [best.r::INTEGER] || s.l[best.i + 2:]
+  FROM (
+    SELECT w, min((m.r << 32) | i) AS c, c >> 32 AS r, c & 4294967295 AS i
+    FROM (SELECT w, unnest(l[:len(l) - 1]) AS a, unnest(l[2:]) AS b, unnest(range(1, len(l))) AS i FROM state WHERE len(l) > 1) AS position
+    JOIN merges m ON m.pair = ((position.a::BIGINT << 32) | position.b)
+    GROUP BY w
+  ) best JOIN state s ON s.w = best.w
+)
+SELECT w, l FROM state ORDER BY w
+"""
+
+
 class Coder:
     """One task's DuckDB with the merge table and the vocabulary, and the words encoded so far."""
 
@@ -123,6 +140,7 @@ class Coder:
         self.ranks = ranks
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.known: dict[bytes, bytes] = {}
+        self.decoded: dict[bytes, bytes] = {}
 
     def _load(self, name: str, rows: pa.Table, sql: str) -> None:
         self.con.register("given", rows)
@@ -136,22 +154,7 @@ class Coder:
         offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
         tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(self.of_byte[raw]))
         self._load("word", pa.table({"w": pa.array(np.arange(len(words), dtype=np.int32)), "l": tokens}), "SELECT * FROM given")
-        done = self.con.sql(
-            """
-            WITH RECURSIVE state(w, l) USING KEY (w) AS (
-              SELECT w, l FROM word
-              UNION
-              SELECT s.w, s.l[:best.i - 1] || [best.r::INTEGER] || s.l[best.i + 2:]
-              FROM (
-                SELECT w, min((m.r << 32) | i) AS c, c >> 32 AS r, c & 4294967295 AS i
-                FROM (SELECT w, unnest(l[:len(l) - 1]) AS a, unnest(l[2:]) AS b, unnest(range(1, len(l))) AS i FROM state WHERE len(l) > 1) AS position
-                JOIN merges m ON m.pair = ((position.a::BIGINT << 32) | position.b)
-                GROUP BY w
-              ) best JOIN state s ON s.w = best.w
-            )
-            SELECT w, l FROM state ORDER BY w
-            """
-        ).to_arrow_table()
+        done = self.con.sql(FIRST_PLACE).to_arrow_table()
         ids = done.column("l").combine_chunks()
         flat, ends = ids.flatten().to_numpy(), ids.offsets.to_numpy()
         ends = ends - ends[0]
@@ -186,6 +189,13 @@ class Coder:
                     self.known[word] = ids.astype(np.int32).tobytes()
                 block, size = [], 0
 
+    def learn_sequences(self, sequences: set[bytes]) -> None:
+        """Decode and keep the id sequences not known yet."""
+        new = [s for s in sequences if s not in self.decoded]
+        for at in range(0, len(new), BLOCK // 8):
+            part = new[at : at + BLOCK // 8]
+            self.decoded.update(zip(part, self.decode_words([np.frombuffer(s, np.int32) for s in part])))
+
 
 def split_words(texts: list[str]) -> list[list[bytes]]:
     """The pattern's matches of every text, as bytes."""
@@ -216,50 +226,47 @@ def runs(texts: list[str]) -> Iterator[list[str]]:
         yield run
 
 
-def encode_texts(coder: Coder, texts: list[str]) -> Iterator[tuple[bytes, list[bytes]]]:
-    """Per text: its ids as little-endian 32-bit integers, and its words."""
-    for run in runs(texts):
-        words = split_words(run)
-        distinct = list({w for ws in words for w in ws})
-        if len(coder.known) + len(distinct) > KEPT:
-            coder.known.clear()
-        coder.learn(distinct)
-        for ws in words:
-            yield b"".join([coder.known[w] for w in ws]), ws
+_CODERS: dict[str, Coder] = {}
 
 
-class Decoder:
-    """Decodes documents by the id sequences of their words."""
+def coder_of(ranks: dict[bytes, int], digest: str) -> Coder:
+    """The worker process's coder for these ranks; tasks of other ranks take its place."""
+    if digest not in _CODERS:
+        _CODERS.clear()
+        _CODERS[digest] = Coder(ranks)
+    return _CODERS[digest]
 
-    def __init__(self, coder: Coder):
-        self.coder = coder
-        self.known: dict[bytes, bytes] = {}
 
-    def learn(self, sequences: set[bytes]) -> None:
-        new = [s for s in sequences if s not in self.known]
-        for at in range(0, len(new), BLOCK // 8):
-            part = new[at : at + BLOCK // 8]
-            self.known.update(zip(part, self.coder.decode_words([np.frombuffer(s, np.int32) for s in part])))
+def encode_run(coder: Coder, texts: list[str]) -> list[tuple[bytes, bytes]]:
+    """Per text of a run: its ids as little-endian 32-bit integers, and the bytes they decode to."""
+    words = split_words(texts)
+    distinct = set().union(*words)
+    if len(coder.known) + len(distinct) > KEPT:
+        coder.known.clear()
+        coder.decoded.clear()
+    coder.learn(list(distinct))
+    coder.learn_sequences(set(map(coder.known.__getitem__, distinct)))
+    out = []
+    for own in words:
+        ids = list(map(coder.known.__getitem__, own))
+        out.append((b"".join(ids), b"".join(map(coder.decoded.__getitem__, ids))))
+    return out
 
 
 def coding_task(ranks: dict[bytes, int], with_values: bool):
     """Rows (keys..., text) to keys, n_tokens, digests of ids and decoded bytes, and the values when asked for."""
 
+    digest = hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(ranks)
-        decoder = Decoder(coder)
+        coder = coder_of(ranks, digest)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = [t or "" for t in part.column(part.num_columns - 1).to_pylist()]
                 n, ids_hash, text_hash, ids_out, text_out = [], [], [], [], []
                 for chunk in runs(texts):
-                    encoded = list(encode_texts(coder, chunk))
-                    if len(decoder.known) > KEPT:
-                        decoder.known.clear()
-                    decoder.learn({coder.known[w] for _, words in encoded for w in set(words)})
-                    for ids, words in encoded:
-                        decoded = b"".join([decoder.known[coder.known[w]] for w in words])
+                    for ids, decoded in encode_run(coder, chunk):
                         n.append(len(ids) // 4)
                         ids_hash.append(hashlib.sha256(ids).hexdigest())
                         text_hash.append(hashlib.sha256(decoded).hexdigest())
