@@ -15,10 +15,13 @@ has ``RUN`` tokens; or, whatever its slots, when windows equal word for word cov
 Cover is at least ``LEAST`` tokens, which one window cannot reach. Words between two changes that are fewer than
 ``WINDOW`` apart are in no window and do not count.
 
-All of it is native. Windows are joined by broadcast only when their counted size allows it.
+Two passes: the first joins hashes of windows alone and finds the documents that hold any, the second cuts only these
+into windows with their places and words. All of it is native. Windows are joined by broadcast only when their counted
+size allows it.
 
-Defined results: null or empty texts and items have no windows and match nothing; items of fewer than
-``LEAST`` tokens are too short to be proof and never match. A repeated document row gives its
+Defined results: null or empty texts and items have no windows and match nothing. An item of fewer than ``LEAST``
+tokens matches only whole and word for word; one of fewer than ``WINDOW`` is too short to be proof and never matches. Very
+long texts are cut like others, a row a window. A repeated document row gives its
 pair once per row's id; items of equal text each match. Empty tables give empty results. Only id and text of
 both tables are read.
 """
@@ -71,6 +74,26 @@ def raw_words(text: Column) -> Column:
     return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, " +"))
 
 
+def template_text(clean: Column) -> Column:
+    """The template of a text of raw words, by the rules of ``template`` but over the whole text at once."""
+    number = F.regexp_replace(clean, rf"(?<![^ ]){NUMBER[1:-1]}(?![^ ])", "<number>")
+    name = F.regexp_replace(number, r"(?<![^ ])\p{Lu}[^ ]*", "<name>")
+    return F.lower(F.regexp_replace(name, rf"(?<![^ ])(?:{'|'.join(UNITS)})(?![^ ])", "<unit>"))
+
+
+def with_any_window(docs: DataFrame, keys: list[str], text_col: str, found: DataFrame) -> DataFrame:
+    """The distinct keys of the rows that hold one of the hashes of ``found`` in either form; hashes only, no words."""
+    clean = F.array_join(raw_words(F.col(text_col)), " ")
+    rows = docs.select(*keys, clean.alias("clean")).where(F.col("clean") != "")
+    forms = [F.transform(F.split(form, " "), lambda w: F.xxhash64(w)) for form in (template_text(F.col("clean")), F.lower("clean"))]
+    # the forms stand one behind the other; a window over their border meets nothing that the second pass confirms
+    each = rows.select(*keys, F.concat(*forms).alias("h")).where(F.size("h") >= WINDOW)
+    shifted = F.arrays_zip(*[F.slice("h", k + 1, F.size("h") - WINDOW + 1).alias(str(k)) for k in range(WINDOW)])
+    cut = each.select(*keys, F.explode(shifted).alias("w"))
+    hashed = cut.select(*keys, F.xxhash64(*[F.col("w").getField(str(k)) for k in range(WINDOW)]).alias("hash"))
+    return hashed.join(hinted(found.select("hash").distinct(), 16), "hash", "left_semi").select(*keys).distinct()
+
+
 def cut_windows(rows: DataFrame, at: str) -> DataFrame:
     """Every run of WINDOW raw words of every row: the other columns, its first token, raw words, hash (a row each form)."""
     names = [c for c in rows.columns if c != "raw"]
@@ -90,7 +113,7 @@ def cut_windows(rows: DataFrame, at: str) -> DataFrame:
 
 def windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The windows of every item: item, tokens (of the whole item), item_at, item_raw, hash."""
-    rows = items.select(F.col(id_col).alias("item"), raw_words(F.col(text_col)).alias("raw")).where(F.size("raw") >= LEAST)
+    rows = items.select(F.col(id_col).alias("item"), raw_words(F.col(text_col)).alias("raw")).where(F.size("raw") >= WINDOW)
     cut = cut_windows(rows.withColumn("tokens", F.size("raw")), "item_at")
     return cut.withColumnRenamed("raw", "item_raw")
 
@@ -99,8 +122,14 @@ def runs(docs: DataFrame, items: DataFrame, keys: list[Column], text_col: str, i
     """One row per document, item and run of matched windows at one offset: tokens of the item, offset, length, item_at
     (its windows' places), slots (place, both fillers), exact (places of windows equal word for word)."""
     found = written(windows(items, item_id, item_text), "windows")
-    rows = cut_windows(docs.select(*keys, raw_words(F.col(text_col)).alias("raw")), "at")
-    names = [c for c in rows.columns if c not in ("at", "hash", "raw")]
+    texts = docs.select(*keys, F.col(text_col).alias("_text"))
+    names = texts.columns[:-1]
+    holding = written(with_any_window(texts, names, "_text", found), "holding")
+    same_row = F.lit(True)
+    for c in names:
+        same_row = same_row & F.col(f"t.`{c}`").eqNullSafe(F.col(f"h.`{c}`"))
+    texts = texts.alias("t").join(hinted(holding, 200).alias("h"), same_row, "left_semi")
+    rows = cut_windows(texts.select(*names, raw_words(F.col("_text")).alias("raw")), "at")
     hits = rows.join(hinted(found, 200), "hash")
 
     def slots_of(item_raw: Column, raw: Column) -> Column:
@@ -192,7 +221,8 @@ def contaminated(found: DataFrame) -> DataFrame:
         F.collect_set("pair").alias("pairs"),
     )
     by_form = (F.col("good") >= F.greatest(F.ceil(F.col("tokens") * COVER), F.lit(LEAST))) | (F.col("run") >= RUN)
-    by_words = (F.col("exact") >= F.greatest(F.ceil(F.col("tokens") * EXACT_COVER), F.lit(LEAST))) | (F.col("exact_run") >= RUN)
+    whole = (F.col("tokens") < LEAST) & (F.col("exact_run") >= F.col("tokens"))
+    by_words = whole | (F.col("exact") >= F.greatest(F.ceil(F.col("tokens") * EXACT_COVER), F.lit(LEAST))) | (F.col("exact_run") >= RUN)
     return total.where(by_form | by_words).select(
         *names,
         "item",

@@ -8,10 +8,11 @@ from itertools import combinations
 import numpy as np
 import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from paypanel.llm import language, pii, spelling, whitening, word_bpe
+from paypanel.llm import bpe, decontamination, jaccard_join, language, pii, spelling, whitening, word_bpe
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 CLASH = {"index": "i", "place": "p", "word": "w", "block": "b", "n": "n", "key": "k"}
@@ -251,3 +252,40 @@ def test_context_does_not_raise_scores_by_parts_of_words(spark):
     rows = [(1, "ship 10.0.0.1"), (2, "ip 10.0.0.1")]
     got = {r.doc_id: r.top_score for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1] < got[2]
+
+
+def test_long_unbroken_words_equal_the_library(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3_000)), "a" * 1_001, "ab" * 900 + "=" * 777, "".join(rng.choice("aAéß") for _ in range(3_000))]
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(ranks), special_tokens={})
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in bpe.encode(rows, ranks, {"doc_id": F.col("doc_id")}).collect()}
+    for i, text in enumerate(texts):
+        assert got[i].ids == library.encode_ordinary(text) and got[i].decoded == text
+
+
+def test_both_forms_of_a_template_are_the_same(spark):
+    texts = ["Alice paid $3.50 for 12 kg on 3rd May", "KM km 5km 5 km 1,000 7% x7 É été", "  (Bob), 'tis 4/5 Mile mile--", "", "…"]
+    words = decontamination.raw_words(F.col("text"))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select(
+        F.array_join(decontamination.template(words), " ").alias("each"), decontamination.template_text(F.array_join(words, " ")).alias("whole")
+    )
+    assert all(r.each == r.whole for r in rows.collect())
+
+
+def test_short_items_match_whole_and_word_for_word(spark):
+    item = "what is the capital city of sunny northern Portugal today"
+    texts = ["zq " * 9 + item + " zr" * 9, "zq " * 9 + item.replace("Portugal", "Spain") + " zr" * 9, item.rsplit(" ", 1)[0] + " zr" * 9]
+    items = spark.createDataFrame([(1, item), (2, "five words are no proof")], "item_id long, text string")
+    got = decontamination.report(spark.createDataFrame(list(enumerate([*texts, "five words are no proof " * 3])), "doc_id long, text string"), items)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(0, 1)}
+
+
+def test_block_codes_tell_sets_apart():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        x = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+        y = np.append(x[3:], rng.integers(0, 1 << 63, 2, dtype=np.uint64))
+        differ = jaccard_join.codes(x, 9) != jaccard_join.codes(y, 9)
+        assert 1 <= differ.sum() <= 5
