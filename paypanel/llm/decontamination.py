@@ -84,11 +84,13 @@ def template_text(clean: Column) -> Column:
 def with_any_window(docs: DataFrame, keys: list[str], text_col: str, found: DataFrame) -> DataFrame:
     """The distinct keys of the rows that hold one of the hashes of ``found`` in either form; hashes only, no words."""
     clean = F.array_join(raw_words(F.col(text_col)), " ")
-    rows = docs.select(*keys, clean.alias("clean")).where(F.col("clean") != "")
+    # no filters here: pushed down, they would compute the texts once more
+    rows = docs.select(*keys, clean.alias("clean"))
     forms = [F.transform(F.split(form, " "), lambda w: F.xxhash64(w)) for form in (template_text(F.col("clean")), F.lower("clean"))]
     # the forms stand one behind the other; a window over their border meets nothing that the second pass confirms
-    each = rows.select(*keys, F.concat(*forms).alias("h")).where(F.size("h") >= WINDOW)
-    shifted = F.arrays_zip(*[F.slice("h", k + 1, F.size("h") - WINDOW + 1).alias(str(k)) for k in range(WINDOW)])
+    each = rows.select(*keys, F.concat(*forms).alias("h"))
+    whole = F.greatest(F.size("h") - WINDOW + 1, F.lit(0))
+    shifted = F.arrays_zip(*[F.slice("h", k + 1, whole).alias(str(k)) for k in range(WINDOW)])
     cut = each.select(*keys, F.explode(shifted).alias("w"))
     hashed = cut.select(*keys, F.xxhash64(*[F.col("w").getField(str(k)) for k in range(WINDOW)]).alias("hash"))
     return hashed.join(hinted(found.select("hash").distinct(), 16), "hash", "left_semi").select(*keys).distinct()
@@ -128,7 +130,8 @@ def runs(docs: DataFrame, items: DataFrame, keys: list[Column], text_col: str, i
     same_row = F.lit(True)
     for c in names:
         same_row = same_row & F.col(f"t.`{c}`").eqNullSafe(F.col(f"h.`{c}`"))
-    texts = texts.alias("t").join(hinted(holding, 200).alias("h"), same_row, "left_semi")
+    # written, so that no filter on the words moves below the join and cuts all documents
+    texts = written(texts.alias("t").join(hinted(holding, 200).alias("h"), same_row, "left_semi"), "holding-texts")
     rows = cut_windows(texts.select(*names, raw_words(F.col("_text")).alias("raw")), "at")
     hits = rows.join(hinted(found, 200), "hash")
 
