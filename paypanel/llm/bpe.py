@@ -200,6 +200,8 @@ class Coder:
 def split_words(texts: list[str]) -> list[list[bytes]]:
     """The pattern's matches of every text, as bytes."""
     joined = "".join(texts)
+    if not joined:
+        return [[] for _ in texts]
     points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
     ends = np.cumsum([len(t) for t in texts])
     offsets = np.concatenate(([0], ends))
