@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from paypanel.functions.grades import is_invalid_grade, is_valid_grade
 from paypanel.operators.quantiles import group_quantiles, median
-from paypanel.operators.skew import HOT_ROWS, fill_along, join_back
+from paypanel.operators.skew import HOT_ROWS, fill_along, join_back, lookup_back
 
 SALARIES = ["montant_brut", "montant_net"]
 
@@ -163,7 +163,7 @@ def median_cells(df: DataFrame, values: list[str], min_obs: dict[str, int] | Non
         .withColumns(level_key())
     )
     found = cells.join(
-        median_lookups(df, values, min_obs), ["_level", "_e", "_o", "GRADE", "periode"], "left"
+        median_lookups(df, values, min_obs).hint("merge"), ["_level", "_e", "_o", "GRADE", "periode"], "left"
     )  # level names sort in cascade order
     picks = []
     for v in values:
@@ -228,14 +228,14 @@ def group_median_fill(df: DataFrame, value: str, keys: list[str], out: str) -> D
     """Missing values take the group median, else the overall median; rounded half to even."""
     by_group = group_quantiles(df, keys, {"_gm": median(value)}).select("_g.*", "_gm")
     overall = group_quantiles(df, [], {"_om": median(value)}).select("_om").scalar()
-    joined = join_back(df, by_group, keys)
+    joined = lookup_back(df, by_group, keys)
     return joined.withColumn(out, F.bround(F.coalesce(F.col(value), F.col("_gm"), overall), 0)).drop("_gm")
 
 
 def group_mode_fill(df: DataFrame, value: str, keys: list[str], out: str) -> DataFrame:
     """Missing values take the most frequent value of the group."""
     mode = modal_value(df, keys, value, "_mode")
-    return join_back(df, mode, keys).withColumn(out, F.coalesce(value, "_mode")).drop("_mode")
+    return lookup_back(df, mode, keys).withColumn(out, F.coalesce(value, "_mode")).drop("_mode")
 
 
 def latest_value(df: DataFrame, key: str, value: str, order: list[str]) -> DataFrame:

@@ -104,7 +104,7 @@ def group_quantiles(
     # rank the values of those buckets only
     in_bucket = Window.partitionBy("_g", "_i", "_b").orderBy("_v")
     located = (
-        counted.join(picked, ["_g", "_i", "_b"])
+        counted.join(picked.hint("merge"), ["_g", "_i", "_b"])  # as many as groups, so never on the driver
         .withColumn("_hi", F.col("_before") + F.sum("_n").over(in_bucket))
         .withColumn("_lo", F.col("_hi") - F.col("_n"))
         .where(F.exists("_ranks", lambda r: (r > F.col("_lo")) & (r <= F.col("_hi"))))

@@ -185,6 +185,22 @@ def with_rank(
 
 
 def join_back(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join group results to the rows; NULL group values match, skewed keys are split by AQE."""
-    s = stats.select(group_key(keys).alias("_g_r"), *[c for c in stats.columns if c not in keys])
-    return df.withColumn("_g_l", group_key(keys)).join(s, F.col("_g_l") == F.col("_g_r"), "left").drop("_g_l", "_g_r")
+    """Left join group results (one row per group) to the rows; NULL group values match, skewed keys are split by AQE.
+
+    Both sides are shuffled: exchanged files of a few MB can be a large table on the driver, so nothing uncounted is
+    broadcast. The groups are hashed by partition, so the rows are not sorted.
+    """
+    named = {k: f"_r_{k}" for k in keys}
+    s = stats.select(*[F.col(k).alias(r) for k, r in named.items()], *[c for c in stats.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(r)) for k, r in named.items()]
+    return df.join(s.hint("shuffle_hash"), same, "left").drop(*named.values())
+
+
+def lookup_back(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
+    """``join_back`` of groups that are usually few: they are written and counted, and a short table is broadcast."""
+    table = written(stats, "lookup")
+    if table.count() > LISTED_KEYS:
+        return join_back(df, table, keys)
+    named = {k: f"_r_{k}" for k in keys}
+    same = [F.col(k).eqNullSafe(F.col(r)) for k, r in named.items()]
+    return df.join(F.broadcast(table.withColumnsRenamed(named)), same, "left").drop(*named.values())
