@@ -266,9 +266,12 @@ def with_sex(spark, sf):
     return per.impute_sex(per.add_collection_date(graded(spark, sf)))
 
 
+PERSON_COLS = ["row_id", "matricule", "periode", "annee", "mois", "mois_annee", "sexe", "date_naissance", "prise_service"]
+
+
 def variables(spark, sf):
-    """The person variables as a written layer."""
-    return layer(spark, f"persons {sf}", lambda: per.person_variables(graded(spark, sf)))
+    """The person variables as a written layer; its cuts hold only the columns that the variables are made of."""
+    return layer(spark, f"persons {sf}", lambda: per.person_variables(graded(spark, sf).select(*PERSON_COLS)))
 
 
 @register("i12_impute_sex", "SELECT row_id, SEXE_CLEAN, SEXE_IMPUTE FROM sexed")

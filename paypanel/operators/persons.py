@@ -60,7 +60,7 @@ def add_age(df: DataFrame, low: int = 18, high: int = 70) -> DataFrame:
 def build_age(df: DataFrame, low: int = 18, high: int = 70, method: str = "last") -> DataFrame:
     """AGE, AGE_VALIDE, AGE_IMPUTE (median of month × sex) and AGE_IMPUTE_STABLE."""
     d = written(add_age(df, low, high), "age")
-    d = written(group_median_fill(d, "AGE_VALIDE", MONTH_SEX, "AGE_IMPUTE"), "age")
+    d = group_median_fill(d, "AGE_VALIDE", MONTH_SEX, "AGE_IMPUTE")
     return stabilize(d, "AGE_IMPUTE", "AGE_IMPUTE_STABLE", method)
 
 
@@ -101,7 +101,7 @@ def build_age_service(
     days = F.datediff("collecte", "prise_service_corrigee")
     d = df.withColumn("AGE_AU_SERVICE", F.col(age) - F.floor(days / 365))
     d = d.withColumn("AGE_AU_SERVICE_VALIDE", _between("AGE_AU_SERVICE", low, high))
-    d = written(group_median_fill(written(d, "service"), "AGE_AU_SERVICE_VALIDE", MONTH_SEX, "AGE_AU_SERVICE_IMPUTE"), "service")
+    d = group_median_fill(written(d, "service"), "AGE_AU_SERVICE_VALIDE", MONTH_SEX, "AGE_AU_SERVICE_IMPUTE")
     several = d.groupBy(KEY).agg((F.count_distinct("AGE_AU_SERVICE_IMPUTE") > 1).cast("int").alias("FLAG_MULTI_AGE_SERVICE"))
     return stabilize(join_back(d, several, [KEY]), "AGE_AU_SERVICE_IMPUTE", "AGE_AU_SERVICE_FINAL", method)
 
