@@ -409,8 +409,14 @@ def _(spark, sf):
 # ------------------------------------------------------------------ coherence flags
 
 
+FLAG_COLS = [
+    "row_id", "matricule", "periode", "annee", "mois", "mois_annee", "sexe", "situation", "situation_matrimoniale",
+    "date_naissance", "prise_service", "nombre_enfant", "STATUT",
+]
+
+
 def flag_input(spark, sf):
-    d = cats(spark, sf).withColumns(
+    d = cats(spark, sf).select(*FLAG_COLS).withColumns(
         {
             "naissance": clean_date("date_naissance"),
             "debut": clean_date("prise_service"),

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paypanel.functions.dates import first_of_month, years_between
@@ -134,17 +134,19 @@ def coherence_flags(
         "FLAG_STATUT_VARIATION": changed("_st"),
         "FLAG_STATUT_DEF_VARIATION": changed("_sd"),
     }
-    # read three times below, so the ordered pass is written once
-    d = written(d.withColumns({name: _flag(cond) for name, cond in flags.items()}), "flags")
+    # read twice below, so the ordered pass is written once, without what only the flags above need
+    helpers = ["_ref", "_mar_norm", "_mar_code", "_mar", "_sex", "_sd"]
+    d = d.withColumns({name: _flag(cond) for name, cond in flags.items()}).drop(*helpers, *[f"{c}__prev" for c in watched])
+    d = written(d, "flags")
 
-    yearly = d.groupBy(KEY, "annee").agg(_flag(F.sum("FLAG_SITMAT_VARIATION") >= 2).alias("FLAG_SITMAT_VARIATIONS"))
+    # empty and missing status count as one; the months of a (person, year) are few
+    st, changes = F.coalesce("_st", F.lit("")), F.sum(F.sum("FLAG_SITMAT_VARIATION")).over(Window.partitionBy(KEY, "annee"))
     monthly = d.groupBy(KEY, "annee", "mois").agg(
-        _flag(F.count_distinct(F.coalesce("_st", F.lit(""))) > 1).alias("FLAG_STATUT_MULTI"),
+        _flag(changes >= 2).alias("FLAG_SITMAT_VARIATIONS"),
+        _flag(F.min(st) < F.max(st)).alias("FLAG_STATUT_MULTI"),
         _flag(F.count("_st") == 0).alias("FLAG_STATUT_TROU"),
     )
-    d = join_back(join_back(d, yearly, [KEY, "annee"]), monthly, [KEY, "annee", "mois"])
-    helpers = ["_ref", "_mar_norm", "_mar_code", "_mar", "_sex", "_st", "_sd"]
-    return d.drop(*helpers, *[f"{c}__prev" for c in watched])
+    return join_back(d, monthly, [KEY, "annee", "mois"]).drop("_st")
 
 
 def amount_flags(

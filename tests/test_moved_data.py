@@ -2,6 +2,8 @@
 
 import pytest
 
+from checks import q_quality
+from paypanel.operators import coherence as coh
 from paypanel.operators import imputation as imp
 from paypanel.operators import skew
 from paypanel.operators.quantiles import group_quantiles, median
@@ -50,3 +52,23 @@ def test_short_lookups_leave_the_rows_in_place_and_long_ones_do_not_reach_the_dr
 
 def _stored(df):
     return skew.written(df, "test").inputFiles()[0].rpartition("/")[0]
+
+
+def test_cuts_hold_only_what_the_variables_and_flags_need(spark, sf):
+    assert not {"nom", "organisme", "emploi", "statut_fonctionnaire", "montant_brut"} & set(q_quality.variables(spark, sf).columns)
+    assert not {"nom", "organisme", "emploi", "statut_fonctionnaire", "montant_brut"} & set(q_quality.flag_input(spark, sf).columns)
+
+
+def test_month_and_year_flags_meet_the_rows_in_one_join(spark):
+    data = [  # (row, person, year, month, marital status, situation)
+        (1, "p", 2020, 1, "celibataire", "en activite"), (2, "p", 2020, 2, "marie", "en activite"), (3, "p", 2020, 3, "veuf", "retraite"),
+        (4, "p", 2020, 3, "veuf", None), (5, "p", 2021, 1, "marie", None), (6, None, 2021, 1, "marie", "deces"), (7, "q", None, None, None, None),
+    ]
+    d = spark.createDataFrame(data, "row_id bigint, matricule string, annee int, mois int, situation_matrimoniale string, situation string")
+    d = d.selectExpr(
+        "*", "coalesce(annee, 0) * 100 + coalesce(mois, 0) AS periode", "'M' AS sexe", "30 AS AGE", "20 AS AGE_PS", "10.0 AS ANCIENNETE", "0 AS ENFANTS", "'fonctionnaire' AS STATUT_DEF"
+    )
+    out = coh.coherence_flags(d)
+    got = {r["row_id"]: (r["FLAG_SITMAT_VARIATIONS"], r["FLAG_STATUT_MULTI"], r["FLAG_STATUT_TROU"]) for r in out.collect()}
+    assert got == {1: (1, 0, 0), 2: (1, 0, 0), 3: (1, 1, 0), 4: (1, 1, 0), 5: (0, 0, 1), 6: (0, 0, 0), 7: (0, 0, 1)}
+    assert final_plan(out).count("HashJoin") + final_plan(out).count("SortMergeJoin") == 1
