@@ -106,6 +106,23 @@ def draw_parameters(x: DataFrame, y: str, m: int, seed: int) -> tuple[np.ndarray
     return fitted, np.array(draws)
 
 
+def within_reach(k: int) -> Column:
+    """Of the blocks ``near`` the target ``at``, those as far as its k-th nearest donor.
+
+    The distance is found once a row and used as it leaves the fold; as a column of its own it would be inlined into
+    the filter and found again for every block.
+    """
+    gap = lambda b: F.abs(b.pred - F.col("at"))
+    gaps = F.array_sort(F.transform("near", lambda b: F.struct(gap(b).alias("gap"), b.n.alias("n"))))
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("gap"))
+    return F.aggregate(
+        gaps,
+        start,
+        lambda acc, g: F.when(acc.n >= k, acc).otherwise(F.struct((acc.n + g.n).alias("n"), g.gap.alias("gap"))),
+        lambda acc: F.filter("near", lambda b: gap(b) <= acc.gap),
+    )
+
+
 def nearest_donors(donors: DataFrame, recipients: DataFrame, k: int = DONORS, seed: int = 123) -> DataFrame:
     """(id, m, value): for every recipient (id, m, target) the value of one of the ``k`` donors nearest to its target.
 
@@ -151,18 +168,8 @@ def nearest_donors(donors: DataFrame, recipients: DataFrame, k: int = DONORS, se
     )
     sought = numbered.where("kind = 1").select("id", "m", "at", F.greatest("place", F.lit(1)).alias("place")).join(near, "place")
 
-    gaps = F.array_sort(F.transform("near", lambda b: F.struct(F.abs(b.pred - F.col("at")).alias("gap"), b.n.alias("n"))))
-    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("gap"))
-    reach = F.aggregate(
-        gaps,
-        start,
-        lambda acc, g: F.when(acc.n >= k, acc).otherwise(F.struct((acc.n + g.n).alias("n"), g.gap.alias("gap"))),
-        lambda acc: acc.gap,
-    )
-    usable = F.filter("near", lambda b: F.abs(b.pred - F.col("at")) <= F.col("reach"))
     drawn = (
-        sought.withColumn("reach", reach)
-        .withColumn("usable", usable)
+        sought.withColumn("usable", within_reach(k))
         .withColumn("many", F.aggregate("usable", F.lit(0).cast("long"), lambda acc, b: acc + b.n))
         .select("id", "m", (F.array_min(F.transform("usable", lambda b: b.start)) + F.pmod(F.xxhash64("id", "m", F.lit(seed)), F.col("many"))).alias("number"))
     )

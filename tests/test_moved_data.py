@@ -1,11 +1,13 @@
 """What is broadcast, and what the written cuts hold: tables of uncounted size stay off the driver, rows meet short lookups in place."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import q_quality
 from paypanel.operators import coherence as coh
 from paypanel.operators import imputation as imp
 from paypanel.operators import skew
+from paypanel.operators.estimators import within_reach
 from paypanel.operators.quantiles import group_quantiles, median
 
 
@@ -72,3 +74,12 @@ def test_month_and_year_flags_meet_the_rows_in_one_join(spark):
     got = {r["row_id"]: (r["FLAG_SITMAT_VARIATIONS"], r["FLAG_STATUT_MULTI"], r["FLAG_STATUT_TROU"]) for r in out.collect()}
     assert got == {1: (1, 0, 0), 2: (1, 0, 0), 3: (1, 1, 0), 4: (1, 1, 0), 5: (0, 0, 1), 6: (0, 0, 0), 7: (0, 0, 1)}
     assert final_plan(out).count("HashJoin") + final_plan(out).count("SortMergeJoin") == 1
+
+
+def test_reach_of_a_target_is_found_once_a_row(spark):
+    near = "from_json('[{\"pred\":1,\"start\":0,\"n\":2},{\"pred\":2,\"start\":2,\"n\":2},{\"pred\":4,\"start\":4,\"n\":1},{\"pred\":9,\"start\":5,\"n\":7}]', 'array<struct<pred: double, start: bigint, n: bigint>>')"
+    d = spark.createDataFrame([(3.0,), (1.0,)], "at double").selectExpr(f"{near} AS near", "at")
+    out = d.withColumn("usable", within_reach(3)).select("at", F.aggregate("usable", F.lit(0).cast("long"), lambda a, b: a + b.n).alias("many"))
+    assert {r["at"]: r["many"] for r in out.collect()} == {3.0: 3, 1.0: 4}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort" not in plan or plan.index("array_sort") < plan.index("filter(")
