@@ -1,7 +1,8 @@
 """Enrichment and reconciliation joins.
 
-No join forces a broadcast: which side is sent whole is decided by the sizes measured at run time
-(``paypanel.session``), and planning a join starts no job.
+Which side is sent whole is decided by the sizes measured at run time (``paypanel.session``), and planning a join starts
+no job. Only code tables are written and counted first: labels are few, so rows that were exchanged by label would meet in a
+few tasks, however many rows there are.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paypanel.functions.text import clean_place, norm_label
+from paypanel.operators.skew import lookup_back
 
 
 def join_sheets(agents: DataFrame, items: DataFrame, key: str = "cle_unique") -> DataFrame:
@@ -37,13 +39,9 @@ def enrich_code(
     """Add the code (and attributes) of a label column; an absent label column gives NULL codes."""
     if source not in df.columns:
         return df.withColumn(out, F.lit(None).cast("string"))
-    table = code_table(dim, code=code, extras=extras).withColumnRenamed(code, out)
-    return (
-        df.drop(out, *(extras or []))
-        .withColumn("_norm", norm_label(source))
-        .join(table, F.col("_norm") == F.col("libelle_norm"), "left")
-        .drop("_norm", "libelle_norm")
-    )
+    table = code_table(dim, code=code, extras=extras).withColumnsRenamed({code: out, "libelle_norm": "_norm"})
+    rows = df.drop(out, *(extras or [])).withColumn("_norm", norm_label(source))
+    return lookup_back(rows, table, ["_norm"]).drop("_norm")
 
 
 def enrich_codes(df: DataFrame, dims: dict[str, tuple[DataFrame, str, list[str]]]) -> DataFrame:

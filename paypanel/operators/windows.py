@@ -11,6 +11,9 @@ from paypanel.operators.joins import first_rows, month_grid
 from paypanel.operators.quantiles import Quantile, group_quantiles, nearest
 from paypanel.operators.skew import HOT_ROWS, fill_along, join_back
 
+#: Rows of the panel that one task sorts: whole rows are wide.
+PANEL_BITS = 18
+
 
 def locf_forward(df: DataFrame, key: str, col: str, out: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     d = fill_along(df, key, [col], backward=False, hot_rows=hot_rows)
@@ -27,9 +30,24 @@ def locf_backward(df: DataFrame, key: str, col: str, out: str, hot_rows: int = H
     )
 
 
-def dedup_panel(df: DataFrame, keys: list[str], row: str = "row_id") -> DataFrame:
-    """First row of each (person, month)."""
-    return first_rows(df, keys, [row])
+def dedup_panel(
+    df: DataFrame, keys: list[str], row: str = "row_id", hot_rows: int = HOT_ROWS, bits: int = PANEL_BITS
+) -> DataFrame:
+    """First row of each (person, month); the rows are sorted once, in tasks of about ``2**bits`` of them.
+
+    The rows of each person (first key, NULL is one) are counted here and now. Those of persons above ``hot_rows`` are
+    dealt evenly and cut to one row per task before they meet.
+    """
+    counts = df.groupBy(F.col(keys[0]).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_hot_n"))
+    n, most = counts.agg(F.coalesce(F.sum("_hot_n"), F.lit(0)), F.coalesce(F.max("_hot_n"), F.lit(0))).first()
+    pieces = max(df.sparkSession.sparkContext.defaultParallelism, (n >> bits) + 1)
+    if most <= hot_rows:
+        return first_rows(df.repartition(pieces, *keys), keys, [row])
+    # at most one in ``hot_rows`` rows is such a person
+    hot = F.broadcast(counts.where(F.col("_hot_n") > hot_rows).select("_hot_key"))
+    same = F.col(keys[0]).eqNullSafe(F.col("_hot_key"))
+    ordinary = first_rows(df.join(hot, same, "left_anti").repartition(pieces, *keys), keys, [row])
+    return ordinary.unionByName(first_rows(df.join(hot, same, "left_semi").repartition(pieces), keys, [row]))
 
 
 def ffill_grade(df: DataFrame, key: str, source: str, status: str, out: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from checks import q_quality
 from paypanel.operators import coherence as coh
 from paypanel.operators import imputation as imp
-from paypanel.operators import skew
+from paypanel.operators import joins, skew, windows
 from paypanel.operators.estimators import within_reach
 from paypanel.operators.quantiles import group_quantiles, median
 
@@ -83,3 +83,35 @@ def test_reach_of_a_target_is_found_once_a_row(spark):
     assert {r["at"]: r["many"] for r in out.collect()} == {3.0: 3, 1.0: 4}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "array_sort" not in plan or plan.index("array_sort") < plan.index("filter(")
+
+
+def test_code_tables_meet_the_rows_in_place(spark, monkeypatch):
+    rows = _stored(spark.createDataFrame([(1, " métier a"), (2, "METIER A"), (3, "x"), (4, None)], "row_id bigint, emploi string"))
+    d = spark.read.schema("row_id bigint, emploi string").parquet(rows)
+    dim = spark.createDataFrame([("metier a", "7", "u"), ("Métier A", "5", "v"), (None, "9", "w")], "libelle string, code string, more string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = joins.enrich_code(d, dim, "emploi", "c", ["more"])
+        assert out.columns == ["row_id", "emploi", "c", "more"]
+        assert "Exchange hashpartitioning" not in final_plan(out)
+        want = [(1, "5", "v"), (2, "5", "v"), (3, None, None), (4, None, None)]
+        assert sorted(map(tuple, out.select("row_id", "c", "more").collect())) == want
+        monkeypatch.setattr(skew, "LISTED_KEYS", 0)
+        many = joins.enrich_code(d, dim, "emploi", "c", ["more"])
+        assert "BroadcastHashJoin" not in final_plan(many)
+        assert sorted(map(tuple, many.select("row_id", "c", "more").collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_panel_is_sorted_in_tasks_of_bounded_rows(spark):
+    data = [(i, None if i % 9 == 0 else f"p{i % 5}", f"m{i % 4}" if i % 7 else None) for i in range(90)] * 2
+    d = spark.createDataFrame(data, "row_id bigint, matricule string, mois_annee string")
+    want = sorted({(m, t): i for i, m, t in reversed(data)}.values())
+    keys = ["matricule", "mois_annee"]
+    out = windows.dedup_panel(d, keys, bits=4)
+    assert out.rdd.getNumPartitions() == (len(data) >> 4) + 1
+    assert final_plan(out).count("Sort [") == 1
+    for hot_rows in (10**6, 30, 1):
+        got = windows.dedup_panel(d, keys, hot_rows=hot_rows, bits=4)
+        assert got.columns == d.columns and sorted(r["row_id"] for r in got.collect()) == want
