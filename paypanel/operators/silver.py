@@ -11,6 +11,7 @@ from paypanel.functions.dates import period_int, period_parts
 from paypanel.functions.grades import VALID_GRADES, extract_grade
 from paypanel.functions.people import KEPT_SITUATIONS, normalize_situation
 from paypanel.functions.text import filled
+from paypanel.operators.skew import join_back
 
 AMOUNTS = ["montant_brut", "montant_net", "retenue_pension", "impot", "charge_patronale"]
 
@@ -99,7 +100,9 @@ def brut_from_components(
 ) -> DataFrame:
     """Gross salary as the sum of its pay items; rows without any item keep ``montant_brut``."""
     sums = items.where(F.col("code").isin(*codes)).groupBy(*key).agg(F.sum("montant").alias(out))
-    return df.join(sums, key, "left").withColumn(out, F.coalesce(out, "montant_brut"))
+    joined = join_back(df, sums.dropna(subset=key), key)  # rows are wide and sums narrow, so sums are hashed and rows not sorted
+    rest = [c for c in df.columns if c not in key]
+    return joined.select(*key, *rest, F.coalesce(out, "montant_brut").alias(out))
 
 
 def unpivot_paycodes(wide: DataFrame, ids: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from checks import q_quality
 from paypanel.operators import coherence as coh
 from paypanel.operators import imputation as imp
-from paypanel.operators import joins, skew, windows
+from paypanel.operators import joins, silver, skew, windows
 from paypanel.operators.estimators import within_reach
 from paypanel.operators.quantiles import group_quantiles, median
 
@@ -115,3 +115,16 @@ def test_panel_is_sorted_in_tasks_of_bounded_rows(spark):
     for hot_rows in (10**6, 30, 1):
         got = windows.dedup_panel(d, keys, hot_rows=hot_rows, bits=4)
         assert got.columns == d.columns and sorted(r["row_id"] for r in got.collect()) == want
+
+
+def test_gross_pay_hashes_the_sums_and_sorts_no_rows(spark):
+    d = spark.createDataFrame([(1, 10.0, "a"), (2, 20.0, "b"), (None, 30.0, "c"), (2, 20.0, "b")], "row_id bigint, montant_brut double, nom string")
+    items = spark.createDataFrame([(1, "x", 1.0), (1, "x", 2.0), (None, "x", 9.0), (2, "z", 5.0)], "row_id bigint, code string, montant double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = silver.brut_from_components(d, items, ["row_id"], ["x"])
+        assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert out.columns == ["row_id", "montant_brut", "nom", "SALAIRE_BRUT"]
+    assert sorted(((r["nom"], r["SALAIRE_BRUT"]) for r in out.collect())) == [("a", 3.0), ("b", 20.0), ("b", 20.0), ("c", 30.0)]
