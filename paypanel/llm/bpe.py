@@ -9,9 +9,9 @@ sequences of the distinct words join the vocabulary and an ordered aggregation p
 Words are cut by code-point classes on arrays; the result equals matching
 ``'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+`` from left to right.
 
-Memory: texts are taken in runs of ``RUN`` characters (a longer text is a run of its own), the encoded words
-of a task are kept up to ``KEPT`` words, and words go to DuckDB in blocks of ``BLOCK`` bytes, so nothing grows with
-the partition. The recursion keeps one state per word (not one per round). A single word of n bytes takes n rounds
+Memory: texts are taken in runs of ``RUN`` characters (a longer text is a run of its own), a worker keeps two
+generations of up to ``KEPT`` encoded words (when the younger is full the older goes, and words met again move up, so
+common words stay), and words go to DuckDB in blocks of ``BLOCK`` bytes, so nothing grows with the partition. The recursion keeps one state per word (not one per round). A single word of n bytes takes n rounds
 over n positions at worst. A worker process keeps its merge table and words for the tasks that follow.
 
 Defined results: a null text counts as empty and has no tokens; repeated rows give repeated rows; an empty
@@ -141,6 +141,7 @@ class Coder:
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.known: dict[bytes, bytes] = {}
         self.decoded: dict[bytes, bytes] = {}
+        self.older: tuple[dict[bytes, bytes], dict[bytes, bytes]] = {}, {}
 
     def _load(self, name: str, rows: pa.Table, sql: str) -> None:
         self.con.register("given", rows)
@@ -173,8 +174,24 @@ class Coder:
         found = {k: bytes.fromhex(v) for k, v in out}
         return [found.get(k, b"") for k in range(len(words))]
 
+    def make_room(self, n: int) -> None:
+        """Before ``n`` words come: if the younger generation would outgrow ``KEPT``, it becomes the older one."""
+        if len(self.known) + n > KEPT:
+            self.older = self.known, self.decoded
+            self.known, self.decoded = {}, {}
+
+    def move_up(self, words: list[bytes]) -> None:
+        """Words of the older generation that are met again join the younger one, with what they decode to."""
+        known, decoded = self.older
+        for w in words:
+            if w not in self.known and (ids := known.get(w)) is not None:
+                self.known[w] = ids
+                self.decoded[ids] = decoded[ids]
+
     def learn(self, words: list[bytes]) -> None:
         """Encode and keep the words not known yet."""
+        if self.older[0]:
+            self.move_up(words)
         new = [w for w in words if w not in self.known]
         direct = [w for w in new if w in self.ranks]
         for w in direct:
@@ -243,9 +260,7 @@ def encode_run(coder: Coder, texts: list[str]) -> list[tuple[bytes, bytes]]:
     """Per text of a run: its ids as little-endian 32-bit integers, and the bytes they decode to."""
     words = split_words(texts)
     distinct = set().union(*words)
-    if len(coder.known) + len(distinct) > KEPT:
-        coder.known.clear()
-        coder.decoded.clear()
+    coder.make_room(len(distinct))
     coder.learn(list(distinct))
     coder.learn_sequences(set(map(coder.known.__getitem__, distinct)))
     out = []

@@ -230,6 +230,21 @@ def test_without_labels_only_letterless_rows_go(spark):
 # --- context words of personal data
 
 
+def test_common_words_outlive_a_full_cache(monkeypatch):
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    monkeypatch.setattr(bpe, "KEPT", 12)
+    coder, asked = bpe.Coder(ranks), []
+    plain = coder.encode_words
+    coder.encode_words = lambda words: asked.extend(words) or plain(words)
+    for c in "abcdefghijkl":
+        text = f"zzcommonqq zqjx{c}kk xqzw{c}vv qqy{c}zz"
+        (ids, decoded), = bpe.encode_run(coder, [text])
+        assert list(np.frombuffer(ids, np.int32)) == library.encode_ordinary(text) and decoded == text.encode()
+        assert len(coder.known) <= 12 and len(coder.decoded) <= 12
+    assert asked.count(b"zzcommonqq") == 1 and len(asked) == 1 + 3 * 12
+
+
 @pytest.mark.parametrize(
     "text, spans",
     [
