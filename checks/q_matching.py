@@ -20,17 +20,32 @@ from paypanel.streaming import ingest
 TEST_KEY = "0123456789abcdef"
 
 
+def spread(rows):
+    """The rows over all cores: a file of short rows is few splits, and labels take long to normalise."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def reference(spark, sf):
     """Code table of product labels: name and brand."""
-    p = table(spark, sf, "part")
-    lib = norm_label(F.concat_ws(" ", "p_name", "p_brand"))
-    return p.groupBy(lib.alias("ref")).agg(F.min("p_partkey").cast("string").alias("code"))
+
+    def build():
+        lib = norm_label(F.concat_ws(" ", "p_name", "p_brand"))
+        named = spread(table(spark, sf, "part").groupBy("p_name", "p_brand").agg(F.min("p_partkey").alias("first")))
+        labelled = written(named.select(lib.alias("ref"), "first"), "reference-labels")
+        return labelled.groupBy("ref").agg(F.min("first").cast("string").alias("code"))
+
+    return layer(spark, f"reference {sf}", build)
 
 
 def products(spark, sf):
     """Products labelled in another way, without a code."""
-    lib = norm_label(F.concat_ws(" ", "p_type", "p_name", F.concat("p_brand", F.lit("0"))))
-    return table(spark, sf, "part").select("p_partkey", lib.alias("lib"), F.lit(None).cast("string").alias("code"))
+
+    def build():
+        lib = norm_label(F.concat_ws(" ", "p_type", "p_name", F.concat("p_brand", F.lit("0"))))
+        rows = spread(table(spark, sf, "part").select("p_partkey", "p_type", "p_name", "p_brand"))
+        return rows.select("p_partkey", lib.alias("lib"), F.lit(None).cast("string").alias("code"))
+
+    return layer(spark, f"products {sf}", build)
 
 
 def suggestions(spark, sf):

@@ -194,8 +194,10 @@ def best_suggestions(labels: DataFrame, ref: DataFrame, label: str, ref_label: s
     score. (3) Labels that resemble nothing by then meet every reference that their letters allow. Comparisons are single rows,
     spread evenly; frequent tokens and lengths are join keys that adaptive execution splits.
     """
-    names = ref.select(F.trim(ref_label).alias("name")).where(F.col("name") != "").distinct()
-    wanted = labels.select(F.col(label).alias("libelle")).where(F.col("libelle").isNotNull()).distinct()
+    # both are read several times and filtered: written first, so that whatever makes the labels is worked out once a row
+    given = written(ref.select(F.col(ref_label).alias("name")).distinct(), "reference-names")
+    names = given.select(F.trim("name").alias("name")).where(F.col("name") != "").distinct()
+    wanted = written(labels.select(F.col(label).alias("libelle")).distinct(), "wanted-labels").where(F.col("libelle").isNotNull())
     filled = wanted.where(F.trim("libelle") != "").select(F.col("libelle").alias("name"))
     rarity = _profiles(names, None, floor).select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("holders"))
     b = written(_profiles(names, rarity, floor), "references")

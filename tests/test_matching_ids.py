@@ -92,6 +92,23 @@ def test_few_pairs_are_compared(spark, monkeypatch):
     assert unsure + late < len(refs) * len(labels) / 10
 
 
+def test_labels_are_worked_out_once_a_row(spark):
+    worked_out = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def costly(x):
+        worked_out.add(1)
+        return x
+
+    labels = spark.createDataFrame([("RED RING 10",), ("OLD BOLT 20",), (" ",), (None,), ("RED RING 10",)], "l string")
+    ref = spark.createDataFrame([("RED RING",), ("OLD BOLT",), ("",), ("BLUE GEAR",)], "r string")
+    out = mat.best_suggestions(labels.select(costly("l").alias("lib")), ref.select(costly("r").alias("ref")), "lib", "ref")
+    assert {r.libelle: (r.suggestion, r.score) for r in out.collect()} == {
+        "RED RING 10": ("RED RING", 100), "OLD BOLT 20": ("OLD BOLT", 100), " ": (mat.NO_SUGGESTION, 0)
+    }
+    assert worked_out.value == 9
+
+
 def test_auto_apply_fills_only_missing_codes(spark):
     d = spark.createDataFrame([(1, "A", None), (2, "A", "9"), (3, "B", None)], "i int, lib string, code string")
     sugg = spark.createDataFrame([("A", "X", 70, "1"), ("B", "Y", 69, "2")], "libelle string, suggestion string, score int, code string")
