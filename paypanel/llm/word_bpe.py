@@ -4,11 +4,12 @@
 
 1. Spark splits every text into words: the special tokens first, then the pattern's matches between them.
 2. A task numbers the words of a bounded run of texts, a block, and writes each text as the sequence of its
-   word numbers, and the block's words once. The texts themselves are not read again and never move.
-3. The blocks' words are made distinct, each distinct word is encoded once by merging its best-ranked pairs, and
-   its ids are decoded by a join on the table id -> piece with the pieces put together by position.
-4. The encoded words join their (block, number) places, blocks meet their texts in a co-group, and the ids and
-   bytes go back to their positions in each text.
+   word numbers, and the block's words once, in buckets by block. The texts are not read again and neither they nor
+   their numbers move.
+3. The blocks' words are exchanged and sorted, so that equal words meet; each distinct word is encoded once by merging
+   its best-ranked pairs, and its ids are handed to all its (block, number) places, packed by block.
+4. Blocks meet their texts in a co-group: the ids take their pieces, and ids and bytes go back to their positions in
+   each text. ``decode`` does the same for ids in a table, by a join on the table id -> piece.
 
 Results equal those of the library that defines the vocabulary file, without added special tokens, unused
 truncation and padding; ``<special>`` strings within a text are its special tokens, as they are there.
@@ -37,12 +38,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paypanel.plans.stages import discard, written
+from paypanel.plans.stages import written, written_in_buckets
 
 BLOCK_CHARS = 1 << 26
 BLOCK_WORDS = 1 << 20
-#: Words of more bytes go by their digest.
-SHORT = 64
+#: Places of words that a task gathers before it hands them on.
+PLACES = 1 << 18
 
 # White space as the pattern counts it, and the pattern. Its last two forms leave the last blank of a run to the next word.
 SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
@@ -193,18 +194,60 @@ def numbering_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def merging_task(vocabulary: Vocabulary):
-    """Distinct (key, word if it is not the key) to keys and ids."""
+    """Sorted rows (word, block, number) to rows (block, numbers, sizes, ids): the places of a block's words, packed, with their ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_byte, merges, special = vocabulary.of_byte, vocabulary.merges, vocabulary.special
+        last: dict[str, np.ndarray] = {}  # a word may go on in the next batch
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def coded(word: str) -> np.ndarray:
+            if word not in last:
+                ids = [special[word]] if word in special else merge([of_byte[b] for b in word.encode()], merges)
+                last.clear()
+                last[word] = np.array(ids, np.uint32)
+            return last[word]
+
+        def gathered() -> pa.RecordBatch:
+            block, number, size, ids = (np.concatenate(c) for c in zip(*held))
+            held.clear()
+            order = np.lexsort((number, block))
+            flat = _spans(np.cumsum(size) - size, size, order)
+            block, number, size, ids = block[order], number[order], size[order], ids[flat]
+            cuts = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+            ends = np.append(cuts[1:], block.size)
+            last_id = np.append(0, np.cumsum(size))
+            rows = [
+                (int(block[a]), b - a, last_id[b] - last_id[a], packed(np.diff(number[a:b], prepend=0)), packed(size[a:b]), packed(ids[last_id[a] : last_id[b]]))
+                for a, b in zip(cuts, ends)
+            ]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["block", "n", "n_ids", "numbers", "sizes", "ids"])
+
         for batch in batches:
-            words = [word or key for key, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            ids = [[special[w]] if w in special else merge([of_byte[b] for b in w.encode()], merges) for w in words]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["key", "ids"])
+            if not batch.num_rows:
+                continue
+            words = batch.column(0).dictionary_encode()
+            lists = [coded(w) for w in words.dictionary.to_pylist()]
+            lengths = np.array([x.size for x in lists], np.int64)
+            which = words.indices.to_numpy()
+            flat = np.concatenate(lists)[_spans(np.cumsum(lengths) - lengths, lengths, which)]
+            held.append((batch.column(1).to_numpy(), batch.column(2).to_numpy().astype(np.int64), lengths[which], flat))
+            if sum(h[0].size for h in held) >= PLACES:
+                yield gathered()
+        if held:
+            yield gathered()
 
     return run
 
 
+def _spans(starts: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Positions of the chosen spans' elements, one span after the other."""
+    count = lengths[which]
+    ends = np.cumsum(count)
+    return np.repeat(starts[which] - ends + count, count) + np.arange(int(ends[-1]) if ends.size else 0)
+
+
 def pieces_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
     """A row per id: its bytes in hexadecimal digits. Its size is fixed by the vocabulary."""
     rows = pa.table({"id": pa.array(list(vocabulary.pieces), pa.int32()), "piece": [p.hex() for p in vocabulary.pieces.values()]})
@@ -232,26 +275,32 @@ def joined(values: pa.BinaryArray) -> bytes:
     return data[ends[0] : ends[-1]].to_pybytes() if data is not None and len(values) else b""
 
 
-def placing_task(n_keys: int, with_values: bool):
+def placing_task(vocabulary: Vocabulary, n_keys: int, with_values: bool):
     """A block's texts and encoded words to ids and bytes of every text."""
+    pieces = pa.array([vocabulary.pieces.get(i, b"") for i in range(max(vocabulary.pieces, default=-1) + 1)], pa.binary())
 
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        words = words.sort_by("number").combine_chunks()
-        lists = words.column("ids").combine_chunks() if words.num_rows else pa.array([], pa.list_(pa.int32()))
-        flat = lists.flatten().to_numpy()
-        starts = lists.offsets.to_numpy()
-        starts = starts - starts[0]
-        lengths = np.diff(starts)
-        pieces = words.column("decoded").combine_chunks() if words.num_rows else pa.array([], pa.binary())
+        numbers, lengths, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        for row in words.select(["n", "n_ids", "numbers", "sizes", "ids"]).to_pylist():
+            numbers.append(np.cumsum(unpacked(row["numbers"], row["n"]).astype(np.int64)))
+            lengths.append(unpacked(row["sizes"], row["n"]).astype(np.int64))
+            flat.append(unpacked(row["ids"], row["n_ids"]))
+        number, length = np.concatenate(numbers), np.concatenate(lengths)
+        order = np.argsort(number)
+        flat = np.concatenate(flat)[_spans(np.cumsum(length) - length, length, order)]
+        length = length[order]
+        starts = np.cumsum(length) - length
+        # a word's bytes are those of its ids, so the ends of its last ids cut the joined pieces into words
+        parts = pieces.take(pa.array(flat))
+        ends = np.frombuffer(parts.buffers()[1], np.int32)[: flat.size + 1] if flat.size else np.zeros(1, np.int32)
+        cuts = pa.py_buffer(np.ascontiguousarray(ends[np.append(starts, flat.size)], np.int32))
+        plain_words = pa.Array.from_buffers(pa.binary(), length.size, [None, cuts, parts.buffers()[2] if flat.size else pa.py_buffer(b"")])
         n, ids_hash, text_hash, all_ids, all_texts = [], [], [], [], []
         for blob, size in zip(texts.column("places").to_pylist(), texts.column("n_words").to_pylist()):
             at = unpacked(blob, size)
-            count = lengths[at]
-            ends = np.cumsum(count)
-            total = int(ends[-1]) if size else 0
-            ids = flat[np.repeat(starts[at] - ends + count, count) + np.arange(total)].astype("<u4")
-            plain = joined(pieces.take(pa.array(at)))
-            n.append(total)
+            ids = flat[_spans(starts, length, at)].astype("<u4")
+            plain = joined(plain_words.take(pa.array(at)))
+            n.append(ids.size)
             ids_hash.append(hashlib.sha256(ids.tobytes()).hexdigest())
             decoded = plain.decode("utf-8", "replace")
             text_hash.append(hashlib.sha256(decoded.encode()).hexdigest())
@@ -278,17 +327,12 @@ def encode(
     rows = docs.select(*[c.alias(k) for k, c in keys.items()], words_of(text, vocabulary.special).alias("_words"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     own = "block long, n_words long, places binary, words array<string>"
-    layer = written(rows.mapInArrow(numbering_task, f"{fields}, {own}"), "word-places")
+    layer = written_in_buckets(rows.mapInArrow(numbering_task, f"{fields}, {own}"), "block", "word_places")
 
     entries = layer.where(F.col("words").isNotNull()).select("block", F.posexplode("words").alias("number", "word"))
-    # a long word goes by its digest, so that no row of its ids repeats it; "#" and letters never make up one word
-    long = F.octet_length("word") > SHORT
-    entries = entries.withColumn("key", F.when(long, F.concat(F.lit("#"), F.sha2("word", 256))).otherwise(F.col("word")))
-    words = entries.select("key", F.when(long, F.col("word")).alias("word")).distinct()
-    coded = words.mapInArrow(merging_task(vocabulary), "key string, ids array<int>")
-    table = written(decode(coded, vocabulary, "key"), "word-ids")
-    placed = written(entries.join(table, "key").select("block", "number", "ids", "decoded"), "placed-words")
-    discard(table)
+    met = entries.repartition("word").sortWithinPartitions("word").select("word", "block", "number")
+    places = "block long, n long, n_ids long, numbers binary, sizes binary, ids binary"
+    placed = written(met.mapInArrow(merging_task(vocabulary), places), "placed-words")
 
     texts = layer.where(F.col("places").isNotNull()).select(*keys, "block", "n_words", "places")
     values = ", ids array<int>, decoded string" if with_values else ""
@@ -296,7 +340,7 @@ def encode(
         texts.groupBy("block")
         .cogroup(placed.groupBy("block"))
         .applyInArrow(
-            placing_task(len(keys), with_values),
+            placing_task(vocabulary, len(keys), with_values),
             f"{fields}, n_tokens long, ids_sha256 string, decoded_sha256 string{values}",
         )
     )

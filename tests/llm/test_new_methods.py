@@ -204,6 +204,32 @@ def test_encoding_odd_tables(spark):
     assert encoded(spark, [None, ""]) == {0: ([], ""), 1: ([], "")}
 
 
+def test_numbered_texts_are_not_exchanged(spark):
+    df = spark.createDataFrame([(k, f"text {k % 7} of many") for k in range(50)], "doc_id long, text string")
+    out = word_bpe.encode(df, VOCABULARY, {"doc_id": F.col("doc_id")}, with_values=False)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    exchanged = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(exchanged) == 1  # the encoded words alone
+    assert "Bucketed: true" in plan and out.count() == 50
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("word_places")]
+
+
+def test_words_are_merged_once_and_handed_to_every_place():
+    import pyarrow as pa
+
+    vocabulary = word_bpe.read_vocabulary(VOCABULARY)
+    rows = [(" words", b, n) for b, n in ((1, 5), (0, 2), (1, 0))] + [("xyzzy", 0, 1), ("<|endoftext|>", 1, 2)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["word", "block", "number"])
+    out = pa.Table.from_batches(word_bpe.merging_task(vocabulary)(iter([batch.slice(0, 2), batch.slice(2)]))).to_pylist()
+    library = Tokenizer.from_file(VOCABULARY)
+    got = {}
+    for r in out:
+        numbers = word_bpe.unpacked(r["numbers"], r["n"]).cumsum()
+        ids, ends = word_bpe.unpacked(r["ids"], r["n_ids"]).tolist(), word_bpe.unpacked(r["sizes"], r["n"]).cumsum().tolist()
+        got |= {(r["block"], int(k)): ids[a:b] for k, a, b in zip(numbers, [0, *ends], ends)}
+    assert got == {(b, n): library.encode(w, add_special_tokens=False).ids for w, b, n in rows}
+
+
 def test_other_vocabularies_are_refused(tmp_path):
     with pytest.raises(ValueError):
         word_bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
