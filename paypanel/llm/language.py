@@ -27,7 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 15
-CHUNK = 1 << 20  # characters looked at together
+CHUNK = 1 << 20  # characters of one text looked at together
+RUN = 1 << 18  # characters of short texts looked at together
+ROWS = 256  # rows taken from a batch and handed on together
 PENALTY = 2.0
 ROUNDS = 40
 LANGUAGES_HELD = 64  # count arrays a task holds before it hands them on
@@ -61,10 +63,10 @@ def _grams(text: str, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.
 
 
 def gram_counts(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first document, documents, document, bucket, count) for runs of documents of about CHUNK characters."""
+    """(first document, documents, document, bucket, count) for runs of documents of about RUN characters."""
     first, run, size = 0, [], 0
     for i, text in enumerate(texts):
-        if run and size + len(text) > CHUNK:
+        if run and size + len(text) > RUN:
             yield _counted(first, run)
             first, run, size = i, [], 0
         run.append(text)
@@ -215,22 +217,35 @@ def infer(model: Model, doc: np.ndarray, bucket: np.ndarray, count: np.ndarray):
     return present, chosen
 
 
+def told(model: Model, texts: list[str | None]) -> tuple[list[str], list[float], list[str]]:
+    """Per text its language (``und`` without letters), that language's share, and all shares."""
+    texts = [t or "" for t in texts]
+    pred, score, mixed = ["und"] * len(texts), [0.0] * len(texts), [""] * len(texts)
+    if model.langs:
+        for first, _, doc, bucket, count in gram_counts(texts):
+            if not doc.size:
+                continue
+            present, share = infer(model, doc, bucket, count)
+            for d, row in zip(present.tolist(), share):
+                k = int(row.argmax())
+                pred[first + d], score[first + d] = model.langs[k], round(float(row[k]), 6)
+                mixed[first + d] = ",".join(f"{model.langs[j]}:{row[j]:.4f}" for j in np.argsort(-row) if row[j] >= 0.00005)
+    return pred, score, mixed
+
+
+def few_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut to ``ROWS`` rows, so that a task holds the texts of few rows as strings."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def predictor(model: Model):
     """Rows (id, held_out, text, ...) to the same key columns and lang_pred, score, languages."""
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-            pred, score, mixed = ["und"] * len(texts), [0.0] * len(texts), [""] * len(texts)
-            if model.langs:
-                for first, _, doc, bucket, count in gram_counts(texts):
-                    if not doc.size:
-                        continue
-                    present, share = infer(model, doc, bucket, count)
-                    for d, row in zip(present.tolist(), share):
-                        k = int(row.argmax())
-                        pred[first + d], score[first + d] = model.langs[k], round(float(row[k]), 6)
-                        mixed[first + d] = ",".join(f"{model.langs[j]}:{row[j]:.4f}" for j in np.argsort(-row) if row[j] >= 0.00005)
+        for batch in few_rows(batches):
+            pred, score, mixed = told(model, batch.column(batch.num_columns - 1).to_pylist())
             keys = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
                 [*keys, pa.array(pred), pa.array(score, pa.float64()), pa.array(mixed)],
@@ -240,6 +255,17 @@ def predictor(model: Model):
     return predict
 
 
+def keeper(model: Model, text_at: int):
+    """Whole rows to those whose language can be told, as they are; each text is sent once."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in few_rows(batches):
+            pred, _, _ = told(model, batch.column(text_at).to_pylist())
+            yield batch.filter(pa.array([p != "und" for p in pred]))
+
+    return keep
+
+
 def held_out(id_col: Column) -> Column:
     """The fold that is never learned from: checksum of the id as text, by 5, is 0."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5, F.lit(0)) == 0
@@ -265,6 +291,4 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     model = learn(docs.where(~held_out(F.col("doc_id"))))
     if not model.langs:
         return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    found = predict(docs, model, {"row": packed})
-    return found.where(F.col("lang_pred") != "und").select("row.*")
+    return docs.mapInArrow(keeper(model, [c.lower() for c in docs.columns].index("text")), docs.schema)

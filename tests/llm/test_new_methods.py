@@ -253,6 +253,19 @@ def test_without_labels_only_letterless_rows_go(spark):
     assert sorted(r.doc_id for r in language.keep_identified(docs).collect()) == [1, 4]
 
 
+def test_language_stage_sends_each_text_once_and_hands_on_few_rows(spark):
+    import pyarrow as pa
+
+    rows = [(k, "some plain words" if k % 3 else "12 34", "en" if k % 2 else "de") for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = language.keep_identified(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [r for r in rows if r[0] % 3]
+    assert "_text" not in kept._jdf.queryExecution().executedPlan().toString()
+    model = language.learn(docs)
+    batch = pa.RecordBatch.from_pylist([dict(zip(docs.columns, r)) for r in rows])
+    assert max(b.num_rows for b in language.keeper(model, 1)(iter([batch]))) <= language.ROWS
+
+
 # --- context words of personal data
 
 
