@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from paypanel.llm import bpe, decontamination, exact_dedup, jaccard_join, language
 from paypanel.llm.tables import table
-from paypanel.plans.stages import shared_dir
+from paypanel.plans.stages import few_rows_sent, shared_dir, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.encode(docs, ranks, {"doc_id": F.col("doc_id")}).select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+    tokens = bpe.encode(docs, ranks, {"doc_id": F.col("doc_id")}).select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+    with few_rows_sent(spark):
+        return written(tokens, "tokens")
 
 
 STAGES = [

@@ -12,7 +12,8 @@ Words are cut by code-point classes on arrays; the result equals matching
 Memory: texts are taken in runs of ``RUN`` characters (a longer text is a run of its own), a worker keeps two
 generations of up to ``KEPT`` encoded words (when the younger is full the older goes, and words met again move up, so
 common words stay), and words go to DuckDB in blocks of ``BLOCK`` bytes, so nothing grows with the partition. The recursion keeps one state per word (not one per round). A single word of n bytes takes n rounds
-over n positions at worst. A worker process keeps its merge table and words for the tasks that follow.
+over n positions at worst. A worker process keeps its merge table and words for the tasks that follow, and frees
+them ``IDLE`` seconds after the last one.
 
 Defined results: a null text counts as empty and has no tokens; repeated rows give repeated rows; an empty
 table gives an empty result. The vocabulary file is a parameter; it is read on the driver and shipped to the
@@ -24,7 +25,9 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
+from threading import Timer
 
 import duckdb
 import numpy as np
@@ -36,6 +39,7 @@ from pyspark.sql import functions as F
 RUN = 1 << 20
 BLOCK = 1 << 18
 KEPT = 1 << 19
+IDLE = 2.0
 
 # The pattern whose matches are encoded one by one.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -140,7 +144,7 @@ class Coder:
         self.ranks = ranks
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.known: dict[bytes, bytes] = {}
-        self.decoded: dict[bytes, bytes] = {}
+        self.decoded: dict[bytes, bytes] = {}  # of ids that decode to something else than their word
         self.older: tuple[dict[bytes, bytes], dict[bytes, bytes]] = {}, {}
 
     def _load(self, name: str, rows: pa.Table, sql: str) -> None:
@@ -186,7 +190,8 @@ class Coder:
         for w in words:
             if w not in self.known and (ids := known.get(w)) is not None:
                 self.known[w] = ids
-                self.decoded[ids] = decoded[ids]
+                if ids in decoded:
+                    self.decoded[ids] = decoded[ids]
 
     def learn(self, words: list[bytes]) -> None:
         """Encode and keep the words not known yet."""
@@ -205,13 +210,15 @@ class Coder:
                 for word, ids in zip(block, self.encode_words(block)):
                     self.known[word] = ids.astype(np.int32).tobytes()
                 block, size = [], 0
+        self.learn_back(new)
 
-    def learn_sequences(self, sequences: set[bytes]) -> None:
-        """Decode and keep the id sequences not known yet."""
-        new = [s for s in sequences if s not in self.decoded]
-        for at in range(0, len(new), BLOCK // 8):
-            part = new[at : at + BLOCK // 8]
-            self.decoded.update(zip(part, self.decode_words([np.frombuffer(s, np.int32) for s in part])))
+    def learn_back(self, words: list[bytes]) -> None:
+        """Decode the ids of new words; only what differs from its word is kept, so a word takes half the memory."""
+        for at in range(0, len(words), BLOCK // 8):
+            part = words[at : at + BLOCK // 8]
+            ids = [self.known[w] for w in part]
+            back = self.decode_words([np.frombuffer(i, np.int32) for i in ids])
+            self.decoded.update((i, d) for w, i, d in zip(part, ids, back) if d != w)
 
 
 def split_words(texts: list[str]) -> list[list[bytes]]:
@@ -246,14 +253,28 @@ def runs(texts: list[str]) -> Iterator[list[str]]:
 
 
 _CODERS: dict[str, Coder] = {}
+_ENDS: list[Timer] = []
 
 
-def coder_of(ranks: dict[bytes, int], digest: str) -> Coder:
-    """The worker process's coder for these ranks; tasks of other ranks take its place."""
-    if digest not in _CODERS:
+@contextmanager
+def coder_of(ranks: dict[bytes, int], digest: str) -> Iterator[Coder]:
+    """The worker process's coder for these ranks; tasks of other ranks take its place.
+
+    A worker goes on to other stages' tasks, so ``IDLE`` seconds after the last task the coder is let go.
+    """
+    while _ENDS:
+        _ENDS.pop().cancel()
+    coder = _CODERS.get(digest)
+    if coder is None:
         _CODERS.clear()
-        _CODERS[digest] = Coder(ranks)
-    return _CODERS[digest]
+        coder = _CODERS[digest] = Coder(ranks)
+    try:
+        yield coder
+    finally:
+        end = Timer(IDLE, _CODERS.clear)
+        end.daemon = True
+        _ENDS.append(end)
+        end.start()
 
 
 def encode_run(coder: Coder, texts: list[str]) -> list[tuple[bytes, bytes]]:
@@ -262,11 +283,10 @@ def encode_run(coder: Coder, texts: list[str]) -> list[tuple[bytes, bytes]]:
     distinct = set().union(*words)
     coder.make_room(len(distinct))
     coder.learn(list(distinct))
-    coder.learn_sequences(set(map(coder.known.__getitem__, distinct)))
     out = []
     for own in words:
         ids = list(map(coder.known.__getitem__, own))
-        out.append((b"".join(ids), b"".join(map(coder.decoded.__getitem__, ids))))
+        out.append((b"".join(ids), b"".join(map(coder.decoded.get, ids, own))))
     return out
 
 
@@ -276,7 +296,10 @@ def coding_task(ranks: dict[bytes, int], with_values: bool):
     digest = hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = coder_of(ranks, digest)
+        with coder_of(ranks, digest) as coder:
+            yield from coded(coder, batches)
+
+    def coded(coder: Coder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from paypanel.llm.shingles import mix, shingle_set
 from paypanel.llm.tables import BROADCAST_BYTES, hinted
-from paypanel.plans.stages import discard, written
+from paypanel.plans.stages import discard, few_rows_sent, written
 
 BAND_GROWTH = 1.5
 BEFORE = 3  # rows before it that a row meets in its key
@@ -296,7 +296,8 @@ def join(docs: DataFrame, rule: Rule, keys: dict[str, Column], id_key: str, text
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     sketched = rows.mapInArrow(sketch_task(rule), f"{fields}, {SKETCHES}")
     # the rows of a document follow one another, so all of them get the number of its first
-    base = written(sketched.withColumn("uid", F.monotonically_increasing_id() - F.col("place")), "sketches")
+    with few_rows_sent(docs.sparkSession):
+        base = written(sketched.withColumn("uid", F.monotonically_increasing_id() - F.col("place")), "sketches")
     members = written(base.where("place = 0").drop("place", "level", "words", "codes"), "members")
 
     nodes = written(
@@ -339,13 +340,14 @@ def _sets(docs: DataFrame, rule: Rule, own_id: Column, text_col: str, needed: Da
         .join(wanted, F.col("_own").eqNullSafe(F.col("_id")), "left_semi")
         .select("_text")
     )
-    return written(
+    found = (
         text.mapInArrow(set_task(rule), "hi long, lo long, hashes array<long>")
         .join(hinted(needed.select("hi", "lo", "node"), 40), ["hi", "lo"])
         .dropDuplicates(["node"])
-        .select("node", "hashes"),
-        "sets",
+        .select("node", "hashes")
     )
+    with few_rows_sent(docs.sparkSession):
+        return written(found, "sets")
 
 
 def _pivots(large: DataFrame) -> DataFrame:

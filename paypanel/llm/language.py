@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paypanel.plans.stages import few_rows_sent
+
 BUCKETS = 1 << 15
 CHUNK = 1 << 20  # characters of one text looked at together
 RUN = 1 << 18  # characters of short texts looked at together
@@ -139,7 +141,8 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Mo
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
     )
-    found = sums.toArrow()
+    with few_rows_sent(docs.sparkSession):
+        found = sums.toArrow()
     langs = sorted(set(found.column("lang").to_pylist()))
     counts = np.zeros((BUCKETS, len(langs)))
     column = {lang: i for i, lang in enumerate(langs)}

@@ -1,18 +1,21 @@
 """Whitening, spelling variants and the distinct-word encoder against brute force and the tokenizer library."""
 
 import random
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from paypanel.llm import bpe, decontamination, jaccard_join, language, pii, spelling, whitening, word_bpe
+from paypanel.plans import stages
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 CLASH = {"index": "i", "place": "p", "word": "w", "block": "b", "n": "n", "key": "k"}
@@ -266,6 +269,61 @@ def test_language_stage_sends_each_text_once_and_hands_on_few_rows(spark):
     assert max(b.num_rows for b in language.keeper(model, 1)(iter([batch]))) <= language.ROWS
 
 
+# --- memory of tasks
+
+
+def test_few_rows_are_sent_to_python(spark, tmp_path, monkeypatch):
+    def sizes(batches):
+        yield from (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches)
+
+    most = lambda: max(r.n for r in spark.range(3000).coalesce(1).mapInArrow(sizes, "n long").collect())
+    with stages.few_rows_sent(spark):
+        assert most() == stages.ROWS_SENT
+    assert most() == 3000
+    limit, seen = stages.ROWS_SENT, []
+
+    def bounded(task):
+        def made(rule):
+            def run(batches):
+                def checked():
+                    for batch in batches:
+                        assert batch.num_rows <= limit
+                        yield batch
+
+                yield from task(rule)(checked())
+
+            seen.append(task)
+            return run
+
+        return made
+
+    for name in ("sketch_task", "set_task"):
+        monkeypatch.setattr(jaccard_join, name, bounded(getattr(jaccard_join, name)))
+    texts = [(i, " ".join(f"w{i // 2}x{j}" for j in range(60 + i % 2))) for i in range(1400)]
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/docs")
+    got = {r.doc_id: r.component_id for r in jaccard_join.report(spark.read.parquet(f"{tmp_path}/docs")).collect()}
+    assert got == {i: i - i % 2 for i in range(1400)} and len(seen) == 2
+
+
+def test_words_go_when_no_task_asks_for_them(monkeypatch):
+    monkeypatch.setattr(bpe, "IDLE", 0.2)
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    with bpe.coder_of(ranks, "test") as first:
+        pass
+    with bpe.coder_of(ranks, "test") as second:
+        time.sleep(0.6)
+        assert second is first and bpe._CODERS
+    time.sleep(1)
+    assert not bpe._CODERS
+
+
+def test_words_are_decoded_from_their_ids():
+    coder = bpe.Coder(bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
+    assert [d for _, d in bpe.encode_run(coder, ["plain words", ""])] == [b"plain words", b""] and not coder.decoded
+    coder.decode_words = lambda words: [b"?"] * len(words)
+    assert [d for _, d in bpe.encode_run(coder, ["other texts words"])] == [b"?? words"]
+
+
 # --- context words of personal data
 
 
