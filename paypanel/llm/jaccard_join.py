@@ -4,13 +4,18 @@ A document's set of shingle hashes is folded into a bit sketch: each hash flips
 distance of two sketches is at most the size of the sets' symmetric difference. A short block says little, so each
 also has a code, the XOR of 32-bit numbers of its hashes, and agrees where bits and code do. Similarity t allows a
 difference of (1 - t) / (1 + t) times the sum of the sizes. Sizes are cut into bands; for a level (one band,
-or two neighbouring ones) the allowed difference d is known and the sketch has d + 1 blocks of 64 bits: two
-linked documents agree in a block (pigeonhole). By the ring form of the principle some agreeing block is
-followed by one that differs in at most 2 d / (d + 1) bits, and by two that differ in at most 3 d / (d + 1), so
+or two neighbouring ones) the allowed difference d is known and the sketch has more than d blocks of 64 bits: two
+linked documents agree in a block (pigeonhole). By the ring form of the principle, among b blocks some agreeing one is
+followed by one that differs in at most 2 d / b bits, and by two that differ in at most 3 d / b, so
 each row also carries the next two blocks, and
 unrelated documents that agree in a block by chance are turned away where they meet. What is left is verified
 on the exact sets.
 
+Blank blocks, which no hash falls into, agree in all documents and would gather strangers. A set with z of them that may
+differ from its partners in d' elements leaves them out if d' + z is less than b: with each blank block counted as
+one more difference the principle holds as before (with d' + z for d), and so gives an agreeing block that is not blank,
+in the partner neither. A few blocks beyond d + 1 are there for this; sets for which it fails use all their blocks.
+
 Skew and links. Equal sets are one node. Within a block's key no pairs are emitted: in keys of up to five nodes
 a row meets the first row of its key and the three before it, which is every pair. A key of six nodes and more is
 cut by the two halves of the next block, one of which agrees in linked texts, then by parts of the block after it
@@ -47,6 +52,7 @@ from paypanel.plans.stages import discard, few_rows_sent, written
 BAND_GROWTH = 1.5
 BEFORE = 3  # rows before it that a row meets in its key
 SMALL_KEY = BEFORE + 2
+SPARE = 32  # differences for which a level has one block to spare
 PASSES = 4  # rounds in which the blocks are exchanged; each round's files are freed before the next
 
 
@@ -74,17 +80,22 @@ def bands(upto: int) -> list[int]:
     return edges
 
 
+def _blocks(difference: int) -> int:
+    """Blocks of a level: one more than may differ, and a few to spare for blank ones."""
+    return difference + 1 + -(-difference // SPARE)
+
+
 @lru_cache(1 << 14)
 def levels(size: int, rule: Rule) -> list[tuple[int, int]]:
     """(level, blocks) for a set of ``size``: 2k is band k with itself, 2k + 1 band k with band k + 1."""
     edges = bands(size)
     k = int(np.searchsorted(edges, size, "right")) - 1
     edges = [*edges, max(edges[-1] + 1, int(edges[-1] * BAND_GROWTH))]
-    out = [(2 * k, rule.difference(2 * (edges[k + 1] - 1)) + 1)]
+    out = [(2 * k, _blocks(rule.difference(2 * (edges[k + 1] - 1))))]
 
     def cross(low: int) -> tuple[int, int]:
         a = edges[low + 1] - 1
-        return 2 * low + 1, rule.difference(a + min(edges[low + 2] - 1, rule.largest_partner(a))) + 1
+        return 2 * low + 1, _blocks(rule.difference(a + min(edges[low + 2] - 1, rule.largest_partner(a))))
 
     if rule.largest_partner(size) >= edges[k + 1]:
         out.append(cross(k))
@@ -93,6 +104,14 @@ def levels(size: int, rule: Rule) -> list[tuple[int, int]]:
     return out
 
 
+@lru_cache(1 << 14)
+def difference_at(size: int, level: int, rule: Rule) -> int:
+    """Largest difference of a set of ``size`` from the linked sets that the level is for."""
+    edges, k = bands(rule.largest_partner(size)), level // 2
+    upper = edges[k + 2] - 1 if level % 2 and size < edges[k + 1] else edges[k + 1] - 1
+    return rule.difference(size + min(upper, rule.largest_partner(size)))
+
+
 def sketch(hashes: np.ndarray, blocks: int) -> np.ndarray:
     """Parity sketch: one 64-bit word per block."""
     words = np.zeros(blocks, np.uint64)
@@ -111,17 +130,20 @@ def _block(hashes: np.ndarray, blocks: int) -> np.ndarray:
     return (((hashes >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)).astype(np.int64)
 
 
-SKETCHES = "n int, hi long, lo long, place long, level int, words array<long>, codes array<int>"
+SKETCHES = "n int, hi long, lo long, place long, level int, blank int, words array<long>, codes array<int>"
 
 
 def sketch_task(rule: Rule):
-    """Rows (keys..., text) to one row per document and level, in order: keys, size, digest, place, sketch words."""
+    """Rows (keys..., text) to one row per document and level, in order: keys, size, digest, place, sketch words.
+
+    ``blank`` counts the blocks without word and code if they are left out, and is 0 if all blocks are used.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                source, sizes, high, low, place, level, words, coded = [], [], [], [], [], [], [], []
+                source, sizes, high, low, place, level, blank, words, coded = [], [], [], [], [], [], [], [], []
                 for i, text in enumerate(part.column(part.num_columns - 1).to_pylist()):
                     hashes = shingle_set(text or "", rule.width)
                     hi = np.bitwise_xor.reduce(mix(hashes + np.uint64(1))) if hashes.size else np.uint64(0)
@@ -135,6 +157,8 @@ def sketch_task(rule: Rule):
                         level.append(lev)
                         words.append(sketch(hashes, blocks))
                         coded.append(codes(hashes, blocks))
+                        none = int(((words[-1] == 0) & (coded[-1] == 0)).sum())
+                        blank.append(none if none and difference_at(hashes.size, lev, rule) + none < blocks else 0)
                 ends = np.cumsum([0, *[w.size for w in words]]).astype(np.int32)
                 flat = np.concatenate(words).view(np.int64) if words else np.zeros(0, np.int64)
                 flat_codes = np.concatenate(coded).view(np.int32) if coded else np.zeros(0, np.int32)
@@ -147,10 +171,11 @@ def sketch_task(rule: Rule):
                         pa.array(np.array(low, np.uint64).view(np.int64)),
                         pa.array(place, pa.int64()),
                         pa.array(level, pa.int32()),
+                        pa.array(blank, pa.int32()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(flat_codes)),
                     ],
-                    names=[*batch.schema.names[:-1], "n", "hi", "lo", "place", "level", "words", "codes"],
+                    names=[*batch.schema.names[:-1], "n", "hi", "lo", "place", "level", "blank", "words", "codes"],
                 )
 
     return run
@@ -180,7 +205,8 @@ def _fits(rule: Rule, own: Column, other: Column, blocks: Column) -> Column:
     """Whether two rows of one key may link: sizes, and the blocks that follow."""
     total = own.n + other.n
     sizes = F.least(own.n, other.n) * rule.high >= F.greatest(own.n, other.n) * rule.low
-    allowed = F.floor(F.lit(rule.high - rule.low) * total / F.lit(rule.high + rule.low))
+    # a blank block that one of them leaves out counts as a difference
+    allowed = F.floor(F.lit(rule.high - rule.low) * total / F.lit(rule.high + rule.low)) + F.greatest(own.blank, other.blank)
     one = F.bit_count(own.nxt.bitwiseXOR(other.nxt))
     two = one + F.bit_count(own.nxt2.bitwiseXOR(other.nxt2))
     return sizes & (one <= F.floor(2 * allowed / blocks)) & (two <= F.floor(3 * allowed / blocks))
@@ -212,14 +238,18 @@ def _meet(keyed: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _keyed(sketches: DataFrame, turn: int) -> DataFrame:
-    """Rows (key, me, blocks) of the blocks j with j mod PASSES = ``turn``."""
+    """Rows (key, me, blocks) of the blocks j with j mod PASSES = ``turn``, without blank ones where they are left out."""
     blocks = F.size("words")
-    row = F.transform(
+    used = F.filter(
         F.sequence(F.lit(turn), blocks - 1, F.lit(PASSES)),
+        lambda j: (F.col("blank") == 0) | (F.get("words", j) != 0) | (F.get("codes", j) != 0),
+    )
+    row = F.transform(
+        used,
         lambda j: F.struct(F.xxhash64(F.col("level"), j, F.get("words", j), F.get("codes", j)).alias("key"), F.get("words", (j + 1) % blocks).alias("nxt"), F.get("words", (j + 2) % blocks).alias("nxt2")),
     )
-    return sketches.where(blocks > turn).select("node", "n", blocks.alias("blocks"), F.explode(row).alias("r")).select(
-        "r.key", F.struct("node", "n", "r.nxt", "r.nxt2").alias("me"), "blocks"
+    return sketches.where(blocks > turn).select("node", "n", "blank", blocks.alias("blocks"), F.explode(row).alias("r")).select(
+        "r.key", F.struct("node", "n", "blank", "r.nxt", "r.nxt2").alias("me"), "blocks"
     )
 
 
@@ -289,7 +319,7 @@ def join(docs: DataFrame, rule: Rule, keys: dict[str, Column], id_key: str, text
     """The key columns of every row with n_shingles, node (equal sets share it) and component_id.
 
     ``keys`` names the columns to carry; ``id_key`` is the one that names components. Columns used inside:
-    n, hi, lo, place, level, words, codes, uid.
+    n, hi, lo, place, level, blank, words, codes, uid.
     """
     rows = docs.select(*[c.alias(f"k_{k}") for k, c in keys.items()], F.col(text_col).alias("_text"))
     ident = f"k_{id_key}"
@@ -298,7 +328,7 @@ def join(docs: DataFrame, rule: Rule, keys: dict[str, Column], id_key: str, text
     # the rows of a document follow one another, so all of them get the number of its first
     with few_rows_sent(docs.sparkSession):
         base = written(sketched.withColumn("uid", F.monotonically_increasing_id() - F.col("place")), "sketches")
-    members = written(base.where("place = 0").drop("place", "level", "words", "codes"), "members")
+    members = written(base.where("place = 0").drop("place", "level", "blank", "words", "codes"), "members")
 
     nodes = written(
         members.where("n > 0")
@@ -309,12 +339,12 @@ def join(docs: DataFrame, rule: Rule, keys: dict[str, Column], id_key: str, text
     # of equal sets one sketch stays; most sets occur once and need no grouping
     copied = hinted(nodes.where("rows > 1").select(F.col("hi").alias("_hi"), F.col("lo").alias("_lo")), 24)
     same = (F.col("hi") == F.col("_hi")) & (F.col("lo") == F.col("_lo"))
-    sketches = base.where("n > 0").select("hi", "lo", "level", "words", "codes", "n", F.col("uid").alias("node"))
+    sketches = base.where("n > 0").select("hi", "lo", "level", "blank", "words", "codes", "n", F.col("uid").alias("node"))
     once = (
         sketches.join(copied, same, "left_semi")
         .groupBy("hi", "lo", "level")
-        .agg(F.min_by(F.struct("words", "codes"), "node").alias("one"), F.min("n").alias("n"), F.min("node").alias("node"))
-        .select("hi", "lo", "level", "one.words", "one.codes", "n", "node")
+        .agg(F.min_by(F.struct("blank", "words", "codes"), "node").alias("one"), F.min("n").alias("n"), F.min("node").alias("node"))
+        .select("hi", "lo", "level", "one.blank", "one.words", "one.codes", "n", "node")
     )
     sketches = sketches.join(copied, same, "left_anti").unionByName(once)
 
@@ -367,8 +397,17 @@ def _pivots(large: DataFrame) -> DataFrame:
     return large.join(best, "key").select("node", "pivot").distinct()
 
 
-def _differences(under: DataFrame, sets: DataFrame) -> DataFrame:
-    """(pivot, node, n, pivot_n, own, lost): the elements of the node's set only, and of the pivot's set only."""
+def _reach(rule: Rule) -> Column:
+    """More than linked texts, one of them of size ``n``, can differ in."""
+    partner = F.floor(F.col("n") * rule.high / F.lit(rule.low))
+    return F.floor((F.col("n") + partner) * (rule.high - rule.low) / F.lit(rule.high + rule.low)) + 1
+
+
+def _differences(under: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """(pivot, node, n, pivot_n, m, own, lost, rest): the elements of the node's set only, and of the pivot's set only.
+
+    m is the number of both, rest that of the latter. ``lost`` is null where ``_across`` asks for ``rest`` alone.
+    """
     heads = sets.join(hinted(under.select(F.col("pivot").alias("node")).distinct(), 8), "node", "left_semi")
     weight = heads.agg(F.coalesce(F.sum(F.size("hashes") * 8 + 32), F.lit(0))).first()[0]
     heads = heads.select(F.col("node").alias("pivot"), F.col("hashes").alias("y"))
@@ -379,6 +418,9 @@ def _differences(under: DataFrame, sets: DataFrame) -> DataFrame:
         under.join(sets.join(hinted(under.select("node").distinct(), 8), "node", "left_semi").select("node", F.col("hashes").alias("x")), "node")
         .join(heads, "pivot")
         .select("pivot", "node", F.size(x).alias("n"), F.size(y).alias("pivot_n"), F.array_except(x, y).alias("own"), F.array_except(y, x).alias("lost"))
+        .withColumn("rest", F.size("lost"))
+        .withColumn("m", F.size("own") + F.col("rest"))
+        .withColumn("lost", F.when(F.col("m") <= F.col("pivot_n") + _reach(rule), F.col("lost")))
     )
 
 
@@ -399,8 +441,8 @@ def _link(docs, rule, keys, id_key, text_col, members, nodes, found, finer) -> D
         under.select(F.explode(F.array("node", "pivot")).alias("node"))
     )
     sets = _sets(docs, rule, keys[id_key], text_col, written(near.distinct().join(nodes, "node"), "needed"))
-    diffs = written(_differences(under, sets), "differences")
-    to_pivot = diffs.where((F.size("own") + F.size("lost")) * (rule.high + rule.low) <= (F.col("n") + F.col("pivot_n")) * (rule.high - rule.low))
+    diffs = written(_differences(under, sets, rule), "differences")
+    to_pivot = diffs.where(F.col("m") * (rule.high + rule.low) <= (F.col("n") + F.col("pivot_n")) * (rule.high - rule.low))
     links = written(
         verified(pairs.where("is_first").select("a", "b"), sets, rule).unionByName(
             to_pivot.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
@@ -445,7 +487,6 @@ def _across(diffs: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame:
     """
     both, gap = rule.high + rule.low, rule.high - rule.low
     comp = {c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp")) for c in ("node", "pivot")}
-    m = F.size("own") + F.size("lost")
     named = (
         diffs.join(comp["node"], "node", "left")
         .join(comp["pivot"], "pivot", "left")
@@ -453,22 +494,20 @@ def _across(diffs: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame:
             "pivot",
             "node",
             "n",
-            "own",
-            "lost",
             F.coalesce("node_comp", "node").alias("comp"),
             F.coalesce("pivot_comp", "pivot").alias("main"),
-            (m * both - F.col("n") * gap).cast("long").alias("excess"),
-            m.alias("m"),
+            (F.col("m") * both - F.col("n") * gap).cast("long").alias("excess"),
+            "m",
             "pivot_n",
+            "rest",
         )
     )
     apart = F.col("comp") != F.col("main")
     named = written(named.withColumn("apart", apart), "named")
     mixed = hinted(named.where("apart").select("pivot").distinct(), 8)
     named = named.join(mixed, "pivot", "left_semi")
-    partner = F.floor(F.col("n") * rule.high / F.lit(rule.low))
     common = F.greatest(F.lit(1), F.ceil((F.col("excess") + F.col("pivot_n") * gap + 1) / F.lit(2 * both)))
-    reach = F.floor((F.col("n") + partner) * gap / F.lit(both)) + 1
+    reach = _reach(rule)
     upto = F.when(F.col("apart"), reach).otherwise(F.least(reach, F.col("m") - common + 1))
 
     least = named.groupBy("pivot").agg(F.min(F.struct("excess", "node", "comp")).alias("least"))
@@ -478,11 +517,18 @@ def _across(diffs: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame:
         .select(F.col("node").alias("a"), F.col("least.node").alias("b"))
     )
 
-    far = F.struct(F.lit(True).alias("far"), F.col("own").alias("items"), F.size("lost").alias("rest"))
-    near = F.struct(F.lit(False).alias("far"), F.concat("own", "lost").alias("items"), F.lit(0).alias("rest"))
-    sides = F.array(F.when(F.col("m") > F.col("pivot_n"), far), F.when(F.col("m") <= F.col("pivot_n") + reach, near))
-    sided = named.select("pivot", "node", "n", "comp", "excess", "m", upto.alias("upto"), F.explode(F.filter(sides, lambda c: c.isNotNull())).alias("c"))
-    elements = sided.select("pivot", "c.far", "node", F.explode("c.items").alias("element"))
+    def sides(far: Column, near: Column) -> Column:
+        both_sides = F.array(F.when(F.col("m") > F.col("pivot_n"), far), F.when(F.col("m") <= F.col("pivot_n") + reach, near))
+        return F.explode(F.filter(both_sides, lambda c: c.isNotNull())).alias("c")
+
+    def side(far: bool, name: str, value: Column) -> Column:
+        return F.struct(F.lit(far).alias("far"), value.alias(name))
+
+    sided = named.select("pivot", "node", "n", "comp", "excess", "m", upto.alias("upto"), sides(side(True, "rest", F.col("rest")), side(False, "rest", F.lit(0))))
+    items = diffs.join(mixed, "pivot", "left_semi").select(
+        "pivot", "node", sides(side(True, "items", F.col("own")), side(False, "items", F.concat("own", "lost")))
+    )
+    elements = items.select("pivot", "c.far", "node", F.explode("c.items").alias("element"))
     group = ["pivot", "far", "element"]
 
     def held_by_several(turn: int) -> DataFrame:

@@ -401,3 +401,43 @@ def test_block_codes_tell_sets_apart():
         y = np.append(x[3:], rng.integers(0, 1 << 63, 2, dtype=np.uint64))
         differ = jaccard_join.codes(x, 9) != jaccard_join.codes(y, 9)
         assert 1 <= differ.sum() <= 5
+
+
+def test_blank_blocks_gather_no_strangers(spark, monkeypatch):
+    layers, written = {}, jaccard_join.written
+
+    def kept(df, name):
+        layers[name] = written(df, name)
+        return layers[name]
+
+    monkeypatch.setattr(jaccard_join, "written", kept)
+    rng = random.Random(5)
+    texts = [" ".join(f"w{i}x{j}" for j in range(rng.randint(98, 104))) for i in range(4000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = jaccard_join.join(docs, jaccard_join.Rule(), {"id": F.col("doc_id")}, "id")
+    assert all(r.component_id == r.id for r in got.collect())
+    assert layers["pairs"].count() == layers["pivots"].count() == layers["sets"].count() == 0
+
+
+def test_texts_at_the_limit_meet_without_their_blank_blocks(spark):
+    rng, rule = random.Random(6), jaccard_join.Rule()
+    pairs, linked = [], []
+    for i in range(600):
+        words = [f"w{i}x{j}" for j in range(rng.choice([6, 9, 14, 30, 61, 100, 180]))]
+        other = words[rng.randint(0, len(words) // 6) :] + [f"y{i}x{j}" for j in range(rng.randint(0, len(words) // 6))]
+        x, y = ({tuple(t[k : k + 5]) for k in range(max(1, len(t) - 4))} for t in (words, other))
+        pairs += [" ".join(words), " ".join(other)]
+        linked.append(rule.high * len(x & y) >= rule.low * len(x | y))
+    docs = spark.createDataFrame(list(enumerate(pairs)), "doc_id long, text string")
+    got = {r.id: r.component_id for r in jaccard_join.join(docs, rule, {"id": F.col("doc_id")}, "id").collect()}
+    assert 100 < sum(linked) < 500
+    assert [got[2 * i + 1] == 2 * i for i in range(600)] == linked
+
+
+def test_differences_at_a_level_bound_every_linked_pair():
+    for rule in (jaccard_join.Rule(), jaccard_join.QUERY_RULE):
+        for b in range(1, 300):
+            for a in range(-(-b * rule.low // rule.high), b + 1):
+                shared = set(jaccard_join.levels(a, rule)) & set(jaccard_join.levels(b, rule))
+                most = rule.difference(a + b)
+                assert any(n > most and all(jaccard_join.difference_at(s, k, rule) >= most for s in (a, b)) for k, n in shared), (a, b)
