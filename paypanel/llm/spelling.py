@@ -15,7 +15,8 @@ doubling the steps, as a chain has at most log2(largest count) of them.
 
 Skew: texts are reduced to counted words before any shuffle; each word is then one row. The rarest grams of a word are by
 construction the least crowded places of the index; what is still crowded is a join key that adaptive execution may split
-on both sides. Gram counts are broadcast only if counted and small.
+on both sides. Gram counts are broadcast only if counted and small; what has a row or more for each word is exchanged whatever
+size Spark takes it for, as files hold words in a tenth of their space in memory, and it counts an exploded array as one row.
 
 Defined results: a null text has no words, a null id counts as empty in the hash; words of fewer than five code points
 are none (grams need four at least); ties of the largest count go to the word that comes first in code-point order;
@@ -30,7 +31,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paypanel.llm.tables import hinted
+from paypanel.llm.tables import hinted, shuffled
 from paypanel.plans.stages import discard, written
 
 RUN = "[a-zÀ-ÿ]+"
@@ -149,7 +150,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
         return layer.select("word", "n", end.alias("end"), F.explode(F.array_distinct(F.flatten(every))).alias("key"))
 
     held = placed(F.col("prefix")).select(F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("end").alias("other_end"), "key")
-    found = placed(pivots(F.col("prefix"))).join(held, "key").where(
+    found = placed(pivots(F.col("prefix"))).join(shuffled(held), "key").where(
         (F.col("end") <= F.col("other_end")) & (F.levenshtein("word", "other", 1) == 1)
     )
     one, two = F.struct("word", "n"), F.struct(F.col("other").alias("word"), F.col("other_n").alias("n"))
@@ -164,7 +165,7 @@ def roots(forms: DataFrame, rounds: int) -> DataFrame:
     for _ in range(rounds):
         further = ends.select(F.col("word").alias("root"), F.col("root").alias("next"))
         before, ends = ends, written(
-            ends.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root")), "roots"
+            ends.join(shuffled(further), "root", "left").select("word", F.coalesce("next", "root").alias("root")), "roots"
         )
         discard(before)
     return ends
@@ -190,8 +191,8 @@ def group_variants(words: DataFrame) -> DataFrame:
     steps = int(largest).bit_length()  # a chain has fewer
     ends = roots(near.where(F.col("form").isNotNull()), max(0, math.ceil(math.log2(steps))))
     return (
-        words.join(near, "word", "left")
-        .join(ends, "word", "left")
+        words.join(shuffled(near), "word", "left")
+        .join(shuffled(ends), "word", "left")
         .select(
             "word",
             "form",

@@ -441,3 +441,20 @@ def test_differences_at_a_level_bound_every_linked_pair():
                 shared = set(jaccard_join.levels(a, rule)) & set(jaccard_join.levels(b, rule))
                 most = rule.difference(a + b)
                 assert any(n > most and all(jaccard_join.difference_at(s, k, rule) >= most for s in (a, b)) for k, n in shared), (a, b)
+
+
+def test_words_are_never_broadcast(spark, monkeypatch):
+    joins, written = [], spelling.written
+
+    def seen(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        joins.extend(line.strip(" +-:!*()0123456789") for line in plan.splitlines() if "Join" in line)
+        return df
+
+    monkeypatch.setattr(spelling, "written", lambda df, name: written(seen(df), name))
+    names = ["lantern", "lanterm", "lanten", "marble", "marbel", "garden", "gardens", "wardens"]
+    words = spark.createDataFrame([(w, 4**i) for i, w in enumerate(names)], "word string, n long")
+    got = {r.word: r.n_near for r in seen(spelling.group_variants(words)).collect()}
+    assert got["garden"] == 1 and got["gardens"] == 2 and got["marble"] == 0
+    sides = [j for j in joins if "Broadcast" in j]
+    assert len(joins) > 4 and len(sides) == 1 and "gram" in sides[0]
